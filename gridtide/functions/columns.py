@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, functions as F
 
 NUMERIC_TYPES = ("double", "long", "integer")
 
@@ -22,8 +22,17 @@ def numeric_columns(df: DataFrame, cols: Iterable[str]) -> list[str]:
 
 
 def drop_incomplete(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
-    """Drop rows with a NULL or NaN in any (or any named) column."""
-    return df.na.drop(subset=cols)
+    """Drop rows with a NULL or NaN in any (or any named) column.
+
+    One condition per column: each can reach the scan on its own. A single
+    condition over all columns would be copied by the optimizer once for every
+    combination of renamed columns.
+    """
+    kinds = dict(df.dtypes)
+    for c in cols if cols is not None else df.columns:
+        present = F.col(c).isNotNull()
+        df = df.filter(present & ~F.isnan(c) if kinds[c] in ("double", "float") else present)
+    return df
 
 
 def fill_numeric(df: DataFrame, value: float | None = 0) -> DataFrame:

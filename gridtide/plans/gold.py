@@ -40,6 +40,14 @@ def join_weather(energy: DataFrame, weather: DataFrame, cities=CITIES, measures=
     return observed.join(wide, FORECAST_KEYS, "inner")
 
 
+def feature_keys(energy: DataFrame, weather: DataFrame) -> DataFrame:
+    """(zone, datetime) of the rows ``join_weather`` keeps, from narrow columns."""
+    hours = with_vintage(energy.select("zone", "datetime", "ingested_at"))
+    seen = with_vintage(weather.select("datetime", "ingested_at")).distinct()
+    observed, _ = split_observed_forecast(hours, "datetime", VINTAGE)
+    return observed.join(seen, FORECAST_KEYS, "left_semi").select("zone", "datetime")
+
+
 def build_historic(
     energy: DataFrame,
     weather: DataFrame,
@@ -65,8 +73,8 @@ def build_historic(
         joined, series, groups, ["datetime"], window_rows=WINDOW_ROWS,
         split_hot=split_hot, hot_options=hot_options, stats_df=with_vintage(energy),
     )
-    order = with_vintage(energy).columns + [c for c in made.columns if c not in with_vintage(energy).columns]
-    return fill_numeric(made.select(*order), fill)
+    first = with_vintage(energy).columns
+    return fill_numeric(made.select(*first, *[c for c in made.columns if c not in first]), fill)
 
 
 def build_forecasts(

@@ -10,7 +10,7 @@ from __future__ import annotations
 import datetime as dt
 import warnings
 
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from gridtide import schemas as S
 from gridtide.model.gbt import TREES, evaluate, fit_gbt, load_latest, save_model
@@ -18,7 +18,7 @@ from gridtide.model.monitor import monitor
 from gridtide.model.scoring import build_scoring, score
 from gridtide.operators import anchored_lookback, lookback
 from gridtide.plans.gold import (
-    FORECAST_KEYS, HISTORIC_KEYS, VINTAGE, WINDOW_ROWS, build_forecasts, build_historic, vintages, with_vintage,
+    FORECAST_KEYS, HISTORIC_KEYS, WINDOW_ROWS, build_forecasts, build_historic, feature_keys, vintages,
 )
 from gridtide.plans.silver import ENERGY_KEYS, WEATHER_KEYS, build_energy, build_weather
 from gridtide.plans.training import TRAINING_KEYS, build_training, chrono_split
@@ -70,45 +70,41 @@ def run_silver(
 
 def gold_inputs(
     energy: DataFrame, weather: DataFrame, lookback_hours: int, feature_scope: str
-) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(energy rows to build features from, their weather, energy rows ingested in the window).
+) -> tuple[DataFrame, DataFrame, Column | None]:
+    """(energy rows to build features from, their weather, first hour to emit or None for all).
 
-    In batch scope the recent rows are enough. In history scope they also need
-    the rows before them that fill their first frames, and the rows after them
-    whose frames they enter: all from ``WINDOW_ROWS - 1`` rows before the first
-    changed hour of any zone on. That start is found on two narrow columns.
+    In batch scope the recently ingested rows are enough. In history scope a
+    changed hour also enters the frames of the hours after it, so everything
+    from the first changed hour on is built again, with the
+    ``WINDOW_ROWS - 1`` feature rows of each zone before it as filling.
     """
     anchor = energy.agg(F.max(F.date_trunc("hour", "ingested_at")))
     recent = anchored_lookback(energy, "ingested_at", lookback_hours, anchor)
     if feature_scope == "batch":
-        near = anchored_lookback(weather, "ingested_at", lookback_hours, anchor, WEATHER_EXTRA_HOURS)
-        return recent, near, recent
-    return _from_halo(energy, weather, recent)
+        return recent, anchored_lookback(weather, "ingested_at", lookback_hours, anchor, WEATHER_EXTRA_HOURS), None
 
-
-def _from_halo(energy, weather, recent):
-    observed = with_vintage(recent).filter(F.col("datetime") <= F.col(VINTAGE))
-    first = observed.groupBy("zone").agg(F.min("datetime").alias("first"))
-    earlier = (
-        energy.select("zone", "datetime").join(first, "zone", "inner").filter(F.col("datetime") < F.col("first"))
-    )
+    first = feature_keys(recent, weather).agg(F.min("datetime")).scalar()
+    earlier = feature_keys(energy, weather).filter(F.col("datetime") < first)
     newest = Window.partitionBy("zone").orderBy(F.col("datetime").desc())
-    frame = earlier.withColumn("r", F.row_number().over(newest)).filter(F.col("r") <= WINDOW_ROWS - 1)
-    start = frame.select("datetime").unionByName(first.select(F.col("first").alias("datetime"))).agg(F.min("datetime"))
-    rows = energy.filter(F.col("datetime") >= start.scalar())
-    oldest = rows.agg(F.min("ingested_at") - F.make_dt_interval(F.lit(0), F.lit(1)))
-    return rows, weather.filter(F.col("ingested_at") >= oldest.scalar()), recent
+    filling = earlier.withColumn("r", F.row_number().over(newest)).filter(F.col("r") <= WINDOW_ROWS - 1)
+    start = filling.agg(F.min("datetime")).scalar()
+    rows = energy.filter(F.col("datetime") >= F.coalesce(start, first))
+    oldest = rows.agg(F.min("ingested_at") - F.make_dt_interval(F.lit(0), F.lit(1))).scalar()
+    return rows, weather.filter(F.col("ingested_at") >= oldest), first
 
 
 def run_gold(spark: SparkSession, lookback_hours: int = DEFAULT_LOOKBACK, feature_scope: str = "history") -> None:
     """Merge feature rows and forecasts of the recent ingestion hours into the gold tables."""
     use_utc(spark)
     energy, weather = read_table(spark, S.SILVER_ENERGY), read_table(spark, S.SILVER_WEATHER)
-    rows, near, recent = gold_inputs(energy, weather, lookback_hours, feature_scope)
+    rows, near, first = gold_inputs(energy, weather, lookback_hours, feature_scope)
     historic = build_historic(rows, near, feature_scope=feature_scope)
+    if first is not None:
+        historic = historic.filter(F.col("datetime") >= first)
     upsert_table(spark, S.GOLD_HISTORIC, historic, HISTORIC_KEYS)
 
     anchor = energy.agg(F.max(F.date_trunc("hour", "ingested_at")))
+    recent = anchored_lookback(energy, "ingested_at", lookback_hours, anchor)
     ahead = anchored_lookback(weather, "ingested_at", lookback_hours, anchor, WEATHER_EXTRA_HOURS)
     upsert_table(spark, S.GOLD_FORECASTS, build_forecasts(ahead, vintages(recent)), FORECAST_KEYS)
 

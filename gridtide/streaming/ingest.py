@@ -14,7 +14,7 @@ from pyspark.sql.streaming.query import StreamingQuery
 from gridtide import schemas as S
 from gridtide.plans.silver import WEATHER_KEYS, build_weather
 from gridtide.session import use_utc
-from gridtide.sources import append_table, ensure_schema, insert_new_table, land_csv, land_json
+from gridtide.sources import ensure_schema, insert_new_table, land_csv, land_json
 
 
 def each_new_batch(
@@ -55,8 +55,3 @@ def stream_weather(
         insert_new_table(spark, S.SILVER_WEATHER, build_weather(batch, tz, header_lines), WEATHER_KEYS)
 
     return each_new_batch(land_csv(spark, path, stream=True), checkpoint, write)
-
-
-def append_batches(stream: DataFrame, checkpoint: str, table: str) -> StreamingQuery:
-    """Append by micro-batch; at least once, for tables whose readers drop copies."""
-    return each_new_batch(stream, checkpoint, lambda batch: append_table(batch, table))
