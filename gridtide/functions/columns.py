@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame
 
 NUMERIC_TYPES = ("double", "long", "integer")
 
@@ -29,10 +29,12 @@ def drop_incomplete(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
     combination of renamed columns.
     """
     kinds = dict(df.dtypes)
-    for c in cols if cols is not None else df.columns:
-        present = F.col(c).isNotNull()
-        df = df.filter(present & ~F.isnan(c) if kinds[c] in ("double", "float") else present)
-    return df
+    tests = []
+    for c in df.columns if cols is None else cols:
+        tests.append(f"`{c}` IS NOT NULL")
+        if kinds[c] in ("double", "float"):
+            tests.append(f"NOT isnan(`{c}`)")
+    return df.filter(" AND ".join(tests)) if tests else df
 
 
 def fill_numeric(df: DataFrame, value: float | None = 0) -> DataFrame:

@@ -48,7 +48,7 @@ def hot_spans(
     stats = df.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("__n"), F.min(number).alias(LO), F.max(number).alias("__hi")
     )
-    total = df.agg(F.count(F.lit(1))).scalar()
+    total = stats.agg(F.sum("__n")).scalar()
     slices = F.greatest(F.lit(1), F.expr(f"__n div {int(slice_rows)}"))
     width = F.greatest(F.lit(1), F.ceil((F.col("__hi") - F.col(LO) + 1) / slices)).cast("bigint")
     return stats.filter((F.col("__n") > min_rows) & (F.col("__n") > total * F.lit(share))).select(

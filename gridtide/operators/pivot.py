@@ -28,5 +28,5 @@ def pivot_measures(
     """
     row = F.struct(*[F.col(c) for c in [*order_cols, *measures]])
     wide = df.groupBy(*keys).pivot(pivot_col, list(values)).agg(F.max(row))
-    cells = [F.col(f"`{v}`.`{m}`").alias(f"{m}_{name(v)}") for v in values for m in measures]
-    return wide.select(*keys, *cells)
+    cells = [f"`{v}`.`{m}` AS `{m}_{name(v)}`" for v in values for m in measures]
+    return wide.selectExpr(*keys, *cells)

@@ -43,46 +43,48 @@ def lag_rolling_features(
     Row-based within ``partition_by``, ordered by ``order_by``, which must be
     unique there. Short frames at the start are kept; NULLs do not enter a mean.
 
-    A group too large for one task (see ``hot_spans``) is cut into ordered
-    slices, and each slice is given the few rows before it that its first frames
-    need. The result equals that of the uncut window. ``stats_df`` may name a
-    cheaper frame with the same groups for the size check.
+    A count per group, run at once, tells whether a group is too large for one
+    task (see ``hot_spans``). Only then such groups are cut into ordered slices,
+    each given the few rows before it that its first frames need; the result
+    equals that of the uncut window. ``stats_df`` may name a cheaper frame with
+    the same groups for the count.
     """
-    reach = max(window_rows - 1, *lags)
-    if not split_hot:
-        return df.select("*", *_features(cols, partition_by, order_by, lags, window_rows))
+    hot = hot_spans(df if stats_df is None else stats_df, partition_by, order_by[0], **(hot_options or {}))
+    if not split_hot or hot.isEmpty():
+        return df.selectExpr("*", *_features(cols, partition_by, order_by, lags, window_rows))
 
-    hot = F.broadcast(hot_spans(stats_df or df, partition_by, order_by[0], **(hot_options or {})))
-    hot_keys = [c for c in hot.columns]
+    hot = F.broadcast(hot)
+    reach = max(window_rows - 1, *lags)
+    groups = [f"__hot_{k}" for k in partition_by]
     cut = slice_number(df, order_by[0]).alias(SLICE)
     own = df.join(hot, same_group(partition_by), "left").select(*df.columns, cut, F.lit(False).alias(_HALO))
-    of_hot = df.join(hot, same_group(partition_by), "inner").select(*hot_keys[: len(partition_by)], *df.columns, cut)
-    halo = _halo(of_hot, df.columns, partition_by, order_by, reach)
-    both = own.unionByName(halo)
-    made = both.select("*", *_features(cols, [*partition_by, SLICE], order_by, lags, window_rows))
+    of_hot = df.join(hot, same_group(partition_by), "inner").select(*groups, *df.columns, cut)
+    both = own.unionByName(_halo(of_hot, df.columns, groups, order_by, reach))
+    made = both.selectExpr("*", *_features(cols, [*partition_by, SLICE], order_by, lags, window_rows))
     return made.filter(~F.col(_HALO)).drop(SLICE, _HALO)
 
 
-def _features(cols, partition_by, order_by, lags, window_rows):
-    ordered = Window.partitionBy(*partition_by).orderBy(*order_by)
-    frame = ordered.rowsBetween(-(window_rows - 1), 0)
+def _features(cols, partition_by, order_by, lags, window_rows) -> list[str]:
+    """All feature expressions, as text: hundreds of them go to the JVM in one call."""
+    names = [", ".join(f"`{c}`" for c in part) for part in (partition_by, order_by)]
+    over = "PARTITION BY {} ORDER BY {}".format(*names)
+    frame = f"{over} ROWS BETWEEN {window_rows - 1} PRECEDING AND CURRENT ROW"
     out = []
     for c in cols:
         for n in lags:
-            value = F.col(c) if n == 0 else F.lag(c, n).over(ordered)
-            out.append(value.alias(f"lag_{c}_{n}h"))
-        out.append(F.avg(c).over(frame).alias(f"rolling_avg_{c}_{window_rows}h"))
+            value = f"`{c}`" if n == 0 else f"lag(`{c}`, {n}) OVER ({over})"
+            out.append(f"{value} AS `lag_{c}_{n}h`")
+        out.append(f"avg(`{c}`) OVER ({frame}) AS `rolling_avg_{c}_{window_rows}h`")
     return out
 
 
-def _halo(of_hot: DataFrame, columns: list[str], partition_by, order_by, reach: int) -> DataFrame:
+def _halo(of_hot: DataFrame, columns: list[str], groups: list[str], order_by: list[str], reach: int) -> DataFrame:
     """Copies of the last ``reach`` rows before each slice, labelled with that slice.
 
     Ranking keeps at most ``reach`` rows per slice and task before the shuffle.
     A slice may hold fewer rows than the reach, so a row can serve several of the
     following slices: it does while fewer than ``reach`` rows lie between.
     """
-    groups = [f"__hot_{k}" for k in partition_by]
     newest = Window.partitionBy(*groups, SLICE).orderBy(*[F.col(c).desc() for c in order_by])
     tails = of_hot.withColumn(_RANK, F.row_number().over(newest)).filter(F.col(_RANK) <= reach)
 

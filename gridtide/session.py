@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Needed for right results: payload times are text in UTC without an offset.
 TIME_ZONE = "UTC"
@@ -51,3 +52,15 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         named = tempfile.mkdtemp(prefix="gridtide-checkpoint-")
     context.setCheckpointDir(named)
     return named
+
+
+def materialize(df: DataFrame) -> DataFrame:
+    """Write ``df`` as Parquet in the shared checkpoint folder and read it back.
+
+    Cuts the lineage like a checkpoint does, survives lost executors, and unlike
+    a checkpoint keeps column pruning, filter pushdown and size statistics.
+    """
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/gridtide-{uuid.uuid4()}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

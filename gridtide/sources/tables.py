@@ -13,7 +13,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from gridtide.operators.merge import unmatched_source, upsert
-from gridtide.session import ensure_checkpoint_dir
+from gridtide.session import materialize
 
 DAY = "_day"
 # Up to this many touched days are named one by one; more become a range.
@@ -98,7 +98,7 @@ def upsert_table(
     """Merge ``source`` into table ``name``: replace matched rows, add the others.
 
     ``ts_col`` must be one of ``keys``, so a row never moves to another day. The
-    source is checkpointed first: it is read several times, and what is merged
+    source is written out first: it is read several times, and what is merged
     must be what the touched days were taken from.
     """
     if ts_col not in keys:
@@ -106,8 +106,7 @@ def upsert_table(
     if not table_exists(spark, name):
         _create(_by_day(source, ts_col), name, ts_col)
         return
-    ensure_checkpoint_dir(spark)
-    staged = _by_day(source, ts_col).checkpoint()
+    staged = materialize(_by_day(source, ts_col))
     touched = _touched(staged)
     if touched is None:
         return
@@ -135,8 +134,7 @@ def insert_new_table(
     if not table_exists(spark, name):
         _create(_by_day(source, ts_col), name, ts_col)
         return
-    ensure_checkpoint_dir(spark)
-    staged = _by_day(source, ts_col).checkpoint()
+    staged = materialize(_by_day(source, ts_col))
     touched = _touched(staged)
     if touched is None:
         return

@@ -37,9 +37,9 @@ def prop_k() -> Column:
     return F.from_json("props", "map<string,bigint>")["k"]
 
 
-def in_band(low, high) -> Column:
-    at_least = F.lit(True) if low is None else F.col("value") >= low
-    return at_least if high is None else at_least & (F.col("value") < high)
+def in_band(low, high) -> str:
+    tests = [f"value >= {low}"] * (low is not None) + [f"value < {high}"] * (high is not None)
+    return " AND ".join(tests)
 
 
 def hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -47,22 +47,18 @@ def hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = load(spark, sf_dir, "events").select(
         F.col("event_type").alias("zone"), F.date_trunc("hour", "ts").alias("h"), "value", prop_k().alias("k")
     )
-    k, cents = F.col("k"), F.round(F.col("value") * 100).cast("bigint")
-    fuel = F.floor(k / FUEL_WIDTH)
-
-    def per_fuel(name, x):
-        return [F.sum(F.when(fuel == i, x)).alias(f"{name}_{f}") for i, f in enumerate(FUELS)]
-
-    def per_band(name, x):
-        return [F.sum(F.when(in_band(*b), x)).alias(f"{name}_{nb}") for nb, b in zip(NEIGHBOURS, BANDS)]
-
-    one = F.lit(1).cast("bigint")
-    return events.groupBy("zone", "h").agg(
-        F.count(one).alias("n"), F.sum("k").alias("sk"), F.max("k").alias("mx"), F.min("k").alias("mn"),
-        F.sum(cents).alias("cents"), F.count(F.when(F.col("value") < 20, 1)).alias("lo"),
-        F.count(F.when(F.col("value") >= 20, 1)).alias("hi"),
-        *per_fuel("consumption", one), *per_fuel("production", k), *per_band("import", one), *per_band("export", k),
-    )
+    sums = {
+        "n": "count(*)", "sk": "sum(k)", "mx": "max(k)", "mn": "min(k)",
+        "cents": "sum(CAST(round(value * 100) AS BIGINT))",
+        "lo": "count(IF(value < 20, 1, NULL))", "hi": "count(IF(value >= 20, 1, NULL))",
+    }
+    for i, f in enumerate(FUELS):
+        mine = f"k div {FUEL_WIDTH} = {i}"
+        sums |= {f"consumption_{f}": f"sum(IF({mine}, 1L, NULL))", f"production_{f}": f"sum(IF({mine}, k, NULL))"}
+    for nb, band in zip(NEIGHBOURS, BANDS):
+        mine = in_band(*band)
+        sums |= {f"import_{nb}": f"sum(IF({mine}, 1L, NULL))", f"export_{nb}": f"sum(IF({mine}, k, NULL))"}
+    return events.groupBy("zone", "h").agg(*[F.expr(f"{x} AS {name}") for name, x in sums.items()])
 
 
 def next_batch() -> Column:

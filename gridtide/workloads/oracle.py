@@ -244,8 +244,8 @@ SQL["training_rows_lookback"] = f"""
     SELECT zone, ingested_hour_utc, datetime, target_val FROM pairs WHERE n_ahead = n_found"""
 SQL["chrono_split"] = """
     WITH e AS (SELECT date_trunc('hour', ts) AS hour FROM events),
-    s AS (SELECT quantile_disc(hour, 0.8) AS at FROM e)
-    SELECT hour <= at AS is_train, count(*) AS n, min(hour) AS first, max(hour) AS last FROM e, s GROUP BY 1"""
+    s AS (SELECT quantile_disc(hour, 0.8) AS cut FROM e)
+    SELECT hour <= cut AS is_train, count(*) AS n, min(hour) AS first, max(hour) AS last FROM e, s GROUP BY 1"""
 
 # --- models ----------------------------------------------------------------------------------------
 _BACKTEST = f"""

@@ -13,6 +13,7 @@ from gridtide.model import gbt
 from gridtide.model.monitor import match_actuals, monitor
 from gridtide.model.scoring import build_scoring, score
 from gridtide.plans import gold, silver, training
+from gridtide.session import materialize
 from gridtide.workloads import feeds
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -32,15 +33,14 @@ def query(fn: Query) -> Query:
 
 def plain(df: DataFrame, rounded: tuple[str, ...] = ()) -> DataFrame:
     """Instants as wall-clock times, columns with a ``rounded`` prefix at six places."""
-    def out(name: str, kind: str):
-        c = F.col(name)
+    def out(name: str, kind: str) -> str:
         if kind == "timestamp":
-            c = c.cast("timestamp_ntz")
-        elif kind == "double" and name.startswith(rounded):
-            c = F.round(c, 6)
-        return c.alias(name)
+            return f"CAST(`{name}` AS timestamp_ntz) AS `{name}`"
+        if kind == "double" and name.startswith(rounded):
+            return f"round(`{name}`, 6) AS `{name}`"
+        return f"`{name}`"
 
-    return df.select(*[out(n, k) for n, k in df.dtypes])
+    return df.selectExpr(*[out(n, k) for n, k in df.dtypes])
 
 
 def events(spark, sf_dir):
@@ -264,6 +264,11 @@ def _forecasts(spark, sf_dir) -> DataFrame:
     return gold.build_forecasts(feeds.weather(spark, sf_dir), gold.vintages(feeds.energy(spark, sf_dir)))
 
 
+def _gold_tables(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
+    """History and forecasts, written out between the stages as the jobs do."""
+    return materialize(_historic(spark, sf_dir)), materialize(_forecasts(spark, sf_dir))
+
+
 @query
 def historic_gold(spark, sf_dir):
     return plain(_historic(spark, sf_dir), ("rolling_avg_",))
@@ -288,12 +293,12 @@ def forecast_gold(spark, sf_dir):
 
 @query
 def training_rows(spark, sf_dir):
-    return plain(training.build_training(_historic(spark, sf_dir), _forecasts(spark, sf_dir)), ("rolling_avg_",))
+    return plain(training.build_training(*_gold_tables(spark, sf_dir)), ("rolling_avg_",))
 
 
 @query
 def training_rows_lookback(spark, sf_dir):
-    rows = training.build_training(_historic(spark, sf_dir), _forecasts(spark, sf_dir), lookback_hours=96)
+    rows = training.build_training(*_gold_tables(spark, sf_dir), lookback_hours=96)
     return plain(rows.select("zone", gold.VINTAGE, "datetime", "target_val"))
 
 
@@ -310,11 +315,11 @@ def chrono_split(spark, sf_dir):
 
 def _backtest(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
     """History up to the last delivery that has history at its own hour, and all forecasts."""
-    historic = _historic(spark, sf_dir)
+    historic, forecasts = _gold_tables(spark, sf_dir)
     last = historic.join(
         historic.select(F.col(gold.VINTAGE).alias("datetime")).distinct(), "datetime", "left_semi"
     ).agg(F.max("datetime")).scalar()
-    return historic.filter(F.col("datetime") <= last), _forecasts(spark, sf_dir)
+    return historic.filter(F.col("datetime") <= last), forecasts
 
 
 @query
@@ -359,7 +364,7 @@ def monitor_by_offset(spark, sf_dir):
 
 @query
 def gbt_fit_score(spark, sf_dir):
-    rows = training.build_training(_historic(spark, sf_dir), _forecasts(spark, sf_dir))
+    rows = training.build_training(*_gold_tables(spark, sf_dir))
     train, test = training.chrono_split(rows)
     model = gbt.fit_gbt(train, trees=FIT_TREES)
     return plain(gbt.evaluate(model.transform(test)))
