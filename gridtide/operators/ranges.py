@@ -6,6 +6,8 @@ import datetime as dt
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from gridtide.schemas import DAY
+
 
 def _hours(n: int) -> Column:
     return F.make_dt_interval(F.lit(0), F.lit(n))
@@ -37,6 +39,18 @@ def anchored_lookback(
     return df.filter(F.col(ts_col) >= anchor_df.scalar() - _hours(hours + extra_hours))
 
 
+def from_time(df: DataFrame, bound: Column, ts_col: str = "datetime") -> DataFrame:
+    """Rows at or after ``bound``; days before it are not read if ``df`` has the partition column."""
+    kept = df.filter(F.col(ts_col) >= bound)
+    return kept.filter(F.col(DAY) >= F.to_date(bound)) if DAY in df.columns else kept
+
+
+def at_time(df: DataFrame, moment: Column, ts_col: str = "datetime") -> DataFrame:
+    """Rows at ``moment``, read from its day alone if ``df`` has the partition column."""
+    kept = df.filter(F.col(ts_col) == moment)
+    return kept.filter(F.col(DAY) == F.to_date(moment)) if DAY in df.columns else kept
+
+
 def split_observed_forecast(df: DataFrame, dt_col: str, vintage_col: str) -> tuple[DataFrame, DataFrame]:
     """(rows at or before their vintage, rows after it)."""
     return (

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window, functions as F, types as T
 
 from gridtide.operators.hot import SLICE, hot_spans, same_group, slice_number
+from gridtide.operators.ranges import at_time
 
 _RANK, _HALO, _NEXT, _BEFORE = "__rank", "__halo", "__next", "__before"
 
@@ -24,7 +25,7 @@ def latest_per_key(df: DataFrame, keys: list[str], order_cols: list[str]) -> Dat
 
 def latest_snapshot(df: DataFrame, ts_col: str) -> DataFrame:
     """The rows at the latest ``ts_col``; the maximum enters as a scalar subquery."""
-    return df.filter(F.col(ts_col) == df.agg(F.max(ts_col)).scalar())
+    return at_time(df, df.agg(F.max(ts_col)).scalar(), ts_col)
 
 
 def lag_rolling_features(

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from gridtide.functions import calendar_features, fill_numeric, forecast_offset, round_to_hour
 from gridtide.operators import lag_rolling_features, pivot_measures, split_observed_forecast
-from gridtide.schemas import CITIES, ENERGY_SERIES, MEASURES, sanitize
+from gridtide.schemas import CITIES, DAY, ENERGY_SERIES, MEASURES, sanitize
 
 VINTAGE = "ingested_hour_utc"
 HISTORIC_KEYS = ["zone", "datetime"]
@@ -66,6 +66,7 @@ def build_historic(
     """
     if feature_scope not in FEATURE_SCOPES:
         raise ValueError(f"feature_scope must be one of {FEATURE_SCOPES}")
+    energy = energy.drop(DAY)
     groups = ["zone"] if feature_scope == "history" else ["zone", VINTAGE]
     series = list(energy_series) + weather_series(cities, measures)
     joined = calendar_features(join_weather(energy, weather, cities, measures), "datetime")

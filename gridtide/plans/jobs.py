@@ -16,7 +16,7 @@ from gridtide import schemas as S
 from gridtide.model.gbt import TREES, evaluate, fit_gbt, load_latest, save_model
 from gridtide.model.monitor import monitor
 from gridtide.model.scoring import build_scoring, score
-from gridtide.operators import anchored_lookback, lookback
+from gridtide.operators import anchored_lookback, from_time, lookback
 from gridtide.plans.gold import (
     FORECAST_KEYS, HISTORIC_KEYS, WINDOW_ROWS, build_forecasts, build_historic, feature_keys, vintages,
 )
@@ -88,7 +88,7 @@ def gold_inputs(
     newest = Window.partitionBy("zone").orderBy(F.col("datetime").desc())
     filling = earlier.withColumn("r", F.row_number().over(newest)).filter(F.col("r") <= WINDOW_ROWS - 1)
     start = filling.agg(F.min("datetime")).scalar()
-    rows = energy.filter(F.col("datetime") >= F.coalesce(start, first))
+    rows = from_time(energy, F.coalesce(start, first))
     oldest = rows.agg(F.min("ingested_at") - F.make_dt_interval(F.lit(0), F.lit(1))).scalar()
     return rows, weather.filter(F.col("ingested_at") >= oldest), first
 
@@ -96,7 +96,7 @@ def gold_inputs(
 def run_gold(spark: SparkSession, lookback_hours: int = DEFAULT_LOOKBACK, feature_scope: str = "history") -> None:
     """Merge feature rows and forecasts of the recent ingestion hours into the gold tables."""
     use_utc(spark)
-    energy, weather = read_table(spark, S.SILVER_ENERGY), read_table(spark, S.SILVER_WEATHER)
+    energy, weather = read_table(spark, S.SILVER_ENERGY, with_day=True), read_table(spark, S.SILVER_WEATHER)
     rows, near, first = gold_inputs(energy, weather, lookback_hours, feature_scope)
     historic = build_historic(rows, near, feature_scope=feature_scope)
     if first is not None:
@@ -112,9 +112,9 @@ def run_gold(spark: SparkSession, lookback_hours: int = DEFAULT_LOOKBACK, featur
 def run_training_rows(spark: SparkSession, lookback_hours: int | None = TRAINING_LOOKBACK) -> None:
     """Merge the training rows of the recent ingestion hours (None: of all)."""
     use_utc(spark)
-    rows = build_training(
-        read_table(spark, S.GOLD_HISTORIC), read_table(spark, S.GOLD_FORECASTS), lookback_hours=lookback_hours
-    )
+    historic = read_table(spark, S.GOLD_HISTORIC, with_day=True)
+    forecasts = read_table(spark, S.GOLD_FORECASTS, with_day=True)
+    rows = build_training(historic, forecasts, lookback_hours=lookback_hours)
     upsert_table(spark, S.GOLD_TRAINING, rows, TRAINING_KEYS)
 
 
@@ -136,9 +136,9 @@ def run_score(spark: SparkSession, anchor: str = "global") -> None:
     """Append the predictions of the latest model for the hours ahead."""
     use_utc(spark)
     model, version = load_latest(spark)
-    rows = build_scoring(read_table(spark, S.GOLD_HISTORIC), read_table(spark, S.GOLD_FORECASTS), anchor=anchor)
-    scored = score(model, rows, version)
-    append_table(scored, S.GOLD_PREDICTIONS)
+    historic = read_table(spark, S.GOLD_HISTORIC, with_day=True)
+    forecasts = read_table(spark, S.GOLD_FORECASTS, with_day=True)
+    append_table(score(model, build_scoring(historic, forecasts, anchor=anchor), version), S.GOLD_PREDICTIONS)
 
 
 def run_monitor(spark: SparkSession, by_offset: bool = False) -> DataFrame:

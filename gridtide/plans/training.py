@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from gridtide.functions import calendar_columns, drop_incomplete, feature_columns
-from gridtide.operators import anchored_lookback, horizon
+from gridtide.operators import from_time, horizon
 from gridtide.plans.gold import VINTAGE
 from gridtide.schemas import FORECAST_PREFIXES, HISTORY_PREFIXES, LABEL, TARGET
 
@@ -49,7 +49,10 @@ def build_training(
 
     hours = historic.select(VINTAGE).filter(F.col(VINTAGE).isNotNull())
     if lookback_hours is not None:
-        hours = anchored_lookback(hours, VINTAGE, lookback_hours, hours.agg(F.max(VINTAGE)))
+        bound = historic.agg(F.max(VINTAGE) - F.make_dt_interval(F.lit(0), F.lit(lookback_hours))).scalar()
+        hours = hours.filter(F.col(VINTAGE) >= bound)
+        # Snapshots lie at their ingestion hour, targets after it.
+        historic, forecasts = from_time(historic, bound), from_time(forecasts, bound)
     hours = hours.distinct()
 
     lists = forecast_lists(forecasts, horizon_hours, forecast_cols)

@@ -35,6 +35,9 @@ GOLD_METRICS = "gold.model_metrics"
 GOLD_MODELS = "gold.models"
 GOLD_MONITORING = "gold.prediction_quality"
 
+# Partition column of the merge tables: the day of ``datetime``.
+DAY = "_day"
+
 # --- fixed values: column prefixes and names that mark features --------------
 HISTORY_PREFIXES = ("lag_", "rolling_avg_")
 FORECAST_PREFIXES = tuple(f"{m}_" for m in MEASURES)

@@ -13,9 +13,9 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from gridtide.operators.merge import unmatched_source, upsert
+from gridtide.schemas import DAY
 from gridtide.session import materialize
 
-DAY = "_day"
 # Up to this many touched days are named one by one; more become a range.
 _MAX_LISTED_DAYS = 1000
 
@@ -29,20 +29,10 @@ def table_exists(spark: SparkSession, name: str) -> bool:
     return spark.catalog.tableExists(name)
 
 
-def read_table(spark: SparkSession, name: str, since: tuple[str, Column] | None = None) -> DataFrame:
-    """The table without its partition column.
-
-    ``since=(ts_col, bound)`` keeps rows with ``ts_col >= bound``; if ``ts_col``
-    is what the table is partitioned by, whole days before it are not read.
-    """
+def read_table(spark: SparkSession, name: str, with_day: bool = False) -> DataFrame:
+    """The table; its partition column only on request (``from_time`` and ``at_time`` use it)."""
     df = spark.table(name)
-    if since is not None:
-        ts_col, bound = since
-        keep = F.col(ts_col) >= bound
-        if DAY in df.columns and ts_col == _partition_source(spark, name):
-            keep = keep & (F.col(DAY) >= F.to_date(bound))
-        df = df.filter(keep)
-    return df.drop(DAY)
+    return df if with_day else df.drop(DAY)
 
 
 def append_table(df: DataFrame, name: str) -> None:
@@ -51,11 +41,6 @@ def append_table(df: DataFrame, name: str) -> None:
     df.write.mode("append").format("parquet").saveAsTable(name)
 
 
-def _partition_source(spark: SparkSession, name: str) -> str | None:
-    rows = spark.sql(f"SHOW TBLPROPERTIES {name}").filter("key = 'gridtide.partition_ts'").select("value").head(1)
-    return rows[0][0] if rows else None
-
-
 def _by_day(df: DataFrame, ts_col: str) -> DataFrame:
     return df.withColumn(DAY, F.to_date(ts_col))
 
@@ -65,11 +50,9 @@ def _rebalanced(df: DataFrame) -> DataFrame:
     return df.hint("rebalance", F.col(DAY))
 
 
-def _create(df: DataFrame, name: str, ts_col: str) -> None:
-    spark = df.sparkSession
-    ensure_schema(spark, name)
+def _create(df: DataFrame, name: str) -> None:
+    ensure_schema(df.sparkSession, name)
     _rebalanced(df).write.format("parquet").mode("overwrite").partitionBy(DAY).saveAsTable(name)
-    spark.sql(f"ALTER TABLE {name} SET TBLPROPERTIES ('gridtide.partition_ts' = '{ts_col}')")
 
 
 def _touched(staged: DataFrame) -> Column | None:
@@ -104,7 +87,7 @@ def upsert_table(
     if ts_col not in keys:
         raise ValueError(f"{ts_col} must be one of the keys")
     if not table_exists(spark, name):
-        _create(_by_day(source, ts_col), name, ts_col)
+        _create(_by_day(source, ts_col), name)
         return
     staged = materialize(_by_day(source, ts_col))
     touched = _touched(staged)
@@ -132,7 +115,7 @@ def insert_new_table(
     if ts_col not in keys:
         raise ValueError(f"{ts_col} must be one of the keys")
     if not table_exists(spark, name):
-        _create(_by_day(source, ts_col), name, ts_col)
+        _create(_by_day(source, ts_col), name)
         return
     staged = materialize(_by_day(source, ts_col))
     touched = _touched(staged)
