@@ -7,10 +7,11 @@ from gridtide.operators.pivot import pivot_measures
 from gridtide.operators.ranges import (
     anchored_lookback, at_time, from_time, horizon, lookback, split_observed_forecast,
 )
+from gridtide.operators.sizes import broadcast_if_small
 from gridtide.operators.windows import lag_rolling_features, latest_per_key, latest_snapshot
 
 __all__ = [
-    "anchored_lookback", "at_time", "explode_history", "flatten_carbon", "flatten_power", "flatten_weather",
+    "anchored_lookback", "at_time", "broadcast_if_small", "explode_history", "flatten_carbon", "flatten_power", "flatten_weather",
     "from_time", "horizon", "hot_spans", "insert_new", "lag_rolling_features", "latest_per_key", "latest_snapshot",
     "lookback", "map_to_columns", "pivot_measures", "split_observed_forecast", "upsert",
 ]

@@ -6,21 +6,24 @@ always inserted.
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame, functions as F
 
 _MATCHES = "__matches"
 
 
-def upsert(target: DataFrame, source: DataFrame, keys: list[str], validate: bool = True) -> DataFrame:
+def upsert(
+    target: DataFrame, source: DataFrame, keys: list[str], validate: bool = True, small_source: bool = False
+) -> DataFrame:
     """Target with matched rows replaced and unmatched source rows added.
 
     The source keys are counted first (map-side), so copies of one key collapse
     before the join. With ``validate`` a target row matched by several source
-    rows fails the job, as a merge must.
+    rows fails the job, as a merge must. ``small_source`` is for a source known to
+    be small: its keys are broadcast and the target is not shuffled.
     """
     counted = source.groupBy(*keys).agg(F.count(F.lit(1)).alias(_MATCHES))
+    if small_source:
+        counted = F.broadcast(counted)
     joined = target.join(counted, keys, "left")
     unmatched = F.col(_MATCHES).isNull()
     if validate:
@@ -41,8 +44,3 @@ def unmatched_source(target: DataFrame, source: DataFrame, keys: list[str]) -> D
 def insert_new(target: DataFrame, source: DataFrame, keys: list[str]) -> DataFrame:
     """Target plus the source rows whose keys it lacks; target rows stay as they are."""
     return target.unionByName(unmatched_source(target, source, keys))
-
-
-def null_key(keys: list[str]):
-    """True for rows with a NULL in any key."""
-    return reduce(lambda a, b: a | b, (F.col(k).isNull() for k in keys))

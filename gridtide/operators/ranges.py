@@ -32,11 +32,13 @@ def anchored_lookback(
     """Rows of the last ``hours`` (plus ``extra_hours``) before an anchor found in the data.
 
     ``anchor_df`` has one row and one column; by default it is the latest full
-    hour of ``ts_col``. It enters as a scalar subquery: no join, no collect.
+    hour of ``ts_col``. The bound enters as a scalar subquery: no join, no collect,
+    and once known it is pushed into the scan.
     """
     if anchor_df is None:
         anchor_df = df.agg(F.max(F.date_trunc("hour", ts_col)))
-    return df.filter(F.col(ts_col) >= anchor_df.scalar() - _hours(hours + extra_hours))
+    bound = anchor_df.toDF("anchor").select(F.col("anchor") - _hours(hours + extra_hours)).scalar()
+    return df.filter(F.col(ts_col) >= bound)
 
 
 def from_time(df: DataFrame, bound: Column, ts_col: str = "datetime") -> DataFrame:

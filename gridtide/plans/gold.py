@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame
 
 from gridtide.functions import calendar_features, fill_numeric, forecast_offset, round_to_hour
-from gridtide.operators import lag_rolling_features, pivot_measures, split_observed_forecast
+from gridtide.operators import broadcast_if_small, lag_rolling_features, pivot_measures, split_observed_forecast
 from gridtide.schemas import CITIES, DAY, ENERGY_SERIES, MEASURES, sanitize
 
 VINTAGE = "ingested_hour_utc"
@@ -13,6 +13,10 @@ HISTORIC_KEYS = ["zone", "datetime"]
 FORECAST_KEYS = [VINTAGE, "datetime"]
 FEATURE_SCOPES = ("history", "batch")
 WINDOW_ROWS = 24
+# Up to these sizes a side is broadcast (some 40 MB): pivoted weather rows of 23
+# columns, and distinct full hours (a century has 900,000).
+_SMALL_WEATHER = 200_000
+SMALL_HOURS = 1_000_000
 
 
 def weather_series(cities=CITIES, measures=MEASURES) -> list[str]:
@@ -33,11 +37,15 @@ def vintages(energy: DataFrame) -> DataFrame:
 
 
 def join_weather(energy: DataFrame, weather: DataFrame, cities=CITIES, measures=MEASURES) -> DataFrame:
-    """Observed energy hours with the weather that the same ingestion hour observed for them."""
+    """Observed energy hours with the weather that the same ingestion hour observed for them.
+
+    Weather has no zone, so it is the smaller side by far; if a count allows, it
+    is broadcast and the wide energy rows are not shuffled for this join.
+    """
     observed, _ = split_observed_forecast(with_vintage(energy), "datetime", VINTAGE)
     seen, _ = split_observed_forecast(with_vintage(weather, keep_raw=True), "datetime", VINTAGE)
     wide = pivot_measures(seen, FORECAST_KEYS, "name", list(cities), list(measures), ["ingested_at"])
-    return observed.join(wide, FORECAST_KEYS, "inner")
+    return observed.join(broadcast_if_small(wide, _SMALL_WEATHER), FORECAST_KEYS, "inner")
 
 
 def feature_keys(energy: DataFrame, weather: DataFrame) -> DataFrame:
@@ -87,6 +95,6 @@ def build_forecasts(
     """
     _, ahead = split_observed_forecast(with_vintage(weather, keep_raw=True), "datetime", VINTAGE)
     if hours is not None:
-        ahead = ahead.join(hours, VINTAGE, "left_semi")
+        ahead = ahead.join(broadcast_if_small(hours, SMALL_HOURS), VINTAGE, "left_semi")
     wide = pivot_measures(ahead, FORECAST_KEYS, "name", list(cities), list(measures), ["ingested_at"])
     return wide.withColumn("forecast_offset_h", forecast_offset("datetime", VINTAGE))

@@ -5,10 +5,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from gridtide.functions import calendar_columns, drop_incomplete, feature_columns
-from gridtide.operators import from_time, horizon
-from gridtide.plans.gold import VINTAGE
+from gridtide.operators import broadcast_if_small, from_time, horizon
+from gridtide.plans.gold import SMALL_HOURS, VINTAGE
 from gridtide.schemas import FORECAST_PREFIXES, HISTORY_PREFIXES, LABEL, TARGET
 
+# Up to this many vintages their arrays (5 kB each) are broadcast.
+_SMALL_LISTS = 10_000
 TRAINING_KEYS = ["zone", VINTAGE, "datetime"]
 
 
@@ -41,8 +43,8 @@ def build_training(
     latest one; None takes them all.
 
     Whether an hour counts is decided on narrow rows (keys and target). The wide
-    snapshot is shuffled once per hour, not once per forecast hour: it is joined
-    with arrays and expanded afterwards.
+    snapshot is shuffled by (zone, hour) before it is expanded, not per forecast
+    hour: it is joined with arrays, which are broadcast if a count allows.
     """
     snapshot_cols = feature_columns(historic, HISTORY_PREFIXES)
     forecast_cols = feature_columns(forecasts, FORECAST_PREFIXES)
@@ -53,9 +55,9 @@ def build_training(
         hours = hours.filter(F.col(VINTAGE) >= bound)
         # Snapshots lie at their ingestion hour, targets after it.
         historic, forecasts = from_time(historic, bound), from_time(forecasts, bound)
-    hours = hours.distinct()
+    hours = broadcast_if_small(hours.distinct(), SMALL_HOURS)
 
-    lists = forecast_lists(forecasts, horizon_hours, forecast_cols)
+    lists = broadcast_if_small(forecast_lists(forecasts, horizon_hours, forecast_cols), _SMALL_LISTS)
 
     at_hour = historic.withColumn(VINTAGE, F.col("datetime"))
     keys = at_hour.select(group, VINTAGE).join(hours, VINTAGE, "left_semi").distinct()

@@ -18,6 +18,8 @@ from gridtide.session import materialize
 
 # Up to this many touched days are named one by one; more become a range.
 _MAX_LISTED_DAYS = 1000
+# Up to this many source rows their keys are broadcast (some 50 MB).
+_SMALL_SOURCE = 500_000
 
 
 def ensure_schema(spark: SparkSession, name: str) -> None:
@@ -94,7 +96,8 @@ def upsert_table(
     if touched is None:
         return
     current = spark.table(name).filter(touched)
-    merged = upsert(current, staged.select(*current.columns), keys, validate)
+    small = staged.count() <= _SMALL_SOURCE
+    merged = upsert(current, staged.select(*current.columns), keys, validate, small)
     _overwrite_days(spark, _rebalanced(merged), name)
 
 

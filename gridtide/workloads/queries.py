@@ -256,39 +256,39 @@ def union_by_name(spark, sf_dir):
 
 # --- feature tables -----------------------------------------------------------------------
 
-def _historic(spark, sf_dir, **options) -> DataFrame:
-    return gold.build_historic(feeds.energy(spark, sf_dir), feeds.weather(spark, sf_dir), **options)
-
-
-def _forecasts(spark, sf_dir) -> DataFrame:
-    return gold.build_forecasts(feeds.weather(spark, sf_dir), gold.vintages(feeds.energy(spark, sf_dir)))
+def _silver(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
+    """Clean energy and weather tables, written out between the stages as the jobs do."""
+    return materialize(feeds.energy(spark, sf_dir)), materialize(feeds.weather(spark, sf_dir))
 
 
 def _gold_tables(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
-    """History and forecasts, written out between the stages as the jobs do."""
-    return materialize(_historic(spark, sf_dir)), materialize(_forecasts(spark, sf_dir))
+    """History and forecast tables, written out too."""
+    energy, weather = _silver(spark, sf_dir)
+    historic = gold.build_historic(energy, weather)
+    return materialize(historic), materialize(gold.build_forecasts(weather, gold.vintages(energy)))
 
 
 @query
 def historic_gold(spark, sf_dir):
-    return plain(_historic(spark, sf_dir), ("rolling_avg_",))
+    return plain(gold.build_historic(*_silver(spark, sf_dir)), ("rolling_avg_",))
 
 
 @query
 def historic_gold_batch(spark, sf_dir):
-    return plain(_historic(spark, sf_dir, feature_scope="batch"), ("rolling_avg_",))
+    return plain(gold.build_historic(*_silver(spark, sf_dir), feature_scope="batch"), ("rolling_avg_",))
 
 
 @query
 def bronze_to_gold(spark, sf_dir):
-    energy = silver.build_energy(feeds.power_bronze(spark, sf_dir), feeds.carbon_bronze(spark, sf_dir))
-    weather = silver.build_weather(feeds.weather_bronze(spark, sf_dir))
+    energy = materialize(silver.build_energy(feeds.power_bronze(spark, sf_dir), feeds.carbon_bronze(spark, sf_dir)))
+    weather = materialize(silver.build_weather(feeds.weather_bronze(spark, sf_dir)))
     return plain(gold.build_historic(energy, weather), ("rolling_avg_",))
 
 
 @query
 def forecast_gold(spark, sf_dir):
-    return plain(_forecasts(spark, sf_dir))
+    energy, weather = _silver(spark, sf_dir)
+    return plain(gold.build_forecasts(weather, gold.vintages(energy)))
 
 
 @query
