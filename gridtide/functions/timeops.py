@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from gridtide.schemas import ISO_MILLIS, WEATHER_TIME_ZONE
@@ -11,6 +13,13 @@ def _col(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def instant(moment: dt.datetime | Column) -> Column:
+    """A literal instant; a time without zone counts as UTC, whatever the driver's own zone."""
+    if isinstance(moment, Column):
+        return moment
+    return F.lit(moment if moment.tzinfo else moment.replace(tzinfo=dt.timezone.utc))
+
+
 def parse_utc(text: str | Column, pattern: str = ISO_MILLIS) -> Column:
     """Timestamp from text; text of another form gives NULL instead of an error."""
     return F.try_to_timestamp(_col(text), F.lit(pattern))

@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.ml import PipelineModel
 from pyspark.sql import Column, DataFrame, functions as F
 
-from gridtide.functions import calendar_columns, drop_incomplete, feature_columns
+from gridtide.functions import calendar_columns, drop_incomplete, feature_columns, instant
 from gridtide.operators import horizon, latest_snapshot
 from gridtide.plans.gold import VINTAGE
 from gridtide.schemas import FORECAST_PREFIXES, HISTORY_PREFIXES
@@ -47,15 +47,12 @@ def score(
     stamped_at: dt.datetime | Column | None = None,
 ) -> DataFrame:
     """Predictions with their keys: the group and the five prediction columns."""
-    if stamped_at is None:
-        stamped_at = F.current_timestamp()
-    elif not isinstance(stamped_at, Column):
-        stamped_at = F.lit(stamped_at)
+    stamp = F.current_timestamp() if stamped_at is None else instant(stamped_at)
     return model.transform(rows).select(
         VINTAGE,
         "datetime",
         "prediction",
-        stamped_at.alias("prediction_ingested_at"),
+        stamp.alias("prediction_ingested_at"),
         F.lit(str(version)).alias("model_version"),
         group,
     )

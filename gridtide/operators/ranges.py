@@ -6,6 +6,7 @@ import datetime as dt
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from gridtide.functions.timeops import instant
 from gridtide.schemas import DAY
 
 
@@ -19,10 +20,7 @@ def lookback(df: DataFrame, ts_col: str, hours: int, as_of: dt.datetime | Column
     The column stands bare on the left of a constant, so the filter reaches the
     Parquet scan.
     """
-    if as_of is None:
-        end = F.current_timestamp()
-    else:
-        end = as_of if isinstance(as_of, Column) else F.lit(as_of)
+    end = F.current_timestamp() if as_of is None else instant(as_of)
     return df.filter(F.col(ts_col) >= end - _hours(hours))
 
 

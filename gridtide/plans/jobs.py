@@ -22,7 +22,7 @@ from gridtide.plans.gold import (
 )
 from gridtide.plans.silver import ENERGY_KEYS, WEATHER_KEYS, build_energy, build_weather
 from gridtide.plans.training import TRAINING_KEYS, build_training, chrono_split
-from gridtide.session import use_utc
+from gridtide.session import materialize, use_utc
 from gridtide.sources import append_table, insert_new_table, land_csv, land_json, read_table, table_exists, upsert_table
 
 DEFAULT_LOOKBACK = 12
@@ -138,7 +138,10 @@ def run_score(spark: SparkSession, anchor: str = "global") -> None:
     model, version = load_latest(spark)
     historic = read_table(spark, S.GOLD_HISTORIC, with_day=True)
     forecasts = read_table(spark, S.GOLD_FORECASTS, with_day=True)
-    append_table(score(model, build_scoring(historic, forecasts, anchor=anchor), version), S.GOLD_PREDICTIONS)
+    scored = materialize(score(model, build_scoring(historic, forecasts, anchor=anchor), version))
+    if scored.isEmpty():
+        warnings.warn("no forecasts of the latest hour; nothing was predicted")
+    append_table(scored, S.GOLD_PREDICTIONS)
 
 
 def run_monitor(spark: SparkSession, by_offset: bool = False) -> DataFrame:

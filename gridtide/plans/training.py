@@ -118,5 +118,6 @@ def chrono_split(
     The point is computed once, as one value: two approximate runs might differ,
     and then a vintage could be in both parts or in none.
     """
-    at = df.agg(F.percentile_approx(ts_col, share, accuracy)).head()[0]
-    return df.filter(F.col(ts_col) <= F.lit(at)), df.filter(F.col(ts_col) > F.lit(at))
+    micros = df.agg(F.unix_micros(F.percentile_approx(ts_col, share, accuracy))).head()[0]
+    at = F.timestamp_micros(F.lit(micros))
+    return df.filter(F.col(ts_col) <= at), df.filter(F.col(ts_col) > at)

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -54,13 +56,30 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return named
 
 
+def _write_out(df: DataFrame) -> tuple[DataFrame, str]:
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/gridtide-{uuid.uuid4()}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path), path
+
+
 def materialize(df: DataFrame) -> DataFrame:
     """Write ``df`` as Parquet in the shared checkpoint folder and read it back.
 
     Cuts the lineage like a checkpoint does, survives lost executors, and unlike
-    a checkpoint keeps column pruning, filter pushdown and size statistics.
+    a checkpoint keeps column pruning, filter pushdown and size statistics. Like
+    a checkpoint it stays in the folder.
     """
+    return _write_out(df)[0]
+
+
+@contextmanager
+def staged(df: DataFrame) -> Iterator[DataFrame]:
+    """``materialize`` for the length of a block; the files are removed after it."""
     spark = df.sparkSession
-    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/gridtide-{uuid.uuid4()}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    written, path = _write_out(df)
+    try:
+        yield written
+    finally:
+        location = spark._jvm.org.apache.hadoop.fs.Path(path)
+        location.getFileSystem(spark._jsc.hadoopConfiguration()).delete(location, True)

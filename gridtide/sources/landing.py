@@ -7,6 +7,8 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 
+from gridtide.functions.timeops import instant
+
 _TEXT = T.StructType([T.StructField("value", T.StringType())])
 _CSV_TEXT = T.StructType([T.StructField("value", T.StringType()), T.StructField("location_name", T.StringType())])
 
@@ -15,7 +17,7 @@ def _stamp(ingested_at: dt.datetime | Column | None) -> Column:
     # The file time, unlike the clock, is the same when a lost task is run again.
     if ingested_at is None:
         return F.col("_metadata.file_modification_time").cast("timestamp")
-    return ingested_at if isinstance(ingested_at, Column) else F.lit(ingested_at)
+    return instant(ingested_at)
 
 
 def _read(spark: SparkSession, path: str, schema: T.StructType, stream: bool) -> DataFrame:

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from gridtide.operators.merge import unmatched_source, upsert
 from gridtide.schemas import DAY
-from gridtide.session import materialize
+from gridtide.session import staged
 
 # Up to this many touched days are named one by one; more become a range.
 _MAX_LISTED_DAYS = 1000
@@ -57,18 +57,18 @@ def _create(df: DataFrame, name: str) -> None:
     _rebalanced(df).write.format("parquet").mode("overwrite").partitionBy(DAY).saveAsTable(name)
 
 
-def _touched(staged: DataFrame) -> Column | None:
-    """Filter on the day column that covers every day of ``staged``; None if it is empty.
+def _touched(batch: DataFrame) -> Column | None:
+    """Filter on the day column that covers every day of ``batch``; None if it is empty.
 
     Only day bounds and, if they are few, the days themselves reach the driver.
     """
-    lo, hi, n, nulls = staged.agg(
+    lo, hi, n, nulls = batch.agg(
         F.min(DAY), F.max(DAY), F.approx_count_distinct(DAY), F.count(F.when(F.col(DAY).isNull(), 1))
     ).head()
     parts = []
     if lo is not None:
         if n <= _MAX_LISTED_DAYS:
-            days = [r[0] for r in staged.filter(F.col(DAY).isNotNull()).select(DAY).distinct().collect()]
+            days = [r[0] for r in batch.filter(F.col(DAY).isNotNull()).select(DAY).distinct().collect()]
             parts.append(F.col(DAY).isin(days))
         else:
             parts.append(F.col(DAY).between(lo, hi))
@@ -91,14 +91,14 @@ def upsert_table(
     if not table_exists(spark, name):
         _create(_by_day(source, ts_col), name)
         return
-    staged = materialize(_by_day(source, ts_col))
-    touched = _touched(staged)
-    if touched is None:
-        return
-    current = spark.table(name).filter(touched)
-    small = staged.count() <= _SMALL_SOURCE
-    merged = upsert(current, staged.select(*current.columns), keys, validate, small)
-    _overwrite_days(spark, _rebalanced(merged), name)
+    with staged(_by_day(source, ts_col)) as batch:
+        touched = _touched(batch)
+        if touched is None:
+            return
+        current = spark.table(name).filter(touched)
+        small = batch.count() <= _SMALL_SOURCE
+        merged = upsert(current, batch.select(*current.columns), keys, validate, small)
+        _overwrite_days(spark, _rebalanced(merged), name)
 
 
 def _overwrite_days(spark: SparkSession, df: DataFrame, name: str) -> None:
@@ -120,10 +120,9 @@ def insert_new_table(
     if not table_exists(spark, name):
         _create(_by_day(source, ts_col), name)
         return
-    staged = materialize(_by_day(source, ts_col))
-    touched = _touched(staged)
-    if touched is None:
-        return
-    current = spark.table(name).filter(touched)
-    fresh = unmatched_source(current, staged, keys)
-    _rebalanced(fresh).select(*spark.table(name).columns).write.insertInto(name)
+    with staged(_by_day(source, ts_col)) as batch:
+        touched = _touched(batch)
+        if touched is None:
+            return
+        fresh = unmatched_source(spark.table(name).filter(touched), batch, keys)
+        _rebalanced(fresh).select(*spark.table(name).columns).write.insertInto(name)

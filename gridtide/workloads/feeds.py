@@ -81,9 +81,13 @@ def deliveries(hours: DataFrame, lags: tuple[int, ...]) -> DataFrame:
     return hours.select("*", lag).withColumn("v", plus_hours(next_batch(), F.col("lag") * BATCH_HOURS))
 
 
-def _bronze(entries: DataFrame, entry: Column, source: str, minutes: int) -> DataFrame:
+def _payloads(entries: DataFrame, entry: Column) -> DataFrame:
     payload = F.to_json(F.struct("zone", F.sort_array(F.collect_list(entry)).alias("history")))
-    return entries.groupBy("zone", "v").agg(payload.alias("raw_json")).select(
+    return entries.groupBy("zone", "v").agg(payload.alias("raw_json"))
+
+
+def _bronze(payloads: DataFrame, source: str, minutes: int) -> DataFrame:
+    return payloads.select(
         F.lit(source).alias("source"), "raw_json", plus_minutes(F.col("v"), minutes).alias("ingested_at")
     )
 
@@ -92,8 +96,8 @@ def _stamp() -> Column:
     return F.concat(F.date_format("h", ISO), F.lit(".000Z")).alias("datetime")
 
 
-def power_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Power payloads; an hour's first delivery is an estimate, one too high."""
+def power_payloads(spark: SparkSession, sf_dir: str, lags: tuple[int, ...] = (0, 1)) -> DataFrame:
+    """Power payloads by zone and delivery; an hour's first delivery is an estimate, one too high."""
     def part(name, keys):
         return F.struct(*[F.col(f"{name}_{x}").alias(x) for x in keys]).alias(f"power{name.title()}Breakdown")
 
@@ -104,7 +108,12 @@ def power_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("n") + first.cast("int")).alias("powerConsumptionTotal"), F.col("sk").alias("powerProductionTotal"),
         F.col("hi").alias("powerImportTotal"), F.col("lo").alias("powerExportTotal"), first.alias("isEstimated"),
     )
-    return _bronze(deliveries(hourly(spark, sf_dir), (0, 1)), entry, "power_data", 10)
+    return _payloads(deliveries(hourly(spark, sf_dir), lags), entry)
+
+
+def power_bronze(spark: SparkSession, sf_dir: str, lags: tuple[int, ...] = (0, 1)) -> DataFrame:
+    """Power payloads as they lie in bronze."""
+    return _bronze(power_payloads(spark, sf_dir, lags), "power_data", 10)
 
 
 def carbon_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -113,10 +122,13 @@ def carbon_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
         _stamp(), "zone", F.expr("cents div n").alias("carbonIntensity"), (F.col("lag") == 0).alias("isEstimated")
     )
     hours = hourly(spark, sf_dir).filter(F.col("sk") >= CARBON_MIN)
-    return _bronze(deliveries(hours, (0, 1)), entry, "carbon_intensity", 11)
+    return _bronze(_payloads(deliveries(hours, (0, 1)), entry), "carbon_intensity", 11)
+
+
+WEATHER_LAGS = (-2, -1, 0, 1)
 
 
-def _weather_values(hours: DataFrame) -> DataFrame:
+def _weather_values(hours: DataFrame, lags: tuple[int, ...] = WEATHER_LAGS) -> DataFrame:
     """One row per (place, h, v); the temperature is revised with every delivery."""
     place = F.create_map(*[F.lit(x) for kv in PLACES.items() for x in kv])[F.col("zone")]
     measures = {
@@ -128,14 +140,14 @@ def _weather_values(hours: DataFrame) -> DataFrame:
         "cloudcover": F.col("lo").cast("double"),
         "solarenergy": F.col("cents") / 100.0,
     }
-    return deliveries(hours, (-2, -1, 0, 1)).select(
+    return deliveries(hours, lags).select(
         place.alias("name"), F.lit(37.5).alias("latitude"), F.lit(23.75).alias("longitude"), "h", "v",
         *[c.alias(m) for m, c in measures.items()], F.concat(F.lit("S1,"), F.col("zone")).alias("stations"),
     )
 
 
-def weather_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Weather payloads: CSV text with one header line, local times, quoted names."""
+def weather_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Weather payloads by place and delivery: CSV text with one header line, local times, quoted names."""
     values = _weather_values(hourly(spark, sf_dir))
 
     def quoted(c):
@@ -147,26 +159,34 @@ def weather_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
               else F.col(c).cast("string") for c in WEATHER_COLUMNS]
     lines = F.sort_array(F.collect_list(F.concat_ws(",", *fields)))
     header = F.array(F.lit(",".join(WEATHER_COLUMNS)))
-    return values.groupBy("name", "v").agg(F.array_join(F.concat(header, lines), "\r\n").alias("raw_csv")).select(
-        F.col("name").alias("location_name"), "raw_csv", plus_minutes(F.col("v"), 10).alias("ingested_at")
+    return values.groupBy(F.col("name").alias("location_name"), "v").agg(
+        F.array_join(F.concat(header, lines), "\r\n").alias("raw_csv")
+    )
+
+
+def weather_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Weather payloads as they lie in bronze."""
+    return weather_payloads(spark, sf_dir).select(
+        "location_name", "raw_csv", plus_minutes(F.col("v"), 10).alias("ingested_at")
     )
 
 
-def energy(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """What the power and carbon payloads come to, made directly: the last delivery of each hour."""
-    settled = deliveries(hourly(spark, sf_dir).filter(F.col("sk") >= CARBON_MIN), (1,))
-    return settled.select(
+def energy(spark: SparkSession, sf_dir: str, lag: int = 1) -> DataFrame:
+    """What the power and carbon payloads come to, made directly: by default the last delivery of each hour."""
+    given = deliveries(hourly(spark, sf_dir).filter(F.col("sk") >= CARBON_MIN), (lag,))
+    estimated = F.lit(lag == 0)
+    return given.select(
         "zone", F.col("h").alias("datetime"), plus_minutes(F.col("v"), 10).alias("ingested_at"),
         plus_minutes(F.col("v"), 11).alias("ingested_at_carbon"),
-        F.lit(False).alias("isEstimated_power"), F.lit(False).alias("isEstimated_carbon"),
-        *[c for c in settled.columns if c.startswith(("consumption_", "production_", "import_", "export_"))],
-        F.col("n").alias("consumption_total"), F.col("sk").alias("production_total"),
+        estimated.alias("isEstimated_power"), estimated.alias("isEstimated_carbon"),
+        *[c for c in given.columns if c.startswith(("consumption_", "production_", "import_", "export_"))],
+        (F.col("n") + estimated.cast("int")).alias("consumption_total"), F.col("sk").alias("production_total"),
         F.col("hi").alias("import_total"), F.col("lo").alias("export_total"),
         F.expr("cents div n").alias("carbon_intensity"),
     ).select(*ENERGY_COLUMNS)
 
 
-def weather(spark: SparkSession, sf_dir: str) -> DataFrame:
+def weather(spark: SparkSession, sf_dir: str, lags: tuple[int, ...] = WEATHER_LAGS) -> DataFrame:
     """What the weather payloads come to, made directly."""
-    values = _weather_values(hourly(spark, sf_dir)).withColumnRenamed("h", "datetime")
+    values = _weather_values(hourly(spark, sf_dir), lags).withColumnRenamed("h", "datetime")
     return values.select(*WEATHER_COLUMNS, plus_minutes(F.col("v"), 10).alias("ingested_at"))

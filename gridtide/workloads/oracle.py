@@ -141,6 +141,19 @@ SQL["carbon_revisions"] = f"""{_base()}
     FROM {_delivered('[0, 1]')} WHERE sk >= {CARBON_MIN}"""
 SQL["csv_flatten"] = f"{_base(_WEATHER)} SELECT {_WEATHER_OUT} FROM weather"
 
+# --- landed files and tables --------------------------------------------------------------
+SQL["land_json_files"] = SQL["power_revisions"]
+SQL["land_csv_files"] = SQL["csv_flatten"]
+SQL["table_append"] = SQL["power_revisions"]
+SQL["table_upsert"] = f"""{_base(_ENERGY)}
+    SELECT * EXCLUDE (vintage, again)
+           REPLACE (CASE WHEN again THEN ingested_at ELSE ingested_at - INTERVAL 12 HOUR END AS ingested_at,
+                    CASE WHEN again THEN ingested_at_carbon ELSE ingested_at_carbon - INTERVAL 12 HOUR END AS ingested_at_carbon,
+                    NOT again AS "isEstimated_power", NOT again AS "isEstimated_carbon",
+                    consumption_total + (NOT again)::INT AS consumption_total)
+    FROM (SELECT *, zone IN ('click', 'view') AS again FROM energy)"""
+SQL["table_insert_new"] = SQL["csv_flatten"]
+
 # --- clean tables ------------------------------------------------------------------------
 SQL["silver_energy"] = f"{_base(_ENERGY)} SELECT * EXCLUDE (vintage) FROM energy"
 SQL["silver_weather_latest"] = f"""{_base(_WEATHER)}

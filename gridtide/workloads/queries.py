@@ -3,17 +3,20 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Callable
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from gridtide import functions as fx
 from gridtide import operators as op
+from gridtide import sources
 from gridtide.model import gbt
 from gridtide.model.monitor import match_actuals, monitor
 from gridtide.model.scoring import build_scoring, score
 from gridtide.plans import gold, silver, training
-from gridtide.session import materialize
+from gridtide.session import ensure_checkpoint_dir, materialize
 from gridtide.workloads import feeds
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -74,6 +77,70 @@ def csv_flatten(spark, sf_dir):
     return plain(op.flatten_weather(feeds.weather_bronze(spark, sf_dir)))
 
 
+# --- landed files and tables ---------------------------------------------------------
+
+def _land(spark, payloads: DataFrame, text: str) -> str:
+    """Write one file per payload to the shared checkpoint folder; returns the folder."""
+    folder = f"{ensure_checkpoint_dir(spark).rstrip('/')}/landing-{uuid.uuid4()}"
+    keys = [c for c in payloads.columns if c != text]
+    payloads.repartition(*keys).write.partitionBy(*keys).text(folder)
+    return folder
+
+
+def _delivered_at():
+    return feeds.plus_minutes(F.col("v").cast("timestamp"), 10)
+
+
+@query
+def land_json_files(spark, sf_dir):
+    folder = _land(spark, feeds.power_payloads(spark, sf_dir), "raw_json")
+    return plain(op.flatten_power(sources.land_json(spark, folder, "power_data", _delivered_at())))
+
+
+@query
+def land_csv_files(spark, sf_dir):
+    folder = _land(spark, feeds.weather_payloads(spark, sf_dir), "raw_csv")
+    return plain(op.flatten_weather(sources.land_csv(spark, folder, _delivered_at())))
+
+
+@contextmanager
+def _scratch_table(spark):
+    """Name of a table in a schema of its own under the shared checkpoint folder."""
+    schema = f"check_{uuid.uuid4().hex}"
+    spark.sql(f"CREATE SCHEMA {schema} LOCATION '{ensure_checkpoint_dir(spark).rstrip('/')}/{schema}'")
+    try:
+        yield f"{schema}.t"
+    finally:
+        spark.sql(f"DROP SCHEMA {schema} CASCADE")
+
+
+@query
+def table_append(spark, sf_dir):
+    with _scratch_table(spark) as name:
+        for lag in (0, 1):
+            sources.append_table(feeds.power_bronze(spark, sf_dir, (lag,)), name)
+        return plain(materialize(op.flatten_power(sources.read_table(spark, name))))
+
+
+@query
+def table_upsert(spark, sf_dir):
+    """All zones as first delivered; then two of them deliver again."""
+    again = feeds.energy(spark, sf_dir).filter(F.col("zone").isin("click", "view"))
+    with _scratch_table(spark) as name:
+        for source in (feeds.energy(spark, sf_dir, lag=0), again):
+            sources.upsert_table(spark, name, source, silver.ENERGY_KEYS)
+        return plain(materialize(sources.read_table(spark, name)))
+
+
+@query
+def table_insert_new(spark, sf_dir):
+    """Two overlapping loads; the vintages in both are kept once."""
+    with _scratch_table(spark) as name:
+        for lags in ((-2, -1), (-1, 0, 1)):
+            sources.insert_new_table(spark, name, feeds.weather(spark, sf_dir, lags), silver.WEATHER_KEYS)
+        return plain(materialize(sources.read_table(spark, name)))
+
+
 # --- clean tables ----------------------------------------------------------------
 
 @query
