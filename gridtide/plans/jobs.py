@@ -29,6 +29,8 @@ DEFAULT_LOOKBACK = 12
 # A vintage has its targets only a day later, so a shorter window never yields rows.
 TRAINING_LOOKBACK = 48
 WEATHER_EXTRA_HOURS = 24
+# Days searched first for the rows before a changed hour.
+PROBE_DAYS = 7
 
 
 def run_ingest(
@@ -84,19 +86,34 @@ def gold_inputs(
         return recent, anchored_lookback(weather, "ingested_at", lookback_hours, anchor, WEATHER_EXTRA_HOURS), None
 
     first = feature_keys(recent, weather).agg(F.min("datetime")).scalar()
-    earlier = feature_keys(energy, weather).filter(F.col("datetime") < first)
-    newest = Window.partitionBy("zone").orderBy(F.col("datetime").desc())
-    filling = earlier.withColumn("r", F.row_number().over(newest)).filter(F.col("r") <= WINDOW_ROWS - 1)
-    start = filling.agg(F.min("datetime")).scalar()
+    start = _filling(energy, weather, first).agg(F.min("datetime")).scalar()
     rows = from_time(energy, F.coalesce(start, first))
     oldest = rows.agg(F.min("ingested_at") - F.make_dt_interval(F.lit(0), F.lit(1))).scalar()
     return rows, weather.filter(F.col("ingested_at") >= oldest), first
 
 
+def _filling(energy: DataFrame, weather: DataFrame, first: Column) -> DataFrame:
+    """(zone, datetime) of the last ``WINDOW_ROWS - 1`` feature rows of each zone before ``first``.
+
+    The days just before are tried first. Only if some zone has too few rows in
+    them (it is new, or has gaps) all earlier days are read.
+    """
+    def before(from_hour: Column | None) -> DataFrame:
+        sides = [energy, weather] if from_hour is None else [from_time(energy, from_hour), from_time(weather, from_hour)]
+        newest = Window.partitionBy("zone").orderBy(F.col("datetime").desc())
+        ranked = feature_keys(*sides).filter(F.col("datetime") < first).withColumn("r", F.row_number().over(newest))
+        return ranked.filter(F.col("r") <= WINDOW_ROWS - 1)
+
+    near = before(first - F.make_dt_interval(F.lit(PROBE_DAYS)))
+    full = near.groupBy("zone").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") == WINDOW_ROWS - 1)
+    short = from_time(energy, first).select("zone").distinct().join(full, "zone", "left_anti")
+    return near if short.isEmpty() else before(None)
+
+
 def run_gold(spark: SparkSession, lookback_hours: int = DEFAULT_LOOKBACK, feature_scope: str = "history") -> None:
     """Merge feature rows and forecasts of the recent ingestion hours into the gold tables."""
     use_utc(spark)
-    energy, weather = read_table(spark, S.SILVER_ENERGY, with_day=True), read_table(spark, S.SILVER_WEATHER)
+    energy, weather = (read_table(spark, n, with_day=True) for n in (S.SILVER_ENERGY, S.SILVER_WEATHER))
     rows, near, first = gold_inputs(energy, weather, lookback_hours, feature_scope)
     historic = build_historic(rows, near, feature_scope=feature_scope)
     if first is not None:

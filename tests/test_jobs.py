@@ -106,6 +106,8 @@ def test_everything_end_to_end(spark, clean_tables, tmp_path):
     ingest(spark, tmp_path, 14, zones)
     jobs.run_silver(spark, 12, payloads.run_time(14))
     jobs.run_gold(spark, 12)
+    energy, weather = read_table(spark, S.SILVER_ENERGY), read_table(spark, S.SILVER_WEATHER)
+    assert rows(rounded(read_table(spark, S.GOLD_HISTORIC))) == rows(rounded(build_historic(energy, weather)))
     report = jobs.run_monitor(spark)
     assert sum(r.n for r in report.collect()) == 6  # each prediction once, however often it was stored
     assert sum(r.n for r in jobs.run_monitor(spark, by_offset=True).collect()) == 6
@@ -127,6 +129,28 @@ def test_batch_scope_equals_history_scope_within_one_batch(spark, clean_tables,
     assert build_forecasts(weather, vintages(energy)).count() == build_forecasts(weather).count()
 
 
+def test_rows_before_a_change_are_found_near_or_far(spark):
+    hour = dt.timedelta(hours=1)
+    first = payloads.START + 2000 * hour
+
+    def at(zone, back):
+        t = first - back * hour
+        return (zone, t, t)
+
+    ddl = "zone string, datetime timestamp, ingested_at timestamp"
+    dense = [at("a", b) for b in range(-2, 60)]
+    gaps = [at("b", b) for b in (-1, 3, 9, 900, 1500)]
+
+    def filling(data):
+        energy = spark.createDataFrame(data, ddl)
+        found = jobs._filling(energy, energy.drop("zone"), F.lit(first.replace(tzinfo=dt.timezone.utc)))
+        return {(r.zone, (first - r.datetime) // hour) for r in found.collect()}
+
+    near = {("a", b) for b in range(1, 24)}
+    assert filling(dense) == near
+    assert filling(dense + gaps) == near | {("b", b) for b in (3, 9, 900, 1500)}
+
+
 # --- table layer -----------------------------------------------------------------
 
 KEYS = ["k", "datetime"]
