@@ -1,12 +1,14 @@
 """Line dedup by site-relative frequency.
 
 The pages of a site that hold a line, divided by the pages of the site, say how much
-of a boilerplate the line is. Lines above ``ratio`` that stand on at least
-``min_pages`` pages of the site are dropped from all of its pages. Lines are
-compared without the white space around them; lines without a word stay.
-
-Scale: only (site, 128-bit line hash) pairs are shuffled, counted map-side first, so a
-line that stands on a third of all pages costs one row per task. A site has at most
+of a boilerplate the line is. Pages with one and the same text count once, so a page
+that was copied many times does not turn into boilerplate. Lines above ``ratio`` that
+stand on at least ``min_pages`` pages of the site are dropped from all of its pages.
+Lines are compared without the white space around them; lines without a word stay.
+
+Scale: only hashes (site, page, 128-bit line) are shuffled, copies combined map-side,
+first by all three and then counted by site and line, so neither a line that stands on
+a third of all pages nor a page copied as often gathers in one task. A site has at most
 (lines of a page on average) / ``ratio`` boilerplate lines; they travel as one array per
 site, broadcast if they are few and joined by shuffle otherwise, where adaptive
 execution splits a hot site. Texts are cleaned where they are read.
@@ -18,7 +20,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from gridtide.session import materialize
 
-RATIO = 0.005
+RATIO = 0.1
 MIN_PAGES = 5
 # Boilerplate lines that are broadcast at most (some 16 MB), beyond it sites are joined by a shuffle.
 SMALL_LINES = 500_000
@@ -41,12 +43,16 @@ def boilerplate_lines(
     docs: DataFrame, site_col: str, text_col: str, ratio: float = RATIO, min_pages: int = MIN_PAGES
 ) -> DataFrame:
     """(site, line_key, pages, site_pages) of the lines above the ratio."""
-    pages = docs.select(_site(F.col(site_col)).alias("site"), F.col(text_col).alias("text"))
-    sizes = pages.groupBy("site").agg(F.count(F.lit(1)).alias("site_pages"))
-    keys = F.array_distinct(F.transform(F.split(F.coalesce("text", F.lit("")), "\n"), _key))
-    lines = pages.select("site", F.explode(keys).alias("line_key")).filter(F.col("line_key").isNotNull())
-    counted = lines.groupBy("site", "line_key").agg(F.count(F.lit(1)).alias("pages")).filter(F.col("pages") >= min_pages)
-    return counted.join(sizes, "site").filter(F.col("pages") > ratio * F.col("site_pages"))
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    pages = docs.select(_site(F.col(site_col)).alias("site"), F.xxhash64(text, F.length(text)).alias("page"), text.alias("text"))
+    sizes = pages.select("site", "page").distinct().groupBy("site").agg(F.count(F.lit(1)).alias("site_pages"))
+    keys = F.array_distinct(F.transform(F.split("text", "\n"), _key))
+    lines = pages.select("site", "page", F.explode(keys).alias("key")).filter(F.col("key").isNotNull())
+    once = lines.select("site", "page", F.unhex("key").alias("line_key")).distinct()
+    counted = once.groupBy("site", "line_key").agg(F.count(F.lit(1)).alias("pages")).filter(F.col("pages") >= min_pages)
+    return counted.join(sizes, "site").filter(F.col("pages") > ratio * F.col("site_pages")).select(
+        "site", F.lower(F.hex("line_key")).alias("line_key"), "pages", "site_pages"
+    )
 
 
 def drop_boilerplate(
@@ -60,7 +66,7 @@ def drop_boilerplate(
 
     A NULL text stays NULL and counts as one empty line. A page whose lines all go
     has an empty text. Sites that are NULL form one site. Each row is a page,
-    repeated rows too. Columns named n_lines or n_dropped are replaced. An empty
+    repeated rows too, but equal pages of a site count once. Columns named n_lines or n_dropped are replaced. An empty
     table gives an empty result.
     """
     found = materialize(boilerplate_lines(docs, site_col, text_col, ratio, min_pages).select("site", "line_key"))

@@ -156,13 +156,14 @@ def mix(
     order of size, and a document gets a copy where the sum passes a whole number.
     The words of a slice so differ from what its rates say by about one document.
     """
-    # Sizes are written once: they are counted, and rounded after the multipliers are known.
-    rows = materialize(docs.select(
+    rows = docs.select(
         F.struct(F.col(f"`{id_col}`"), *[F.col(f"`{c}`") for c in keep]).alias("row"),
         F.col(f"`{source_col}`").cast("string").alias("source"),
         word_count(F.col(f"`{text_col}`")).alias("size"),
         F.xxhash64(F.col(f"`{id_col}`"), F.col(f"`{text_col}`")).alias("order"),
-    ))
+    )
+    if not keep:  # narrow rows are written once instead of reading all texts again
+        rows = materialize(rows)
     sizes = materialize(rows.groupBy("source", "size").agg(F.count(F.lit(1)).alias("docs")))
     solved = tilts(sizes, source_targets(sizes, weights, most), most)
     rated = rows.withColumn("source_key", _key(F.col("source"))).join(solved, "source_key")

@@ -126,6 +126,22 @@ def log_ratios(docs: DataFrame, trusted_ids: DataFrame, id_col: str, text_col: s
     return [math.log(t / n_target) - math.log(r / n_raw) for t, r in zip(target, raw)]
 
 
+def _judged(
+    docs: DataFrame, trusted_ids: DataFrame, id_col: str, text_col: str, buckets: int, threshold: float, row: Column
+) -> DataFrame:
+    """(row, statistics, ratio, kept); ``row`` travels as one column, so its names cannot clash."""
+    ratios = json.dumps([round(x, 6) for x in log_ratios(docs, trusted_ids, id_col, text_col, buckets)])
+    table = F.from_json(F.lit(ratios), "array<double>")
+    read = docs.select(row.alias("row"), F.col(f"`{text_col}`").alias("text"))
+    base = with_statistics(read, "text").withColumn("_tokens", tokens_of(F.col("text")))
+    cells = base.withColumn("_cells", ngram_cells(F.col("_tokens"), buckets))
+    total = F.aggregate("_cells", F.lit(0.0), lambda acc, c: acc + F.get(table, c))
+    ratio = F.when(F.size("_cells") > 0, total / F.size("_cells")).otherwise(F.lit(0.0))
+    return cells.withColumn("ratio", ratio).drop("text", "_tokens", "_cells").withColumn(
+        "kept", ~F.col("base_failed") & (F.col("ratio") >= threshold)
+    )
+
+
 def quality_rules(
     docs: DataFrame,
     trusted_ids: DataFrame,
@@ -141,14 +157,17 @@ def quality_rules(
     a NULL id is never trusted. Other columns are ignored. An empty table gives an
     empty result.
     """
-    ratios = json.dumps([round(x, 6) for x in log_ratios(docs, trusted_ids, id_col, text_col, buckets)])
-    table = F.from_json(F.lit(ratios), "array<double>")
-    base = with_statistics(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")), "text")
-    base = base.withColumn("_tokens", tokens_of(F.col("text")))
-    cells = base.withColumn("_cells", ngram_cells(F.col("_tokens"), buckets))
-    total = F.aggregate("_cells", F.lit(0.0), lambda acc, c: acc + F.get(table, c))
-    ratio = F.when(F.size("_cells") > 0, total / F.size("_cells")).otherwise(F.lit(0.0))
-    return cells.select(
-        F.col("id").alias(id_col), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
-        ratio.alias("ratio"),
-    ).withColumn("kept", ~F.col("base_failed") & (F.col("ratio") >= threshold))
+    judged = _judged(docs, trusted_ids, id_col, text_col, buckets, threshold, F.col(f"`{id_col}`"))
+    return judged.withColumnRenamed("row", id_col)
+
+
+def keep_good(
+    docs: DataFrame,
+    trusted_ids: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    buckets: int = BUCKETS,
+    threshold: float = THRESHOLD,
+) -> DataFrame:
+    """The rows of ``docs``, all columns unchanged, that ``quality_rules`` keeps."""
+    return _judged(docs, trusted_ids, id_col, text_col, buckets, threshold, F.struct("*")).filter("kept").select("row.*")
