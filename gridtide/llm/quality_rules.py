@@ -137,9 +137,11 @@ def _judged(
     cells = base.withColumn("_cells", ngram_cells(F.col("_tokens"), buckets))
     total = F.aggregate("_cells", F.lit(0.0), lambda acc, c: acc + F.get(table, c))
     ratio = F.when(F.size("_cells") > 0, total / F.size("_cells")).otherwise(F.lit(0.0))
-    return cells.withColumn("ratio", ratio).drop("text", "_tokens", "_cells").withColumn(
+    judged = cells.withColumn("ratio", ratio).drop("text", "_tokens", "_cells").withColumn(
         "kept", ~F.col("base_failed") & (F.col("ratio") >= threshold)
     )
+    # A filter on the result stops here; pushed below the statistics it would compute them several times over.
+    return judged.select(F.inline_outer(F.array(F.struct("*"))))
 
 
 def quality_rules(
