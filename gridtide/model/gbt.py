@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.feature import VectorAssembler
@@ -68,12 +70,18 @@ def latest_version(spark: SparkSession, table: str = GOLD_MODELS) -> int:
 def save_model(
     spark: SparkSession, model: PipelineModel, folder: str, metrics: DataFrame, table: str = GOLD_MODELS
 ) -> int:
-    """Write the model under the next version and register it with its metrics (one row)."""
-    version = latest_version(spark, table) + 1
-    path = f"{folder.rstrip('/')}/version={version}"
+    """Write the model and register it under the next version with its metrics (one row).
+
+    The metrics are computed first, the model goes to a folder of its own, and the
+    row that makes it a version comes last: a run that fails in between leaves a
+    folder nobody refers to, and does not stand in the way of the next one.
+    """
+    values = metrics.head()
+    path = f"{folder.rstrip('/')}/model-{uuid.uuid4()}"
     model.write().save(path)
+    version = latest_version(spark, table) + 1
     inputs, trees = model.stages[0].getInputCols(), model.stages[-1]
-    row = metrics.select(
+    row = spark.createDataFrame([values], metrics.schema).select(
         F.lit(version).alias("version"),
         F.lit(path).alias("path"),
         F.lit(trees.getNumTrees).alias("trees"),

@@ -8,7 +8,7 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import Column, DataFrame, functions as F
 
 from gridtide.functions import calendar_columns, drop_incomplete, feature_columns, instant
-from gridtide.operators import horizon, latest_snapshot
+from gridtide.operators import from_time, horizon, latest_snapshot
 from gridtide.plans.gold import VINTAGE
 from gridtide.schemas import FORECAST_PREFIXES, HISTORY_PREFIXES
 
@@ -31,9 +31,15 @@ def build_scoring(
     forecast_cols = feature_columns(forecasts, FORECAST_PREFIXES)
     if anchor == "global":
         latest = latest_snapshot(historic, "datetime")
+        vintage = historic.agg(F.date_trunc("hour", F.max("datetime"))).scalar()
+        forecasts = forecasts.filter(F.col(VINTAGE) == vintage)
     else:
         newest = historic.groupBy(group).agg(F.max("datetime").alias("datetime"))
         latest = historic.join(newest, [group, "datetime"], "left_semi")
+        vintage = newest.agg(F.date_trunc("hour", F.min("datetime"))).scalar()
+        forecasts = forecasts.filter(F.col(VINTAGE) >= vintage)
+    # Hours ahead lie after their vintage, so earlier days of the table are not read.
+    forecasts = from_time(forecasts, vintage)
     snapshot = latest.select(group, F.date_trunc("hour", "datetime").alias(VINTAGE), *snapshot_cols)
     ahead = drop_incomplete(horizon(forecasts, horizon_hours))
     # An equi-join on the vintage; the snapshot has one row per zone.

@@ -1,7 +1,7 @@
 from gridtide.operators.flatten import (
     explode_history, flatten_carbon, flatten_power, flatten_weather, map_to_columns,
 )
-from gridtide.operators.hot import hot_spans
+from gridtide.operators.hot import hot_groups, sliced
 from gridtide.operators.merge import insert_new, upsert
 from gridtide.operators.pivot import pivot_measures
 from gridtide.operators.ranges import (
@@ -12,6 +12,6 @@ from gridtide.operators.windows import lag_rolling_features, latest_per_key, lat
 
 __all__ = [
     "anchored_lookback", "at_time", "broadcast_if_small", "explode_history", "flatten_carbon", "flatten_power", "flatten_weather",
-    "from_time", "horizon", "hot_spans", "insert_new", "lag_rolling_features", "latest_per_key", "latest_snapshot",
-    "lookback", "map_to_columns", "pivot_measures", "split_observed_forecast", "upsert",
+    "from_time", "horizon", "hot_groups", "insert_new", "lag_rolling_features", "latest_per_key", "latest_snapshot",
+    "lookback", "map_to_columns", "pivot_measures", "sliced", "split_observed_forecast", "upsert",
 ]

@@ -2,60 +2,39 @@
 
 from __future__ import annotations
 
-from functools import reduce
+from pyspark.sql import DataFrame, functions as F
 
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from gridtide.operators.sizes import broadcast_if_small
+from gridtide.session import materialize
 
-LO, WIDTH, SLICE = "__lo", "__width", "__slice"
+SLICE = "__slice"
+# Hot groups that are broadcast at most (their keys alone), beyond it they are joined by a shuffle.
+SMALL_GROUPS = 500_000
 
 
-def order_number(df: DataFrame, col: str) -> Column:
-    """``col`` as a bigint that keeps its order."""
-    kind = df.schema[col].dataType
-    if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
-        return F.unix_micros(F.col(col).cast("timestamp"))
-    if isinstance(kind, T.DateType):
-        return F.unix_date(F.col(col)).cast("bigint")
-    if isinstance(kind, T.IntegralType):
-        return F.col(col).cast("bigint")
-    raise TypeError(f"cannot slice by {col} of type {kind.simpleString()}")
+def hot_groups(df: DataFrame, keys: list[str], min_rows: int = 1_000_000) -> DataFrame:
+    """(keys, prefixed, and ``__n``) of the groups with more than ``min_rows`` rows, whatever the size of the table."""
+    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n")).filter(F.col("__n") > min_rows)
+    return counts.select(*[F.col(k).alias(f"__hot_{k}") for k in keys], "__n")
 
 
-def same_group(keys: list[str]) -> Column:
-    """Join condition of rows with their entry in ``hot_spans`` (NULL is a group too)."""
-    return reduce(lambda a, b: a & b, (F.col(k).eqNullSafe(F.col(f"__hot_{k}")) for k in keys))
+def split_off(df: DataFrame, keys: list[str], hot: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(rows of other groups, rows of hot groups); NULL is a group too."""
+    same = F.lit(True)
+    for k in keys:
+        same = same & F.col(k).eqNullSafe(F.col(f"__hot_{k}"))
+    hot = broadcast_if_small(hot, SMALL_GROUPS)
+    return df.join(hot, same, "left_anti"), df.join(hot, same, "left_semi")
 
 
-def hot_spans(
-    df: DataFrame,
-    keys: list[str],
-    order_col: str,
-    min_rows: int = 1_000_000,
-    share: float = 1e-4,
-    slice_rows: int = 100_000,
-) -> DataFrame:
-    """One row per hot group: its keys (prefixed), lowest order value and slice width.
+def sliced(df: DataFrame, keys: list[str], order_by: list[str], rows: int, slice_rows: int = 100_000) -> DataFrame:
+    """``df`` with the slice of each row: ranges of (keys, order_by) of about ``slice_rows`` rows.
 
-    A group is hot if it has more than ``min_rows`` rows and more than ``share``
-    of all rows, so there are fewer than ``1 / share`` hot groups however large
-    the data is. That bound (10,000 narrow rows by default) is what makes the
-    result safe to broadcast. Count, minimum and maximum do not depend on row
-    order, so a recomputed task gives the same slices.
+    Ranges are cut by rows, not by the values, so a dense stretch gets more of them,
+    and many rows at one value of the first column are cut by the others. The rows
+    are written out once with their slice, so a recomputed task cannot see other
+    ranges. A slice never falls as the order rises within a group.
     """
-    if not 0 < share < 1:
-        raise ValueError("share must lie between 0 and 1")
-    number = order_number(df, order_col)
-    stats = df.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("__n"), F.min(number).alias(LO), F.max(number).alias("__hi")
-    )
-    total = stats.agg(F.sum("__n")).scalar()
-    slices = F.greatest(F.lit(1), F.expr(f"__n div {int(slice_rows)}"))
-    width = F.greatest(F.lit(1), F.ceil((F.col("__hi") - F.col(LO) + 1) / slices)).cast("bigint")
-    return stats.filter((F.col("__n") > min_rows) & (F.col("__n") > total * F.lit(share))).select(
-        *[F.col(k).alias(f"__hot_{k}") for k in keys], LO, width.alias(WIDTH)
-    )
-
-
-def slice_number(df: DataFrame, order_col: str) -> Column:
-    """Slice of a row joined with ``hot_spans``; 0 outside hot groups. Never falls as the order rises."""
-    return F.coalesce(F.floor((order_number(df, order_col) - F.col(LO)) / F.col(WIDTH)), F.lit(0)).cast("bigint")
+    n = max(1, -(-4 * rows // (3 * slice_rows)))
+    cut = df.repartitionByRange(n, *keys, *order_by).withColumn(SLICE, F.spark_partition_id().cast("bigint"))
+    return materialize(cut)

@@ -8,28 +8,36 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-_MATCHES = "__matches"
+_MATCHES, _NEW = "__matches", "__new"
 
 
 def upsert(
     target: DataFrame, source: DataFrame, keys: list[str], validate: bool = True, small_source: bool = False
 ) -> DataFrame:
-    """Target with matched rows replaced and unmatched source rows added.
-
-    The source keys are counted first (map-side), so copies of one key collapse
-    before the join. With ``validate`` a target row matched by several source
-    rows fails the job, as a merge must. ``small_source`` is for a source known to
-    be small: its keys are broadcast and the target is not shuffled.
+    """Target with each matched row replaced, and unmatched source rows added.
+
+    The source rows are brought to one per key first (map-side), so copies of one
+    key collapse before the join. Several target rows with one key are replaced one
+    by one. With ``validate`` a target row matched by several source rows fails the
+    job, as a merge must; without it the source row that is last by content
+    replaces it. ``small_source`` is for a source known to be small: it is broadcast
+    and the target is not shuffled for the replacement.
     """
-    counted = source.groupBy(*keys).agg(F.count(F.lit(1)).alias(_MATCHES))
+    plain = [c for c in source.columns if c not in keys]
+    counted = source.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias(_MATCHES), F.max_by(F.struct(F.lit(True), *plain), F.xxhash64(*source.columns)).alias(_NEW)
+    )
     if small_source:
         counted = F.broadcast(counted)
     joined = target.join(counted, keys, "left")
-    unmatched = F.col(_MATCHES).isNull()
+    matched = F.col(_MATCHES).isNotNull()
     if validate:
         several = F.raise_error(F.lit("several source rows match one target row"))
-        unmatched = F.when(F.col(_MATCHES) > 1, several.cast("boolean")).otherwise(unmatched)
-    return joined.filter(unmatched).select(*target.columns).unionByName(source)
+        matched = F.when(F.col(_MATCHES) > 1, several.cast("boolean")).otherwise(matched)
+    replaced = [
+        F.col(c) if c in keys else F.when(matched, F.col(f"{_NEW}.{c}")).otherwise(F.col(c)).alias(c) for c in target.columns
+    ]
+    return joined.select(*replaced).unionByName(unmatched_source(target, source, keys))
 
 
 def unmatched_source(target: DataFrame, source: DataFrame, keys: list[str]) -> DataFrame:

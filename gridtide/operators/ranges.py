@@ -18,10 +18,10 @@ def lookback(df: DataFrame, ts_col: str, hours: int, as_of: dt.datetime | Column
     """Rows of the last ``hours`` before ``as_of`` (default: now).
 
     The column stands bare on the left of a constant, so the filter reaches the
-    Parquet scan.
+    Parquet scan; days before it are not read if ``df`` has the partition column.
     """
     end = F.current_timestamp() if as_of is None else instant(as_of)
-    return df.filter(F.col(ts_col) >= end - _hours(hours))
+    return from_time(df, end - _hours(hours), ts_col)
 
 
 def anchored_lookback(

@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F, types as T
+from pyspark.sql import DataFrame, Window, functions as F
 
-from gridtide.operators.hot import SLICE, hot_spans, same_group, slice_number
+from gridtide.operators.hot import SLICE, hot_groups, sliced, split_off
 from gridtide.operators.ranges import at_time
+from gridtide.session import materialize
+
+# Rows of a slice of a hot group.
+SLICE_ROWS = 100_000
 
 _RANK, _HALO, _NEXT, _BEFORE = "__rank", "__halo", "__next", "__before"
 
@@ -17,7 +21,7 @@ def latest_per_key(df: DataFrame, keys: list[str], order_cols: list[str]) -> Dat
     run. ``row_number() = 1`` lets Spark cut each task to one row per key before
     the shuffle, so a key with very many copies stays cheap.
     """
-    plain = [f.name for f in df.schema.fields if not isinstance(f.dataType, T.MapType)]
+    plain = [f.name for f in df.schema.fields if "map<" not in f.dataType.simpleString()]
     order = [F.col(c).desc() for c in order_cols] + [F.xxhash64(*plain).desc()]
     ranked = df.withColumn(_RANK, F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
     return ranked.filter(F.col(_RANK) == 1).drop(_RANK)
@@ -45,22 +49,24 @@ def lag_rolling_features(
     unique there. Short frames at the start are kept; NULLs do not enter a mean.
 
     A count per group, run at once, tells whether a group is too large for one
-    task (see ``hot_spans``). Only then such groups are cut into ordered slices,
-    each given the few rows before it that its first frames need; the result
-    equals that of the uncut window. ``stats_df`` may name a cheaper frame with
-    the same groups for the count.
+    task (more than ``min_rows`` of ``hot_options``). Such groups are cut into ordered
+    slices of about ``slice_rows`` rows, each given the few rows before it that its
+    first frames need; the result equals that of the uncut window. ``stats_df`` may
+    name a cheaper frame with the same groups for the count.
     """
-    hot = hot_spans(df if stats_df is None else stats_df, partition_by, order_by[0], **(hot_options or {}))
-    if not split_hot or hot.isEmpty():
+    options = dict(hot_options or {})
+    slice_rows = options.pop("slice_rows", SLICE_ROWS)
+    hot = hot_groups(df if stats_df is None else stats_df, partition_by, **options) if split_hot else None
+    hot = None if hot is None else materialize(hot)
+    rows = 0 if hot is None else hot.agg(F.sum("__n")).head()[0] or 0
+    if not rows:
         return df.selectExpr("*", *_features(cols, partition_by, order_by, lags, window_rows))
 
-    hot = F.broadcast(hot)
     reach = max(window_rows - 1, *lags)
-    groups = [f"__hot_{k}" for k in partition_by]
-    cut = slice_number(df, order_by[0]).alias(SLICE)
-    own = df.join(hot, same_group(partition_by), "left").select(*df.columns, cut, F.lit(False).alias(_HALO))
-    of_hot = df.join(hot, same_group(partition_by), "inner").select(*groups, *df.columns, cut)
-    both = own.unionByName(_halo(of_hot, df.columns, groups, order_by, reach))
+    cool, warm = split_off(df, partition_by, hot)
+    cut = sliced(warm, partition_by, order_by, rows, slice_rows)
+    both = cut.withColumn(_HALO, F.lit(False)).unionByName(_halo(cut, df.columns, partition_by, order_by, reach))
+    both = both.unionByName(cool.withColumns({SLICE: F.lit(-1).cast("bigint"), _HALO: F.lit(False)}))
     made = both.selectExpr("*", *_features(cols, [*partition_by, SLICE], order_by, lags, window_rows))
     return made.filter(~F.col(_HALO)).drop(SLICE, _HALO)
 
@@ -92,13 +98,13 @@ def _halo(of_hot: DataFrame, columns: list[str], groups: list[str], order_by: li
     following = Window.partitionBy(*groups).orderBy(SLICE).rowsBetween(1, reach)
     sizes = of_hot.groupBy(*groups, SLICE).agg(F.count(F.lit(1)).alias("__rows"))
     upcoming = sizes.select(
-        *[F.col(g).alias(f"{g}_s") for g in groups],
+        *[F.col(g).alias(f"__s_{g}") for g in groups],
         F.col(SLICE).alias("__from"),
         F.collect_list(F.struct(F.col(SLICE), F.col("__rows"))).over(following).alias(_NEXT),
     )
     match = F.col(SLICE) == F.col("__from")
     for g in groups:
-        match = match & F.col(g).eqNullSafe(F.col(f"{g}_s"))
+        match = match & F.col(g).eqNullSafe(F.col(f"__s_{g}"))
     between = F.expr(f"aggregate(slice({_NEXT}, 1, __pos), 0L, (a, s) -> a + s.__rows)")
     return (
         tails.join(upcoming, match, "inner")

@@ -10,27 +10,33 @@ from __future__ import annotations
 import datetime as dt
 import warnings
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from gridtide import schemas as S
 from gridtide.model.gbt import TREES, evaluate, fit_gbt, load_latest, save_model
 from gridtide.model.monitor import monitor
 from gridtide.model.scoring import build_scoring, score
-from gridtide.operators import anchored_lookback, from_time, lookback
+from gridtide.operators import anchored_lookback, broadcast_if_small, from_time, lookback
 from gridtide.plans.gold import (
     FORECAST_KEYS, HISTORIC_KEYS, WINDOW_ROWS, build_forecasts, build_historic, feature_keys, vintages,
 )
 from gridtide.plans.silver import ENERGY_KEYS, WEATHER_KEYS, build_energy, build_weather
 from gridtide.plans.training import TRAINING_KEYS, build_training, chrono_split
-from gridtide.session import materialize, use_utc
-from gridtide.sources import append_table, insert_new_table, land_csv, land_json, read_table, table_exists, upsert_table
+from gridtide.schemas import DAY
+from gridtide.session import materialize, scratch, staged, use_utc
+from gridtide.sources import (
+    append_table, insert_new_table, land_csv, land_json, land_table, read_table, replace_from, table_exists, upsert_table,
+)
 
 DEFAULT_LOOKBACK = 12
 # A vintage has its targets only a day later, so a shorter window never yields rows.
 TRAINING_LOOKBACK = 48
 WEATHER_EXTRA_HOURS = 24
-# Days searched first for the rows before a changed hour.
-PROBE_DAYS = 7
+# Days searched first for the rows before a changed hour; each further search spans four times as many.
+SEARCH_DAYS = 7
+# Changed zones that are broadcast at most (some 30 bytes each).
+SMALL_ZONES = 500_000
+_DAY_MICROS = 86_400_000_000
 
 
 def run_ingest(
@@ -40,14 +46,14 @@ def run_ingest(
     weather_path: str | None = None,
     ingested_at: dt.datetime | None = None,
 ) -> None:
-    """Append landed payload files to the bronze tables."""
+    """Append landed payload files to the bronze tables, each file once however often its folder is landed."""
     use_utc(spark)
     if power_path:
-        append_table(land_json(spark, power_path, "power_data", ingested_at), S.BRONZE_POWER)
+        land_table(land_json(spark, power_path, "power_data", ingested_at), S.BRONZE_POWER)
     if carbon_path:
-        append_table(land_json(spark, carbon_path, "carbon_intensity", ingested_at), S.BRONZE_CARBON)
+        land_table(land_json(spark, carbon_path, "carbon_intensity", ingested_at), S.BRONZE_CARBON)
     if weather_path:
-        append_table(land_csv(spark, weather_path, ingested_at), S.BRONZE_WEATHER)
+        land_table(land_csv(spark, weather_path, ingested_at), S.BRONZE_WEATHER)
 
 
 def run_silver(
@@ -62,7 +68,7 @@ def run_silver(
     use_utc(spark)
 
     def recent(name: str) -> DataFrame:
-        return lookback(read_table(spark, name), "ingested_at", lookback_hours, as_of)
+        return lookback(read_table(spark, name, with_day=True), "ingested_at", lookback_hours, as_of)
 
     energy = build_energy(recent(S.BRONZE_POWER), recent(S.BRONZE_CARBON), strict)
     upsert_table(spark, S.SILVER_ENERGY, energy, ENERGY_KEYS)
@@ -70,60 +76,98 @@ def run_silver(
     insert_new_table(spark, S.SILVER_WEATHER, weather, WEATHER_KEYS)
 
 
-def gold_inputs(
-    energy: DataFrame, weather: DataFrame, lookback_hours: int, feature_scope: str
-) -> tuple[DataFrame, DataFrame, Column | None]:
-    """(energy rows to build features from, their weather, first hour to emit or None for all).
-
-    In batch scope the recently ingested rows are enough. In history scope a
-    changed hour also enters the frames of the hours after it, so everything
-    from the first changed hour on is built again, with the
-    ``WINDOW_ROWS - 1`` feature rows of each zone before it as filling.
-    """
+def changed_from(energy: DataFrame, lookback_hours: int) -> DataFrame:
+    """(zone, first): the earliest hour of each zone that was delivered in the lookback window."""
     anchor = energy.agg(F.max(F.date_trunc("hour", "ingested_at")))
-    recent = anchored_lookback(energy, "ingested_at", lookback_hours, anchor)
-    if feature_scope == "batch":
-        return recent, anchored_lookback(weather, "ingested_at", lookback_hours, anchor, WEATHER_EXTRA_HOURS), None
+    recent = anchored_lookback(energy.select("zone", "datetime", "ingested_at"), "ingested_at", lookback_hours, anchor)
+    return recent.groupBy("zone").agg(F.min("datetime").alias("first"))
 
-    first = feature_keys(recent, weather).agg(F.min("datetime")).scalar()
-    start = _filling(energy, weather, first).agg(F.min("datetime")).scalar()
-    rows = from_time(energy, F.coalesce(start, first))
-    oldest = rows.agg(F.min("ingested_at") - F.make_dt_interval(F.lit(0), F.lit(1))).scalar()
-    return rows, weather.filter(F.col("ingested_at") >= oldest), first
 
+def filling_starts(energy: DataFrame, weather: DataFrame, firsts: DataFrame) -> DataFrame:
+    """(zone, first, start): where each zone has its ``WINDOW_ROWS - 1`` feature rows before ``first``.
 
-def _filling(energy: DataFrame, weather: DataFrame, first: Column) -> DataFrame:
-    """(zone, datetime) of the last ``WINDOW_ROWS - 1`` feature rows of each zone before ``first``.
-
-    The days just before are tried first. Only if some zone has too few rows in
-    them (it is new, or has gaps) all earlier days are read.
+    ``start`` is the hour of the earliest of them, or ``first`` if there are none.
+    Hours are looked through backwards, in spans that grow fourfold and do not
+    overlap, on narrow columns, and only for zones that lack rows still; a zone
+    with gaps or a new zone so costs nothing to the others.
     """
-    def before(from_hour: Column | None) -> DataFrame:
-        sides = [energy, weather] if from_hour is None else [from_time(energy, from_hour), from_time(weather, from_hour)]
+    needed = WINDOW_ROWS - 1
+    lowest = energy.agg(F.unix_micros(F.min("datetime"))).head()[0] or 0
+    found = materialize(firsts.select("zone", "first", F.lit(0).cast("long").alias("n"), F.col("first").alias("start")))
+    span, back = SEARCH_DAYS, 0
+    keep = F.col("n") < needed
+    while True:
+        bounds = found.filter(keep).agg(F.unix_micros(F.min("first")), F.unix_micros(F.max("first"))).head()
+        if bounds[0] is None or bounds[1] - back * _DAY_MICROS <= lowest:
+            return found.select("zone", "first", "start")
+        upper = F.timestamp_micros(F.lit(bounds[1] - back * _DAY_MICROS))
+        lower = F.timestamp_micros(F.lit(bounds[0] - (back + span) * _DAY_MICROS))
+
+        def near(df: DataFrame) -> DataFrame:
+            kept = from_time(df, lower).filter(F.col("datetime") < upper)
+            return kept.filter(F.col(DAY) <= F.to_date(upper)) if DAY in df.columns else kept
+
+        short = found.filter(keep).select("zone", "first", "n")
+        hours = (F.unix_micros("first") - F.unix_micros("datetime")) / _DAY_MICROS
+        before = feature_keys(near(energy), near(weather)).join(broadcast_if_small(short, SMALL_ZONES), "zone").filter(
+            (hours > back) & (hours <= back + span)
+        )
         newest = Window.partitionBy("zone").orderBy(F.col("datetime").desc())
-        ranked = feature_keys(*sides).filter(F.col("datetime") < first).withColumn("r", F.row_number().over(newest))
-        return ranked.filter(F.col("r") <= WINDOW_ROWS - 1)
+        ranked = before.withColumn("r", F.row_number().over(newest)).filter(F.col("r") + F.col("n") <= needed)
+        more = ranked.groupBy("zone").agg(F.max("r").alias("more"), F.min("datetime").alias("earlier"))
+        found = materialize(found.join(more, "zone", "left").select(
+            "zone", "first", (F.col("n") + F.coalesce("more", F.lit(0))).alias("n"),
+            F.coalesce("earlier", "start").alias("start"),
+        ))
+        back, span = back + span, 4 * span
+
 
-    near = before(first - F.make_dt_interval(F.lit(PROBE_DAYS)))
-    full = near.groupBy("zone").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") == WINDOW_ROWS - 1)
-    short = from_time(energy, first).select("zone").distinct().join(full, "zone", "left_anti")
-    return near if short.isEmpty() else before(None)
+def gold_inputs(energy: DataFrame, weather: DataFrame, lookback_hours: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(energy rows to build features from, their weather, starts) for features along each zone.
+
+    A changed hour also enters the frames of the hours after it, so each zone is
+    built again from its own first changed hour on, with its own feature rows
+    before that as filling. ``starts`` is (zone, first, start), written out.
+    """
+    starts = filling_starts(energy, weather, materialize(changed_from(energy, lookback_hours)))
+    lowest = starts.agg(F.unix_micros(F.min("start"))).head()[0] or 0
+    since = F.timestamp_micros(F.lit(lowest))
+    zones = broadcast_if_small(starts.select("zone", "start"), SMALL_ZONES)
+    rows = from_time(energy, since).join(zones, "zone").filter(F.col("datetime") >= F.col("start")).drop("start")
+    return rows, from_time(weather, since), starts
+
+
+def merge_historic(spark: SparkSession, name: str, energy: DataFrame, weather: DataFrame, lookback_hours: int) -> None:
+    """Bring the history table up to date with the deliveries of the lookback window.
+
+    The rows of a zone from its first changed hour on are replaced, so the table
+    equals a full rebuild: an hour whose newest delivery has no weather has no
+    features and leaves the table.
+    """
+    rows, near, starts = gold_inputs(energy, weather, lookback_hours)
+    made = build_historic(rows, near)
+    firsts = broadcast_if_small(starts.select("zone", "first"), SMALL_ZONES)
+    historic = made.join(firsts, "zone").filter(F.col("datetime") >= F.col("first")).select(*made.columns)
+    replace_from(spark, name, historic, starts, "zone", "first")
 
 
 def run_gold(spark: SparkSession, lookback_hours: int = DEFAULT_LOOKBACK, feature_scope: str = "history") -> None:
-    """Merge feature rows and forecasts of the recent ingestion hours into the gold tables."""
+    """Merge feature rows and forecasts of the recent ingestion hours into the gold tables.
+
+    In history scope (see ``merge_historic``) every zone is built again from its
+    first changed hour on. In batch scope the recent rows are enough.
+    """
     use_utc(spark)
     energy, weather = (read_table(spark, n, with_day=True) for n in (S.SILVER_ENERGY, S.SILVER_WEATHER))
-    rows, near, first = gold_inputs(energy, weather, lookback_hours, feature_scope)
-    historic = build_historic(rows, near, feature_scope=feature_scope)
-    if first is not None:
-        historic = historic.filter(F.col("datetime") >= first)
-    upsert_table(spark, S.GOLD_HISTORIC, historic, HISTORIC_KEYS)
-
     anchor = energy.agg(F.max(F.date_trunc("hour", "ingested_at")))
     recent = anchored_lookback(energy, "ingested_at", lookback_hours, anchor)
     ahead = anchored_lookback(weather, "ingested_at", lookback_hours, anchor, WEATHER_EXTRA_HOURS)
-    upsert_table(spark, S.GOLD_FORECASTS, build_forecasts(ahead, vintages(recent)), FORECAST_KEYS)
+    with scratch(spark):
+        if feature_scope == "batch":
+            upsert_table(spark, S.GOLD_HISTORIC, build_historic(recent, ahead, feature_scope="batch"), HISTORIC_KEYS)
+        else:
+            merge_historic(spark, S.GOLD_HISTORIC, energy, weather, lookback_hours)
+        upsert_table(spark, S.GOLD_FORECASTS, build_forecasts(ahead, vintages(recent)), FORECAST_KEYS)
 
 
 def run_training_rows(spark: SparkSession, lookback_hours: int | None = TRAINING_LOOKBACK) -> None:
@@ -131,8 +175,9 @@ def run_training_rows(spark: SparkSession, lookback_hours: int | None = TRAINING
     use_utc(spark)
     historic = read_table(spark, S.GOLD_HISTORIC, with_day=True)
     forecasts = read_table(spark, S.GOLD_FORECASTS, with_day=True)
-    rows = build_training(historic, forecasts, lookback_hours=lookback_hours)
-    upsert_table(spark, S.GOLD_TRAINING, rows, TRAINING_KEYS)
+    with scratch(spark):
+        rows = build_training(historic, forecasts, lookback_hours=lookback_hours)
+        upsert_table(spark, S.GOLD_TRAINING, rows, TRAINING_KEYS)
 
 
 def run_train(spark: SparkSession, model_folder: str, trees: int = TREES) -> int | None:
@@ -144,7 +189,7 @@ def run_train(spark: SparkSession, model_folder: str, trees: int = TREES) -> int
     train, test = chrono_split(read_table(spark, S.GOLD_TRAINING))
     model = fit_gbt(train, trees=trees)
     metrics = evaluate(model.transform(test)).select(
-        F.lit(train.count()).alias("train_size"), F.col("n").alias("test_size"), "rmse", "r2"
+        F.lit(train.count()).cast("long").alias("train_size"), F.col("n").alias("test_size"), "rmse", "r2"
     )
     return save_model(spark, model, model_folder, metrics)
 
@@ -155,10 +200,10 @@ def run_score(spark: SparkSession, anchor: str = "global") -> None:
     model, version = load_latest(spark)
     historic = read_table(spark, S.GOLD_HISTORIC, with_day=True)
     forecasts = read_table(spark, S.GOLD_FORECASTS, with_day=True)
-    scored = materialize(score(model, build_scoring(historic, forecasts, anchor=anchor), version))
-    if scored.isEmpty():
-        warnings.warn("no forecasts of the latest hour; nothing was predicted")
-    append_table(scored, S.GOLD_PREDICTIONS)
+    with staged(score(model, build_scoring(historic, forecasts, anchor=anchor), version)) as scored:
+        if scored.isEmpty():
+            warnings.warn("no forecasts of the latest hour; nothing was predicted")
+        append_table(scored, S.GOLD_PREDICTIONS, "datetime")
 
 
 def run_monitor(spark: SparkSession, by_offset: bool = False) -> DataFrame:

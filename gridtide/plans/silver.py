@@ -25,15 +25,19 @@ def join_feeds(power: DataFrame, carbon: DataFrame) -> DataFrame:
 
 
 def build_energy(power_bronze: DataFrame, carbon_bronze: DataFrame, strict: bool = False) -> DataFrame:
-    """Power and carbon payloads to one row per (zone, datetime), 37 columns."""
-    power = latest_feed(flatten_power(power_bronze, strict), "power")
-    carbon = latest_feed(flatten_carbon(carbon_bronze), "carbon")
+    """Power and carbon payloads to one row per (zone, datetime), 37 columns; rows without a key are left out."""
+    power = latest_feed(flatten_power(power_bronze, strict).dropna(subset=ENERGY_KEYS), "power")
+    carbon = latest_feed(flatten_carbon(carbon_bronze).dropna(subset=ENERGY_KEYS), "carbon")
     return join_feeds(power, carbon)
 
 
 def build_weather(bronze: DataFrame, tz: str = WEATHER_TIME_ZONE, header_lines: int = 1) -> DataFrame:
-    """Weather payloads to one row per (name, datetime, ingested_at), 13 columns; every vintage stays."""
-    return flatten_weather(bronze, tz, header_lines)
+    """Weather payloads to one row per (name, datetime, ingested_at), 13 columns; every vintage stays.
+
+    Rows without a name, a readable time or an ingestion time are left out: their
+    keys never match, so each run would add them again.
+    """
+    return flatten_weather(bronze, tz, header_lines).dropna(subset=WEATHER_KEYS)
 
 
 def latest_weather(weather: DataFrame) -> DataFrame:

@@ -38,7 +38,7 @@ def build_training(
 
     An ingestion hour *h* of a zone counts if there is exactly one complete
     history row at ``datetime = h`` and every complete forecast row of vintage
-    *h* has its target in that zone's history; else all its rows are left out.
+    *h* has its target once in that zone's history; else all its rows are left out.
     ``lookback_hours`` keeps the ingestion hours of that many hours before the
     latest one; None takes them all.
 
@@ -71,9 +71,10 @@ def build_training(
         .agg(
             F.count(F.lit(1)).alias("n"),
             F.count("found").alias("n_found"),
+            F.count_distinct("datetime").alias("n_hours"),
             F.collect_list(F.struct("datetime", LABEL)).alias("targets"),
         )
-        .filter("n = n_found")
+        .filter("n = n_found AND n = n_hours")
         .select(group, VINTAGE, F.map_from_entries("targets").alias("targets"))
     )
     complete = drop_incomplete(at_hour.select(group, VINTAGE, *snapshot_cols), snapshot_cols)

@@ -31,12 +31,13 @@ GOLD_HISTORIC = "gold.historic_data"
 GOLD_FORECASTS = "gold.weather_forecasts"
 GOLD_TRAINING = "gold.training_data"
 GOLD_PREDICTIONS = "gold.carbon_intensity_predictions"
-GOLD_METRICS = "gold.model_metrics"
 GOLD_MODELS = "gold.models"
 GOLD_MONITORING = "gold.prediction_quality"
 
 # Partition column of the merge tables: the day of ``datetime``.
 DAY = "_day"
+# Bookkeeping of landed files in the bronze tables: path and modification time.
+FILE, FILE_TIME = "_file", "_file_time"
 
 # --- fixed values: column prefixes and names that mark features --------------
 HISTORY_PREFIXES = ("lag_", "rolling_avg_")

@@ -56,6 +56,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return named
 
 
+# Folders written inside the innermost open ``scratch`` block.
+_open_blocks: list[list[str]] = []
+
+
 def _write_out(df: DataFrame) -> tuple[DataFrame, str]:
     spark = df.sparkSession
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/gridtide-{uuid.uuid4()}"
@@ -63,14 +67,37 @@ def _write_out(df: DataFrame) -> tuple[DataFrame, str]:
     return spark.read.schema(df.schema).parquet(path), path
 
 
+def _remove(spark: SparkSession, path: str) -> None:
+    location = spark._jvm.org.apache.hadoop.fs.Path(path)
+    location.getFileSystem(spark._jsc.hadoopConfiguration()).delete(location, True)
+
+
 def materialize(df: DataFrame) -> DataFrame:
     """Write ``df`` as Parquet in the shared checkpoint folder and read it back.
 
     Cuts the lineage like a checkpoint does, survives lost executors, and unlike
     a checkpoint keeps column pruning, filter pushdown and size statistics. Like
-    a checkpoint it stays in the folder.
+    a checkpoint it stays in the folder, except inside a ``scratch`` block.
+    """
+    written, path = _write_out(df)
+    if _open_blocks:
+        _open_blocks[-1].append(path)
+    return written
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """What ``materialize`` writes inside the block is removed at its end.
+
+    For jobs that end in a write of their own; a frame that leaves the block must
+    not rest on what was written in it.
     """
-    return _write_out(df)[0]
+    _open_blocks.append([])
+    try:
+        yield
+    finally:
+        for path in _open_blocks.pop():
+            _remove(spark, path)
 
 
 @contextmanager
@@ -81,5 +108,4 @@ def staged(df: DataFrame) -> Iterator[DataFrame]:
     try:
         yield written
     finally:
-        location = spark._jvm.org.apache.hadoop.fs.Path(path)
-        location.getFileSystem(spark._jsc.hadoopConfiguration()).delete(location, True)
+        _remove(spark, path)

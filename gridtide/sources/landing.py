@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 
 from gridtide.functions.timeops import instant
+from gridtide.schemas import FILE, FILE_TIME
 
 _TEXT = T.StructType([T.StructField("value", T.StringType())])
 _CSV_TEXT = T.StructType([T.StructField("value", T.StringType()), T.StructField("location_name", T.StringType())])
@@ -25,21 +26,29 @@ def _read(spark: SparkSession, path: str, schema: T.StructType, stream: bool) ->
     return reader.format("text").schema(schema).option("wholetext", True).option("recursiveFileLookup", False).load(path)
 
 
+def _file() -> list[Column]:
+    """What tells files apart when a folder is landed again."""
+    return [
+        F.col("_metadata.file_path").alias(FILE),
+        F.col("_metadata.file_modification_time").cast("timestamp").alias(FILE_TIME),
+    ]
+
+
 def land_json(
     spark: SparkSession, path: str, source: str, ingested_at: dt.datetime | Column | None = None, stream: bool = False
 ) -> DataFrame:
-    """(source, raw_json, ingested_at) of the payload files under ``path``."""
+    """(source, raw_json, ingested_at, file path and time) of the payload files under ``path``."""
     files = _read(spark, path, _TEXT, stream)
     return files.select(
-        F.lit(source).alias("source"), F.col("value").alias("raw_json"), _stamp(ingested_at).alias("ingested_at")
+        F.lit(source).alias("source"), F.col("value").alias("raw_json"), _stamp(ingested_at).alias("ingested_at"), *_file()
     )
 
 
 def land_csv(
     spark: SparkSession, path: str, ingested_at: dt.datetime | Column | None = None, stream: bool = False
 ) -> DataFrame:
-    """(location_name, raw_csv, ingested_at) of the payload files under ``path/location_name=…/``."""
+    """(location_name, raw_csv, ingested_at, file path and time) of the files under ``path/location_name=…/``."""
     files = _read(spark, path, _CSV_TEXT, stream)
     return files.select(
-        "location_name", F.col("value").alias("raw_csv"), _stamp(ingested_at).alias("ingested_at")
+        "location_name", F.col("value").alias("raw_csv"), _stamp(ingested_at).alias("ingested_at"), *_file()
     )

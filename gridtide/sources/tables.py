@@ -8,18 +8,16 @@ time, and readers may see a merge half-way through its commit.
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from gridtide.operators.merge import unmatched_source, upsert
-from gridtide.schemas import DAY
+from gridtide.schemas import DAY, FILE, FILE_TIME
 from gridtide.session import staged
 
-# Up to this many touched days are named one by one; more become a range.
-_MAX_LISTED_DAYS = 1000
-# Up to this many source rows their keys are broadcast (some 50 MB).
-_SMALL_SOURCE = 500_000
+# Up to this many source rows are broadcast (a few hundred bytes each).
+_SMALL_SOURCE = 100_000
+# Columns of bookkeeping, which readers see only on request.
+_HIDDEN = (DAY, FILE, FILE_TIME)
 
 
 def ensure_schema(spark: SparkSession, name: str) -> None:
@@ -32,15 +30,35 @@ def table_exists(spark: SparkSession, name: str) -> bool:
 
 
 def read_table(spark: SparkSession, name: str, with_day: bool = False) -> DataFrame:
-    """The table; its partition column only on request (``from_time`` and ``at_time`` use it)."""
-    df = spark.table(name)
+    """The table; its partition column only on request (``from_time``, ``at_time`` and ``lookback`` use it)."""
+    df = spark.table(name).drop(FILE, FILE_TIME)
     return df if with_day else df.drop(DAY)
 
 
-def append_table(df: DataFrame, name: str) -> None:
-    """Append, creating schema and table on the first run."""
+def append_table(df: DataFrame, name: str, ts_col: str | None = None) -> None:
+    """Append, creating schema and table on the first run; partitioned by the day of ``ts_col`` if one is named."""
     ensure_schema(df.sparkSession, name)
-    df.write.mode("append").format("parquet").saveAsTable(name)
+    if ts_col is None:
+        df.write.mode("append").format("parquet").saveAsTable(name)
+    elif table_exists(df.sparkSession, name):
+        by_day = _rebalanced(_by_day(df, ts_col))
+        by_day.select(*df.sparkSession.table(name).columns).write.insertInto(name)
+    else:
+        _rebalanced(_by_day(df, ts_col)).write.format("parquet").partitionBy(DAY).saveAsTable(name)
+
+
+def land_table(files: DataFrame, name: str, ts_col: str = "ingested_at") -> None:
+    """Append landed files that the table does not hold yet, each once.
+
+    A file is known by its path and modification time, so landing a folder again,
+    by batch or by stream, adds only what is new in it. The table is partitioned by
+    the day of ``ts_col``. Only the two columns of the table are read for this, and the
+    texts of known files are not.
+    """
+    spark = files.sparkSession
+    if table_exists(spark, name):
+        files = unmatched_source(spark.table(name), files, [FILE, FILE_TIME])
+    append_table(files, name, ts_col)
 
 
 def _by_day(df: DataFrame, ts_col: str) -> DataFrame:
@@ -57,24 +75,17 @@ def _create(df: DataFrame, name: str) -> None:
     _rebalanced(df).write.format("parquet").mode("overwrite").partitionBy(DAY).saveAsTable(name)
 
 
-def _touched(batch: DataFrame) -> Column | None:
-    """Filter on the day column that covers every day of ``batch``; None if it is empty.
+def _on_days_of(table: DataFrame, batch: DataFrame) -> DataFrame:
+    """The rows of ``table`` on the days of ``batch``, and on no other day.
 
-    Only day bounds and, if they are few, the days themselves reach the driver.
+    The days (some 37,000 in a century) are broadcast to a semi join on the partition
+    column, which prunes the scan. Rows without a day belong together.
     """
-    lo, hi, n, nulls = batch.agg(
-        F.min(DAY), F.max(DAY), F.approx_count_distinct(DAY), F.count(F.when(F.col(DAY).isNull(), 1))
-    ).head()
-    parts = []
-    if lo is not None:
-        if n <= _MAX_LISTED_DAYS:
-            days = [r[0] for r in batch.filter(F.col(DAY).isNotNull()).select(DAY).distinct().collect()]
-            parts.append(F.col(DAY).isin(days))
-        else:
-            parts.append(F.col(DAY).between(lo, hi))
-    if nulls:
-        parts.append(F.col(DAY).isNull())
-    return reduce(lambda a, b: a | b, parts) if parts else None
+    days = batch.select(DAY).distinct()
+    kept = table.join(F.broadcast(days), DAY, "left_semi")
+    if days.filter(F.col(DAY).isNull()).isEmpty():
+        return kept
+    return kept.unionByName(table.filter(F.col(DAY).isNull()))
 
 
 def upsert_table(
@@ -92,16 +103,16 @@ def upsert_table(
         _create(_by_day(source, ts_col), name)
         return
     with staged(_by_day(source, ts_col)) as batch:
-        touched = _touched(batch)
-        if touched is None:
+        n = batch.count()
+        if not n:
             return
-        current = spark.table(name).filter(touched)
-        small = batch.count() <= _SMALL_SOURCE
-        merged = upsert(current, batch.select(*current.columns), keys, validate, small)
+        current = _on_days_of(spark.table(name), batch)
+        merged = upsert(current, batch.select(*current.columns), keys, validate, n <= _SMALL_SOURCE)
         _overwrite_days(spark, _rebalanced(merged), name)
 
 
 def _overwrite_days(spark: SparkSession, df: DataFrame, name: str) -> None:
+    # insertInto takes the mode from the session alone, so one merge at a time per session.
     setting = "spark.sql.sources.partitionOverwriteMode"
     before = spark.conf.get(setting)
     spark.conf.set(setting, "dynamic")
@@ -111,6 +122,35 @@ def _overwrite_days(spark: SparkSession, df: DataFrame, name: str) -> None:
         spark.conf.set(setting, before)
 
 
+def replace_from(
+    spark: SparkSession, name: str, source: DataFrame, starts: DataFrame, group: str, start: str, ts_col: str = "datetime"
+) -> None:
+    """Replace, in each group of ``starts``, the rows at or after its ``start`` by ``source``.
+
+    Rows of the table in that range that ``source`` lacks are deleted. Other groups
+    and earlier rows stay; only days that hold a row to delete or to add are
+    rewritten, and a day that loses its last row is emptied.
+    """
+    if not table_exists(spark, name):
+        _create(_by_day(source, ts_col), name)
+        return
+    with staged(_by_day(source, ts_col)) as batch, staged(starts.select(group, start)) as ranges:
+        table = spark.table(name)
+        since = ranges.agg(F.to_date(F.min(start))).scalar()
+        marked = table.filter(F.col(DAY) >= since).join(
+            ranges.select(F.col(group).alias("__g"), F.col(start).alias("__s")), F.col(group) == F.col("__g"), "left"
+        )
+        gone = F.coalesce(F.col(ts_col) >= F.col("__s"), F.lit(False))
+        days = batch.select(DAY).unionByName(marked.filter(gone).select(DAY))
+        with staged(days.distinct()) as touched:
+            stay = _on_days_of(marked.filter(~gone).select(*table.columns), touched)
+            with staged(stay.unionByName(batch.select(*table.columns))) as merged:
+                _overwrite_days(spark, _rebalanced(merged), name)
+                lost = [r[0] for r in touched.join(merged.select(DAY).distinct(), DAY, "left_anti").collect()]
+                for day in lost:
+                    spark.sql(f"ALTER TABLE {name} DROP IF EXISTS PARTITION ({DAY} = DATE '{day}')")
+
+
 def insert_new_table(
     spark: SparkSession, name: str, source: DataFrame, keys: list[str], ts_col: str = "datetime"
 ) -> None:
@@ -121,8 +161,5 @@ def insert_new_table(
         _create(_by_day(source, ts_col), name)
         return
     with staged(_by_day(source, ts_col)) as batch:
-        touched = _touched(batch)
-        if touched is None:
-            return
-        fresh = unmatched_source(spark.table(name).filter(touched), batch, keys)
+        fresh = unmatched_source(_on_days_of(spark.table(name), batch), batch, keys)
         _rebalanced(fresh).select(*spark.table(name).columns).write.insertInto(name)

@@ -14,7 +14,7 @@ from pyspark.sql.streaming.query import StreamingQuery
 from gridtide import schemas as S
 from gridtide.plans.silver import WEATHER_KEYS, build_weather
 from gridtide.session import use_utc
-from gridtide.sources import ensure_schema, insert_new_table, land_csv, land_json
+from gridtide.sources import insert_new_table, land_csv, land_json, land_table
 
 
 def each_new_batch(
@@ -27,19 +27,14 @@ def each_new_batch(
     return stream.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
-def append_new(stream: DataFrame, checkpoint: str, table: str) -> StreamingQuery:
-    """Append new rows to a table; the file sink's own log makes a replayed batch count once."""
-    ensure_schema(stream.sparkSession, table)
-    return (
-        stream.writeStream.format("parquet").outputMode("append")
-        .option("checkpointLocation", checkpoint).trigger(availableNow=True).toTable(table)
-    )
-
-
 def stream_json(spark: SparkSession, path: str, source: str, table: str, checkpoint: str) -> StreamingQuery:
-    """New JSON payload files under ``path`` to a bronze table."""
+    """New JSON payload files under ``path`` to a bronze table, by the same landing as the batch job.
+
+    A batch that is replayed after a failure, and files the batch job has landed
+    already, are found in the table and add nothing.
+    """
     use_utc(spark)
-    return append_new(land_json(spark, path, source, stream=True), checkpoint, table)
+    return each_new_batch(land_json(spark, path, source, stream=True), checkpoint, lambda b: land_table(b, table))
 
 
 def stream_weather(

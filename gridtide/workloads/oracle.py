@@ -144,6 +144,7 @@ SQL["csv_flatten"] = f"{_base(_WEATHER)} SELECT {_WEATHER_OUT} FROM weather"
 # --- landed files and tables --------------------------------------------------------------
 SQL["land_json_files"] = SQL["power_revisions"]
 SQL["land_csv_files"] = SQL["csv_flatten"]
+SQL["ingest_twice"] = SQL["power_revisions"]
 SQL["table_append"] = SQL["power_revisions"]
 SQL["table_upsert"] = f"""{_base(_ENERGY)}
     SELECT * EXCLUDE (vintage, again)
@@ -181,6 +182,8 @@ SQL["insert_only_orders"] = """
 
 # --- ranges ------------------------------------------------------------------------------
 SQL["lookback_events"] = "SELECT * FROM events WHERE ts >= TIMESTAMP '2024-01-31' - INTERVAL 48 HOUR"
+SQL["lookback_now"] = """
+    SELECT event_type, count(*) AS n FROM events WHERE ts >= (SELECT max(ts) FROM events) - INTERVAL 48 HOUR GROUP BY 1"""
 SQL["anchored_lookback"] = """
     SELECT * FROM events WHERE ts >= (SELECT max(date_trunc('hour', ts)) FROM events) - INTERVAL 36 HOUR"""
 SQL["observed_forecast_split"] = f"""{_base(_WEATHER)}
@@ -222,7 +225,7 @@ SQL["null_fill"] = """
     FROM orders"""
 SQL["null_drop"] = """
     SELECT o_orderkey, o_custkey, o_totalprice AS urgent_price, true AS is_urgent
-    FROM orders WHERE o_orderpriority = '1-URGENT'"""
+    FROM orders WHERE o_orderpriority = '1-URGENT' AND o_orderkey % 7 <> 0"""
 
 # --- pivot, windows, set operations -------------------------------------------------------------
 SQL["pivot_measures"] = """
@@ -246,6 +249,10 @@ SQL["union_by_name"] = "SELECT o_orderkey, o_totalprice, o_orderstatus FROM orde
 SQL["historic_gold"] = f"{_base(*_CHAIN, _historic())} SELECT * FROM historic"
 SQL["historic_gold_batch"] = f"{_base(*_CHAIN, _historic('zone, vintage'))} SELECT * FROM historic"
 SQL["bronze_to_gold"] = SQL["historic_gold"]
+SQL["gold_incremental"] = SQL["historic_gold"]
+_LATE = _WEATHER.replace("weather AS (", "given AS (", 1) + """,
+      weather AS (SELECT * FROM given WHERE ingested_at::DATE <> DATE '2024-01-28')"""
+SQL["gold_incremental_missing_weather"] = f"{_base(_ENERGY, _LATE, _WIDE, _historic())} SELECT * FROM historic"
 SQL["forecast_gold"] = f"{_base(*_CHAIN, _FORECASTS)} SELECT * FROM forecasts"
 SQL["training_rows"] = f"""{_base(*_CHAIN, _historic(), _FORECASTS, _AHEAD, _training(_ALL_HOURS))}
     SELECT * EXCLUDE (n_ahead, n_found) FROM pairs WHERE n_ahead = n_found"""
@@ -284,16 +291,44 @@ SQL["evaluate_rmse_r2"] = f"""{_NAIVE}
     FROM m GROUP BY zone"""
 
 
-def _monitor(offset: str) -> str:
-    return f"""{_NAIVE},
-    d AS (SELECT 'naive' AS model_version, datetime::DATE AS day, {offset} count(*) AS n, sqrt(avg(e * e)) AS rmse,
-                 avg(abs(e)) AS mae, avg(e) AS bias FROM m GROUP BY datetime::DATE),
-    t AS (SELECT *, avg(rmse) OVER (ORDER BY day ROWS BETWEEN 7 PRECEDING AND 1 PRECEDING) AS rmse_trailing FROM d)
+def _monitor(hours: int, keys: str) -> str:
+    return f"""{_base(_ENERGY)},
+    m AS (SELECT a.datetime, a.carbon_intensity::DOUBLE AS y, p.carbon_intensity::DOUBLE - a.carbon_intensity AS e,
+                 p.ahead AS forecast_offset_h
+          FROM energy a JOIN (SELECT *, unnest(range(1, {hours + 1})) AS ahead FROM energy) p
+          ON p.zone = a.zone AND p.datetime + to_hours(p.ahead) = a.datetime),
+    d AS (SELECT 'naive' AS model_version, datetime::DATE AS day, {keys} count(*) AS n, sqrt(avg(e * e)) AS rmse,
+                 avg(abs(e)) AS mae, avg(e) AS bias FROM m GROUP BY ALL),
+    t AS (SELECT *, avg(rmse) OVER (PARTITION BY {keys} 1 ORDER BY day ROWS BETWEEN 7 PRECEDING AND 1 PRECEDING)
+                    AS rmse_trailing FROM d)
     SELECT * REPLACE (round(rmse, 6) AS rmse, round(mae, 6) AS mae, round(bias, 6) AS bias,
                       round(rmse_trailing, 6) AS rmse_trailing),
            coalesce(rmse > rmse_trailing * 1.2, false) AS drift
     FROM t"""
 
 
-SQL["monitor_rmse"] = _monitor("")
-SQL["monitor_by_offset"] = _monitor("1::BIGINT AS forecast_offset_h,")
+SQL["monitor_rmse"] = _monitor(1, "")
+SQL["monitor_by_offset"] = _monitor(24, "forecast_offset_h,")
+# Features: three for each series, the forecasts, the calendar and the offset.
+SQL["gbt_fit_score"] = f"""
+    {_base(*_CHAIN, _historic(), _FORECASTS, _AHEAD, _training(_ALL_HOURS))},
+    kept AS (SELECT ingested_hour_utc AS v FROM pairs WHERE n_ahead = n_found),
+    cut AS (SELECT quantile_disc(v, 0.8) AS at FROM kept)
+    SELECT count(*) FILTER (v <= at) AS n_train, count(*) FILTER (v > at) AS n_test,
+           {3 * len(SERIES) + len(WEATHER_SERIES) + 6} AS n_features, 100 AS n_trees, true AS has_rmse
+    FROM kept, cut"""
+SQL["gbt_best_split"] = """
+    WITH e AS (SELECT hour(ts) AS hour_of_day, dayofweek(ts) + 1 AS day_of_week, value AS y FROM events),
+    s AS (SELECT 'h' AS f, hour_of_day AS edge, count(*) AS n, sum(y) AS y FROM e GROUP BY ALL
+          UNION ALL SELECT 'd', day_of_week, count(*), sum(y) FROM e GROUP BY ALL),
+    c AS (SELECT f, sum(n) OVER w AS n1, sum(y) OVER w AS y1, sum(n) OVER (PARTITION BY f) AS n,
+                 sum(y) OVER (PARTITION BY f) AS y FROM s WINDOW w AS (PARTITION BY f ORDER BY edge)),
+    best AS (SELECT * FROM c WHERE n1 < n ORDER BY y1 * y1 / n1 + (y - y1) * (y - y1) / (n - n1) DESC LIMIT 1)
+    SELECT round(y1 / n1, 6) AS prediction, n1::BIGINT AS n FROM best
+    UNION ALL SELECT round((y - y1) / (n - n1), 6), (n - n1)::BIGINT FROM best"""
+SQL["score_latest"] = f"""{_base(*_CHAIN, _historic(), _FORECASTS, _AHEAD, _BACKTEST)}
+    SELECT f.ingested_hour_utc, f.datetime, true AS prediction, TIMESTAMP '2024-01-31' AS prediction_ingested_at,
+           '1' AS model_version, s.zone
+    FROM back s JOIN ahead f ON f.ingested_hour_utc = s.datetime
+    WHERE s.datetime = (SELECT max(datetime) FROM back)"""
+SQL["model_versions"] = "SELECT 2 AS version, 2::BIGINT AS n_versions, 3 AS n_trees, count(*) AS n_same FROM events"

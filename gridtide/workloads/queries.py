@@ -15,7 +15,7 @@ from gridtide import sources
 from gridtide.model import gbt
 from gridtide.model.monitor import match_actuals, monitor
 from gridtide.model.scoring import build_scoring, score
-from gridtide.plans import gold, silver, training
+from gridtide.plans import gold, jobs, silver, training
 from gridtide.session import ensure_checkpoint_dir, materialize
 from gridtide.workloads import feeds
 
@@ -24,9 +24,8 @@ QUERIES: dict[str, Query] = {}
 
 EVENT_TYPES = ["click", "error", "purchase", "signup", "view"]
 LOOKBACK_END = dt.datetime(2024, 1, 31)
-FIT_TREES = 5
 # Sizes that make every user of the test tables a hot group, to exercise the sliced path.
-SMALL_SLICES = {"min_rows": 5, "share": 1e-5, "slice_rows": 10}
+SMALL_SLICES = {"min_rows": 5, "slice_rows": 500}
 
 
 def query(fn: Query) -> Query:
@@ -79,11 +78,11 @@ def csv_flatten(spark, sf_dir):
 
 # --- landed files and tables ---------------------------------------------------------
 
-def _land(spark, payloads: DataFrame, text: str) -> str:
-    """Write one file per payload to the shared checkpoint folder; returns the folder."""
-    folder = f"{ensure_checkpoint_dir(spark).rstrip('/')}/landing-{uuid.uuid4()}"
+def _land(spark, payloads: DataFrame, text: str, folder: str | None = None) -> str:
+    """Write one file per payload to (by default a new folder in) the shared checkpoint folder; returns the folder."""
+    folder = folder or f"{ensure_checkpoint_dir(spark).rstrip('/')}/landing-{uuid.uuid4()}"
     keys = [c for c in payloads.columns if c != text]
-    payloads.repartition(*keys).write.partitionBy(*keys).text(folder)
+    payloads.repartition(*keys).write.mode("append").partitionBy(*keys).text(folder)
     return folder
 
 
@@ -114,6 +113,18 @@ def _scratch_table(spark):
         spark.sql(f"DROP SCHEMA {schema} CASCADE")
 
 
+@query
+def ingest_twice(spark, sf_dir):
+    """A folder landed four times, files being added in between: each file once."""
+    folder = _land(spark, feeds.power_payloads(spark, sf_dir, (0,)), "raw_json")
+    with _scratch_table(spark) as name:
+        for added in ((), (), (1,), ()):
+            if added:
+                _land(spark, feeds.power_payloads(spark, sf_dir, added), "raw_json", folder)
+            sources.land_table(sources.land_json(spark, folder, "power_data", _delivered_at()), name)
+        return plain(materialize(op.flatten_power(sources.read_table(spark, name))))
+
+
 @query
 def table_append(spark, sf_dir):
     with _scratch_table(spark) as name:
@@ -199,6 +210,14 @@ def lookback_events(spark, sf_dir):
     return plain(op.lookback(events(spark, sf_dir), "ts", 48, LOOKBACK_END))
 
 
+@query
+def lookback_now(spark, sf_dir):
+    """Events moved so that the last one happens now."""
+    df = events(spark, sf_dir)
+    moved = df.withColumn("ts", F.current_timestamp() + (F.col("ts") - df.agg(F.max("ts")).scalar()))
+    return op.lookback(moved, "ts", 48).groupBy("event_type").agg(F.count(F.lit(1)).alias("n"))
+
+
 @query
 def anchored_lookback(spark, sf_dir):
     return plain(op.anchored_lookback(events(spark, sf_dir), "ts", 12, extra_hours=24))
@@ -279,7 +298,8 @@ def null_fill(spark, sf_dir):
 
 @query
 def null_drop(spark, sf_dir):
-    return fx.drop_incomplete(_sparse_orders(spark, sf_dir))
+    price = F.when(F.col("o_orderkey") % 7 == 0, F.lit(float("nan"))).otherwise(F.col("urgent_price"))
+    return fx.drop_incomplete(_sparse_orders(spark, sf_dir).withColumn("urgent_price", price))
 
 
 # --- pivot, windows, set operations ------------------------------------------------------
@@ -352,6 +372,36 @@ def bronze_to_gold(spark, sf_dir):
     return plain(gold.build_historic(energy, weather), ("rolling_avg_",))
 
 
+def _merged_gold(spark, energies, weather, lookback_days) -> DataFrame:
+    """The history table after merging what each of ``energies`` and its weather deliver, looking back so many days."""
+    with _scratch_table(spark) as name:
+        for energy, near, days in zip(energies, weather, lookback_days):
+            jobs.merge_historic(spark, name, materialize(energy), materialize(near), 24 * days)
+        return plain(materialize(sources.read_table(spark, name)), ("rolling_avg_",))
+
+
+@query
+def gold_incremental(spark, sf_dir):
+    """Three merges, each with what was delivered up to a day, equal one full build."""
+    ends = ["2024-01-20", "2024-01-25", "2100-01-01"]
+    return _merged_gold(spark, *(
+        [feed(spark, sf_dir).filter(F.col("ingested_at") < F.lit(end).cast("timestamp")) for end in ends]
+        for feed in (feeds.energy, feeds.weather)
+    ), (400, 12, 12))
+
+
+def without_weather(weather: DataFrame) -> DataFrame:
+    """Weather without what was delivered on one late day."""
+    return weather.filter(F.to_date("ingested_at") != F.lit("2024-01-28").cast("date"))
+
+
+@query
+def gold_incremental_missing_weather(spark, sf_dir):
+    """Hours that are delivered again without weather leave the table, and so do their parts of later windows."""
+    energies = [feeds.energy(spark, sf_dir, lag=0), feeds.energy(spark, sf_dir)]
+    return _merged_gold(spark, energies, [feeds.weather(spark, sf_dir), without_weather(feeds.weather(spark, sf_dir))], (400, 400))
+
+
 @query
 def forecast_gold(spark, sf_dir):
     energy, weather = _silver(spark, sf_dir)
@@ -372,7 +422,8 @@ def training_rows_lookback(spark, sf_dir):
 @query
 def chrono_split(spark, sf_dir):
     df = events(spark, sf_dir).withColumn("hour", F.date_trunc("hour", "ts"))
-    marked = training.mark_split(df, "hour", 0.8, accuracy=1_000_000)
+    parts = training.chrono_split(df, "hour", 0.8, accuracy=1_000_000)
+    marked = parts[0].withColumn("is_train", F.lit(True)).unionByName(parts[1].withColumn("is_train", F.lit(False)))
     return plain(marked.groupBy("is_train").agg(
         F.count(F.lit(1)).alias("n"), F.min("hour").alias("first"), F.max("hour").alias("last")
     ))
@@ -400,11 +451,12 @@ def scoring_rows_per_group(spark, sf_dir):
     return plain(rows.select("zone", gold.VINTAGE, "datetime", "forecast_offset_h", "lag_carbon_intensity_0h"))
 
 
-def _naive(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
-    """Each hour's intensity as the prediction for the next hour, and the actual hours."""
+def _naive(spark, sf_dir, hours: int = 1) -> tuple[DataFrame, DataFrame]:
+    """Each hour's intensity as the prediction for the next ``hours``, and the actual hours."""
     actual = feeds.energy(spark, sf_dir).select("zone", "datetime", "carbon_intensity")
-    predicted = actual.select(
-        "zone", F.col("datetime").alias(gold.VINTAGE), feeds.plus_hours(F.col("datetime"), 1).alias("datetime"),
+    ahead = actual.withColumn("ahead", F.explode(F.sequence(F.lit(1), F.lit(hours))))
+    predicted = ahead.select(
+        "zone", F.col("datetime").alias(gold.VINTAGE), feeds.plus_hours(F.col("datetime"), F.col("ahead")).alias("datetime"),
         F.col("carbon_intensity").cast("double").alias("prediction"),
         F.col("datetime").alias("prediction_ingested_at"), F.lit("naive").alias("model_version"),
     )
@@ -426,20 +478,53 @@ def monitor_rmse(spark, sf_dir):
 
 @query
 def monitor_by_offset(spark, sf_dir):
-    return plain(monitor(*_naive(spark, sf_dir), by_offset=True), ("rmse", "mae", "bias"))
+    return plain(monitor(*_naive(spark, sf_dir, 24), by_offset=True), ("rmse", "mae", "bias"))
 
 
 @query
 def gbt_fit_score(spark, sf_dir):
-    rows = training.build_training(*_gold_tables(spark, sf_dir))
+    """The whole fit: what went in, what came out."""
+    rows = materialize(training.build_training(*_gold_tables(spark, sf_dir)))
     train, test = training.chrono_split(rows)
-    model = gbt.fit_gbt(train, trees=FIT_TREES)
-    return plain(gbt.evaluate(model.transform(test)))
+    model = gbt.fit_gbt(train)
+    trees = model.stages[-1]
+    return gbt.evaluate(model.transform(test)).select(
+        F.lit(train.count()).cast("long").alias("n_train"), F.col("n").alias("n_test"),
+        F.lit(len(model.stages[0].getInputCols())).alias("n_features"), F.lit(trees.getNumTrees).alias("n_trees"),
+        (F.col("rmse") > 0).alias("has_rmse"),
+    )
+
+
+@query
+def gbt_best_split(spark, sf_dir):
+    """One tree of depth 1: the two means of the best split."""
+    df = fx.calendar_features(events(spark, sf_dir), "ts").select("hour_of_day", "day_of_week", F.col("value").alias("y"))
+    model = gbt.fit_gbt(df, ["hour_of_day", "day_of_week"], "y", trees=1, depth=1)
+    made = model.transform(df).groupBy(F.round("prediction", 6).alias("prediction"))
+    return made.agg(F.count(F.lit(1)).alias("n"))
 
 
 @query
 def score_latest(spark, sf_dir):
     historic, forecasts = _backtest(spark, sf_dir)
-    model = gbt.fit_gbt(training.build_training(historic, forecasts), trees=FIT_TREES)
+    model = gbt.fit_gbt(materialize(training.build_training(historic, forecasts)))
     stamped = score(model, build_scoring(historic, forecasts), 1, stamped_at=LOOKBACK_END)
-    return plain(stamped)
+    return plain(stamped.withColumn("prediction", F.col("prediction").isNotNull()))
+
+
+@query
+def model_versions(spark, sf_dir):
+    """Two versions saved, the latest loaded: its predictions are those of the model that was saved."""
+    df = fx.calendar_features(events(spark, sf_dir), "ts").select("event_id", "hour_of_day", "day_of_week", F.col("value").alias("y"))
+    folder = f"{ensure_checkpoint_dir(spark).rstrip('/')}/models-{uuid.uuid4()}"
+    with _scratch_table(spark) as name:
+        for trees in (1, 3):
+            model = gbt.fit_gbt(df, ["hour_of_day", "day_of_week"], "y", trees=trees)
+            gbt.save_model(spark, model, folder, gbt.evaluate(model.transform(df), "y"), name)
+        loaded, version = gbt.load_latest(spark, name)
+        versions = sources.read_table(spark, name).count()
+    same = model.transform(df).select("event_id", "prediction").intersectAll(loaded.transform(df).select("event_id", "prediction"))
+    return same.agg(F.count(F.lit(1)).alias("n_same")).select(
+        F.lit(version).alias("version"), F.lit(versions).cast("long").alias("n_versions"),
+        F.lit(loaded.stages[-1].getNumTrees).alias("n_trees"), "n_same",
+    )

@@ -3,15 +3,20 @@
 from __future__ import annotations
 
 import datetime as dt
+import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from gridtide import schemas as S
-from gridtide.model.gbt import load_latest, model_features, rmse_r2
+from gridtide.model.gbt import evaluate, fit_gbt, load_latest, model_features, rmse_r2, save_model
+from gridtide.operators import lookback
 from gridtide.plans import jobs
 from gridtide.plans.gold import build_forecasts, build_historic, vintages
 from gridtide.plans.training import build_training
+from gridtide.session import ensure_checkpoint_dir
 from gridtide.sources import read_table, upsert_table, insert_new_table
+from gridtide.streaming.ingest import stream_json
 from tests import payloads
 
 
@@ -120,7 +125,7 @@ def test_batch_scope_equals_history_scope_within_one_batch(spark, clean_tables,
     a, b = (build_historic(energy, weather, feature_scope=s) for s in ("history", "batch"))
     assert a.count() == 24 and rows(rounded(a)) == rows(rounded(b))
     # cut into slices, too
-    cut = build_historic(energy, weather, hot_options={"min_rows": 2, "share": 1e-6, "slice_rows": 5})
+    cut = build_historic(energy, weather, hot_options={"min_rows": 2, "slice_rows": 5})
     assert cut.columns == a.columns and rows(rounded(cut)) == rows(rounded(a))
     jobs.run_gold(spark, 12, feature_scope="batch")
     assert rows(rounded(read_table(spark, S.GOLD_HISTORIC))) == rows(rounded(b))
@@ -141,14 +146,78 @@ def test_rows_before_a_change_are_found_near_or_far(spark):
     dense = [at("a", b) for b in range(-2, 60)]
     gaps = [at("b", b) for b in (-1, 3, 9, 900, 1500)]
 
-    def filling(data):
+    def starts(data):
         energy = spark.createDataFrame(data, ddl)
-        found = jobs._filling(energy, energy.drop("zone"), F.lit(first.replace(tzinfo=dt.timezone.utc)))
-        return {(r.zone, (first - r.datetime) // hour) for r in found.collect()}
-
-    near = {("a", b) for b in range(1, 24)}
-    assert filling(dense) == near
-    assert filling(dense + gaps) == near | {("b", b) for b in (3, 9, 900, 1500)}
+        firsts = energy.filter(F.col("datetime") >= first.replace(tzinfo=dt.timezone.utc)).groupBy("zone").agg(F.min("datetime").alias("first"))
+        found = jobs.filling_starts(energy, energy.drop("zone"), firsts)
+        return {r.zone: (first - r.start) // hour for r in found.collect()}
+
+    assert starts(dense) == {"a": 23}
+    # a zone with gaps goes back as far as it must, the others do not
+    assert starts(dense + gaps) == {"a": 23, "b": 1500}
+    assert starts(dense + [at("new", -3)]) == {"a": 23, "new": -3}
+
+
+def test_landing_a_folder_again_adds_only_what_is_new(spark, clean_tables, tmp_path):
+    for run in (0, 0, 1, 1):
+        folder = tmp_path / "all"
+        folder.mkdir(exist_ok=True)
+        (folder / f"{run}.json").write_text(payloads.power("GR", run)) if not (folder / f"{run}.json").exists() else None
+        jobs.run_ingest(spark, power_path=str(folder), ingested_at=payloads.run_time(run))
+    stream_json(spark, str(folder), "power_data", S.BRONZE_POWER, str(tmp_path / "cp")).awaitTermination()
+    bronze = read_table(spark, S.BRONZE_POWER)
+    assert bronze.columns == ["source", "raw_json", "ingested_at"]
+    assert {(r.raw_json, r.ingested_at) for r in bronze.collect()} == {
+        (payloads.power("GR", run), payloads.run_time(run)) for run in (0, 1)
+    } and bronze.count() == 2
+    # only the days of the window are read
+    plan = lookback(read_table(spark, S.BRONZE_POWER, with_day=True), "ingested_at", 12, payloads.run_time(1))
+    assert "PartitionFilters: [isnotnull(_day" in plan._jdf.queryExecution().executedPlan().toString()
+
+
+def test_lines_without_a_time_do_not_pile_up(spark, clean_tables, tmp_path):
+    folder = payloads.land(str(tmp_path), 0)["weather"]
+    with open(f"{folder}/location_name=Athens, Greece/payload.csv", "a") as f:
+        f.write('"Athens, Greece",38.0,23.7,no time,1,1,1,1,1,1,1,"S1"\r\n')
+    jobs.run_ingest(spark, weather_path=folder, ingested_at=payloads.run_time(0))
+    energy = payloads.land(str(tmp_path), 0)
+    jobs.run_ingest(spark, energy["power"], energy["carbon"], ingested_at=payloads.run_time(0))
+    for _ in range(3):
+        jobs.run_silver(spark, 12, payloads.run_time(0))
+    assert read_table(spark, S.SILVER_WEATHER).count() == 4 * 96
+
+
+def test_hours_delivered_again_without_weather_leave_gold(spark, clean_tables, tmp_path):
+    for run in range(4):
+        folders = payloads.land(str(tmp_path), run)
+        jobs.run_ingest(
+            spark, folders["power"], folders["carbon"], None if run == 2 else folders["weather"], payloads.run_time(run)
+        )
+        jobs.run_silver(spark, 12, payloads.run_time(run))
+        jobs.run_gold(spark, 3)
+        energy, weather = read_table(spark, S.SILVER_ENERGY), read_table(spark, S.SILVER_WEATHER)
+        assert rows(rounded(read_table(spark, S.GOLD_HISTORIC))) == rows(rounded(build_historic(energy, weather)))
+
+
+def test_jobs_leave_nothing_in_the_checkpoint_folder(spark, clean_tables, tmp_path):
+    shared = ensure_checkpoint_dir(spark).removeprefix("file:")
+    ingest(spark, tmp_path, 0)
+    before = set(os.listdir(shared))
+    jobs.run_silver(spark, 12, payloads.run_time(0))
+    jobs.run_gold(spark, 12)
+    jobs.run_training_rows(spark)
+    assert set(os.listdir(shared)) == before
+
+
+def test_a_failed_save_does_not_block_the_next(spark, clean_tables, tmp_path):
+    df = spark.range(200).selectExpr("CAST(id % 7 AS double) AS a", "CAST(id % 3 AS double) AS y")
+    model = fit_gbt(df, ["a"], "y", trees=1)
+    bad = spark.range(1).selectExpr("raise_error('broken') AS rmse")
+    good = evaluate(model.transform(df), "y")
+    with pytest.raises(Exception, match="broken"):
+        save_model(spark, model, str(tmp_path / "m"), bad)
+    assert [save_model(spark, model, str(tmp_path / "m"), good) for _ in range(2)] == [1, 2]
+    assert load_latest(spark)[1] == 2
 
 
 # --- table layer -----------------------------------------------------------------

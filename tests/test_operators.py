@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from gridtide import functions as fx
 from gridtide import operators as op
-from gridtide.operators.hot import SLICE, same_group, slice_number
+from gridtide.operators.hot import SLICE
 from gridtide.schemas import FUELS, sanitize
 
 
@@ -130,7 +130,7 @@ def test_upsert_rejects_two_sources_for_one_target_only(spark):
     matched = spark.createDataFrame([(2, "x"), (2, "y")], KV)
     with pytest.raises(Exception, match="several source rows"):
         op.upsert(target, matched, ["k"]).collect()
-    assert op.upsert(target, matched, ["k"], validate=False).count() == 4
+    assert op.upsert(target, matched, ["k"], validate=False).count() == 3
 
 
 def test_insert_new(spark):
@@ -198,8 +198,7 @@ def series(n_big, n_small, seed=1):
 
 @pytest.mark.parametrize(
     "options",
-    [None, {"min_rows": 3, "share": 1e-6, "slice_rows": 7}, {"min_rows": 100, "share": 1e-6, "slice_rows": 50},
-     {"min_rows": 3, "share": 1e-6, "slice_rows": 1}],
+    [None, {"min_rows": 3, "slice_rows": 7}, {"min_rows": 100, "slice_rows": 50}, {"min_rows": 3, "slice_rows": 1}],
 )
 def test_lag_rolling_equals_plain_rule_however_it_is_cut(spark, options):
     data = series(300, 40)
@@ -220,20 +219,28 @@ def test_uncut_window_has_one_shuffle(spark):
     assert made._jdf.queryExecution().executedPlan().toString().count("Exchange") == 1
 
 
-def test_hot_group_is_cut_into_even_slices(spark):
-    df = spark.range(10_000).selectExpr("IF(id % 10 = 0, 'cold', 'hot') AS zone", "timestamp_seconds(id * 60) AS t")
-    hot = op.hot_spans(df, ["zone"], "t", min_rows=2000, share=0.2, slice_rows=500)
-    assert [r[0] for r in hot.collect()] == ["hot"]
-    sizes = dict(
-        rows(df.join(hot, same_group(["zone"])).groupBy(slice_number(df, "t").alias(SLICE)).count())
-    )
-    assert len(sizes) == 18 and max(sizes.values()) <= 510
+@pytest.mark.parametrize("at", ["id * 60", "IF(id % 10 < 9, id DIV 1000, id * 1000)", "7"])
+def test_hot_group_is_cut_by_rows(spark, at):
+    # evenly in time, nine tenths of the rows in a dense stretch, and all rows at one instant
+    df = spark.range(100_000).selectExpr("IF(id % 100 = 0, 'cold', 'hot') AS zone", f"timestamp_seconds({at}) AS t", "id")
+    assert [r[0] for r in op.hot_groups(df, ["zone"], min_rows=2000).collect()] == ["hot"]
+    cut = op.sliced(df.filter("zone = 'hot'"), ["zone"], ["t", "id"], 99_000, slice_rows=2000)
+    sizes = [r[0] for r in cut.groupBy(SLICE).agg(F.count("*")).collect()]
+    assert sum(sizes) == 99_000 and max(sizes) <= 4000
 
 
-def test_hot_groups_are_at_most_one_per_share(spark):
+def test_hot_does_not_depend_on_the_other_groups(spark):
     df = spark.range(1000).selectExpr("id % 40 AS zone", "id AS t")
-    assert op.hot_spans(df, ["zone"], "t", min_rows=1, share=0.1).count() == 0
-    assert op.hot_spans(df, ["zone"], "t", min_rows=1, share=0.02).count() == 40
+    assert op.hot_groups(df, ["zone"], min_rows=24).count() == 40
+    assert op.hot_groups(df, ["zone"], min_rows=25).count() == 0
+
+
+def test_upsert_with_copies_in_the_target(spark):
+    target = spark.createDataFrame([(1, "a"), (1, "b"), (2, "c"), (None, "n")], "k int, x string")
+    source = spark.createDataFrame([(1, "S"), (3, "new"), (None, "m")], "k int, x string")
+    for small in (False, True):
+        got = rows(op.upsert(target, source, ["k"], small_source=small))
+        assert sorted(got, key=repr) == sorted([(1, "S"), (1, "S"), (2, "c"), (3, "new"), (None, "n"), (None, "m")], key=repr)
 
 
 # --- payloads -----------------------------------------------------------------------

@@ -66,6 +66,12 @@ def test_missing_or_incomplete_snapshot(spark):
     assert build_training(*frames(spark, twice, ahead(5, range(1, 4)))).count() == 0
 
 
+def test_repeated_target_hour_leaves_the_vintage_out(spark):
+    full = hours("z", 0, 40) + hours("y", 0, 40)
+    twice = full + [r for r in full if r[0] == "z" and r[1] == T0 + 7 * H]
+    assert {k[0] for k in keys(build_training(*frames(spark, twice, ahead(5, range(1, 4)))))} == {"y"}
+
+
 def test_incomplete_forecast_rows_leave_the_window(spark):
     rows = ahead(5, [1, 2, 3])
     rows[1] = (*rows[1][:2], None, 2)
