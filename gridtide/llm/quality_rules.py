@@ -26,8 +26,8 @@ from gridtide.operators.sizes import broadcast_if_small
 BUCKETS = 16_384
 THRESHOLD = -0.35
 MIN_WORDS = 50
-# Trusted ids are broadcast up to this many rows (16 MB), beyond it they are joined by a shuffle.
-SMALL_TRUSTED = 2_000_000
+# Trusted ids are broadcast up to this many rows (some 40 MB), beyond it they are joined by a shuffle.
+SMALL_TRUSTED = 500_000
 
 _TOKENS = r"[\p{L}\p{M}]+|\p{N}+|[^\p{L}\p{M}\p{N}\x20\x09-\x0D]+"
 _SIGNS = r"[#*$%&|<>]+"
