@@ -313,8 +313,8 @@ SQL["monitor_by_offset"] = _monitor(24, "forecast_offset_h,")
 SQL["gbt_fit_score"] = f"""
     {_base(*_CHAIN, _historic(), _FORECASTS, _AHEAD, _training(_ALL_HOURS))},
     kept AS (SELECT ingested_hour_utc AS v FROM pairs WHERE n_ahead = n_found),
-    cut AS (SELECT quantile_disc(v, 0.8) AS at FROM kept)
-    SELECT count(*) FILTER (v <= at) AS n_train, count(*) FILTER (v > at) AS n_test,
+    cut AS (SELECT quantile_disc(v, 0.8) AS edge FROM kept)
+    SELECT count(*) FILTER (v <= edge) AS n_train, count(*) FILTER (v > edge) AS n_test,
            {3 * len(SERIES) + len(WEATHER_SERIES) + 6} AS n_features, 100 AS n_trees, true AS has_rmse
     FROM kept, cut"""
 SQL["gbt_best_split"] = """
