@@ -19,6 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from gridtide.llm.common import id_and_bytes
+from gridtide.session import materialize
 
 KINDS = ("assign", "access", "hex", "markov")
 THRESHOLD = 0.35
@@ -81,14 +82,18 @@ def training_samples(docs: DataFrame, id_col: str, text_col: str, max_samples: i
     """(random strings, ordinary identifiers).
 
     Random strings are generated from a seed. Ordinary identifiers are distinct
-    words of letters, also joined by signs, from all texts, an eighth by hash; of these the
-    ``max_samples`` with the smallest hash are taken, which is the same set in every
-    run and needs ``max_samples`` rows per task.
+    words of letters, also joined by signs, from all texts, an eighth by hash; of these
+    a share by hash that holds ``max_samples`` in expectation, or all if there are
+    fewer. The set is the same in every run.
     """
     words = F.regexp_extract_all(F.col(text_col), F.lit(r"[A-Za-z][A-Za-z_-]{3,60}"), F.lit(0))
+    place = F.xxhash64("w", F.lit("place"))
     picked = docs.select(F.explode(words).alias("w")).filter(F.pmod(F.xxhash64("w"), F.lit(8)) == 0).distinct()
-    ordinary = picked.orderBy(F.xxhash64("w"), "w").limit(max_samples)
-    return random_strings(max_samples), [r[0] for r in ordinary.collect()]
+    picked = materialize(picked)
+    cells = 1 << 20
+    share = min(cells, -(-cells * max_samples // max(picked.count(), 1)))
+    ordinary = picked.filter(F.pmod(place, F.lit(cells)) < share)
+    return random_strings(max_samples), sorted(r[0] for r in ordinary.collect())
 
 
 class SecretScanner:
