@@ -37,7 +37,12 @@ def upsert(
     replaced = [
         F.col(c) if c in keys else F.when(matched, F.col(f"{_NEW}.{c}")).otherwise(F.col(c)).alias(c) for c in target.columns
     ]
-    return joined.select(*replaced).unionByName(unmatched_source(target, source, keys))
+    if small_source:  # only the target keys that the source has leave their task
+        met = target.select(*keys).join(F.broadcast(source.select(*keys)), keys, "left_semi").distinct()
+        fresh = source.join(F.broadcast(met), keys, "left_anti").select(*source.columns)
+    else:
+        fresh = unmatched_source(target, source, keys)
+    return joined.select(*replaced).unionByName(fresh)
 
 
 def unmatched_source(target: DataFrame, source: DataFrame, keys: list[str]) -> DataFrame:
