@@ -28,9 +28,10 @@ HOT_BYTES = 64
 CACHE_SIZE = 400_000
 COUNTS_SIZE = 300_000
 
-# The code points with the Unicode property White_Space. Pre-tokens never hold
+# The code points with the Unicode property White_Space, as the inside of a
+# character class. Pre-tokens never hold
 # both white space and, after it, more than the one blank that leads a word.
-WHITE_SPACE = "\t\n\x0b\x0c\r \x85\xa0  -     　"
+WHITE_SPACE = "\t\n\x0b\x0c\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 
 _CHUNK = re.compile(f"[{WHITE_SPACE}]*[^{WHITE_SPACE}]+|[{WHITE_SPACE}]+")
 
