@@ -106,6 +106,18 @@ def test_near_duplicates_of_a_chain_and_a_crowd(spark):
         assert got == by_brute_force(rows, n, percent)
 
 
+def test_near_duplicates_in_wide_buckets_lose_no_link(spark):
+    """Pairs that only share buckets with many texts that neither is linked to."""
+    rows = []
+    for p in range(40):
+        words = [f"b{i}" for i in range(60)] + [f"p{p}_{i}" for i in range(40)]
+        rows.append((2 * p, " ".join(words)))
+        rows.append((2 * p + 1, " ".join([*words[:99], "edit"])))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = minhash.near_duplicates(df, words=3, percent=85, bands=40, rows=1, centres=1)
+    assert {r.doc_id: r.component_id for r in got.collect()} == by_brute_force(rows, 3, 85)
+
+
 def test_near_duplicates_of_odd_rows(spark):
     df = odd(spark)
     got = minhash.near_duplicates(df, words=3, percent=85)
