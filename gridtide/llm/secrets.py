@@ -111,10 +111,14 @@ class SecretScanner:
     def spans(self, text: str) -> tuple[list[Span], list[Span]]:
         """(base spans, all spans)."""
         base = base_spans(text)
-        added = []
+        added, at, reach = [], 0, 0
         for m in _RUN.finditer(text):
             s, e = m.start(), m.end()
-            if not any(b[1] < e and s < b[2] for b in base) and self.is_random(m[0]):
+            # Both go by start: what begins before the run's end overlaps it if it reaches beyond its start.
+            while at < len(base) and base[at][1] < e:
+                reach = max(reach, base[at][2])
+                at += 1
+            if reach <= s and self.is_random(m[0]):
                 added.append(("markov", s, e))
         return base, sorted(base + added, key=lambda x: (x[1], KINDS.index(x[0]))) if added else base
 
