@@ -263,9 +263,13 @@ def fit(
     rows = id_and_bytes(docs, id_col, text_col).join(F.broadcast(picked), "id").select(
         "label", "text", F.xxhash64("id", "text").alias("order")
     )
-    got = sorted(_own_features(rows).toArrow().to_pylist(), key=lambda r: (r["order"], r["label"]))
-    documents = [(np.array(r["own"], np.float32).reshape(-1, OWN), np.array(r["lengths"], np.int64)) for r in got]
-    return fit_lines(documents, np.array([r["label"] for r in got], np.int64))
+    table = _own_features(rows).toArrow()
+    got = sorted(
+        zip(table["order"].to_pylist(), table["label"].to_pylist(), table["own"].to_numpy(), table["lengths"].to_numpy()),
+        key=lambda r: (r[0], r[1]),
+    )
+    documents = [(np.asarray(own, np.float32).reshape(-1, OWN), np.asarray(lengths, np.int64)) for _, _, own, lengths in got]
+    return fit_lines(documents, np.array([label for _, label, _, _ in got], np.int64))
 
 
 def score(docs: DataFrame, model: LineCrf, id_col: str = "doc_id", text_col: str = "text", *more: Column) -> DataFrame:
