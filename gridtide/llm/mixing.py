@@ -25,7 +25,7 @@ WEIGHTS = (1, 2, 3)
 MAX_COPIES = 3
 NEWTON_STEPS = 60
 TOLERANCE = 1e-7
-SLICE_ROWS = 50_000
+SLICE_ROWS = 5_000
 
 
 def word_count(text: Column) -> Column:
