@@ -1,14 +1,16 @@
 """Line dedup by site-relative frequency.
 
 The pages of a site that hold a line, divided by the pages of the site, say how much
-of a boilerplate the line is. Pages with one and the same text count once, so a page
-that was copied many times does not turn into boilerplate. Lines above ``ratio`` that
+of a boilerplate the line is. Pages that are near copies of each other (the components
+of ``minhash``) count once, so a page that was copied many times, also with small edits,
+does not turn into boilerplate. Lines above ``ratio`` that
 stand on at least ``min_pages`` pages of the site are dropped from all of its pages.
 Lines are compared without the white space around them; lines without a word stay.
 
 Scale: only hashes (site, page, 128-bit line) are shuffled, copies combined map-side,
 first by all three and then counted by site and line, so neither a line that stands on
-a third of all pages nor a page copied as often gathers in one task. A site has at most
+a third of all pages nor a page copied as often gathers in one task. Near copies are
+looked for once, over all sites; only hashes of pages are joined to their groups. A site has at most
 (lines of a page on average) / ``ratio`` boilerplate lines; they travel as one array per
 site, broadcast if they are few and joined by shuffle otherwise, where adaptive
 execution splits a hot site. Texts are cleaned where they are read.
@@ -18,12 +20,16 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from gridtide.llm import minhash
+from gridtide.operators.sizes import broadcast_if_small
 from gridtide.session import materialize
 
 RATIO = 0.1
 MIN_PAGES = 5
 # Boilerplate lines that are broadcast at most (some 16 MB), beyond it sites are joined by a shuffle.
 SMALL_LINES = 500_000
+# Pages with another page's group that are broadcast at most (16 MB).
+SMALL_PAGES = 1_000_000
 
 _BLANKS = " \t\x0b\x0c\r"
 
@@ -39,16 +45,31 @@ def _site(site: Column) -> Column:
     return F.coalesce(F.concat(F.lit("="), site.cast("string")), F.lit(""))
 
 
+def _near_groups(texts: DataFrame) -> DataFrame:
+    """(page, group) of the pages, given as (page, text), that are not the first of their group of near copies."""
+    found = minhash.near_duplicates(texts, "page").filter(F.col("component_id") != F.col("page"))
+    return broadcast_if_small(materialize(found.select("page", F.col("component_id").alias("group")).distinct()), SMALL_PAGES)
+
+
+def _as_one(pages: DataFrame, groups: DataFrame) -> DataFrame:
+    """Distinct ``pages`` with the group, where there is one, in place of the page."""
+    return pages.join(groups, "page", "left").withColumn("page", F.coalesce("group", "page")).drop("group").distinct()
+
+
 def boilerplate_lines(
-    docs: DataFrame, site_col: str, text_col: str, ratio: float = RATIO, min_pages: int = MIN_PAGES
+    docs: DataFrame, site_col: str, text_col: str, ratio: float = RATIO, min_pages: int = MIN_PAGES, near_as_one: bool = True
 ) -> DataFrame:
     """(site, line_key, pages, site_pages) of the lines above the ratio."""
     text = F.coalesce(F.col(text_col), F.lit(""))
     pages = docs.select(_site(F.col(site_col)).alias("site"), F.xxhash64(text, F.length(text)).alias("page"), text.alias("text"))
-    sizes = pages.select("site", "page").distinct().groupBy("site").agg(F.count(F.lit(1)).alias("site_pages"))
+    distinct = pages.select("site", "page").distinct()
     keys = F.array_distinct(F.transform(F.split("text", "\n"), _key))
     lines = pages.select("site", "page", F.explode(keys).alias("key")).filter(F.col("key").isNotNull())
     once = lines.select("site", "page", F.unhex("key").alias("line_key")).distinct()
+    if near_as_one:
+        groups = _near_groups(pages.select("page", "text"))
+        distinct, once = _as_one(distinct, groups), _as_one(once, groups)
+    sizes = distinct.groupBy("site").agg(F.count(F.lit(1)).alias("site_pages"))
     counted = once.groupBy("site", "line_key").agg(F.count(F.lit(1)).alias("pages")).filter(F.col("pages") >= min_pages)
     return counted.join(sizes, "site").filter(F.col("pages") > ratio * F.col("site_pages")).select(
         "site", F.lower(F.hex("line_key")).alias("line_key"), "pages", "site_pages"
@@ -61,15 +82,17 @@ def drop_boilerplate(
     text_col: str = "text",
     ratio: float = RATIO,
     min_pages: int = MIN_PAGES,
+    near_as_one: bool = True,
 ) -> DataFrame:
     """All columns and rows of ``docs`` with ``text_col`` cleaned, and n_lines, n_dropped.
 
     A NULL text stays NULL and counts as one empty line. A page whose lines all go
     has an empty text. Sites that are NULL form one site. Each row is a page,
-    repeated rows too, but equal pages of a site count once. Columns named n_lines or n_dropped are replaced. An empty
-    table gives an empty result.
+    repeated rows too, but near copies in a site count once; with ``near_as_one`` off only
+    equal pages do. Columns named n_lines or n_dropped are replaced. An empty table gives
+    an empty result.
     """
-    found = materialize(boilerplate_lines(docs, site_col, text_col, ratio, min_pages).select("site", "line_key"))
+    found = materialize(boilerplate_lines(docs, site_col, text_col, ratio, min_pages, near_as_one).select("site", "line_key"))
     by_site = found.groupBy("site").agg(F.collect_set("line_key").alias("bad"))
     if found.count() <= SMALL_LINES:
         by_site = F.broadcast(by_site)

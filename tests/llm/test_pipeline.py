@@ -53,6 +53,20 @@ def test_repeated_ids_are_one_document(spark):
     assert sorted((r.doc_id or 0) for r in got.collect()) == [0, 0, 1]
 
 
+def test_a_group_of_near_copies_is_one_page_to_line_dedup(spark):
+    """A third of a source are near copies: their lines stay and one of them is left whole."""
+    copy = [" ".join(f"c{i}w{j}" for j in range(12)) for i in range(10)]
+    rows = [(i, "\n".join([*copy[:5], f"{copy[5]} edit{i}", *copy[6:], "menu of the site"]), "a", 0) for i in range(30)]
+    rows += [(100 + i, "\n".join([" ".join(f"p{i}w{j}" for j in range(40)), "menu of the site"]), "a", 0) for i in range(60)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string, n_chars long")
+    cleaned = materialize(pipeline.lines(spark, df, SF_DIR))
+    texts = {r.doc_id: r.text for r in cleaned.collect()}
+    for i, text, _, _ in rows:
+        assert texts[i] == text.removesuffix("\nmenu of the site")
+    left = {r.doc_id for r in pipeline.near_copies(spark, cleaned, SF_DIR).collect()}
+    assert left == {0, *range(100, 160)}
+
+
 def test_empty_documents_pass_all_stages(spark):
     df = queries.table(spark, SF_DIR, "documents").limit(0)
     for _, stage in pipeline.STAGES:
