@@ -24,7 +24,7 @@ from gridtide.llm import minhash
 from gridtide.operators.sizes import broadcast_if_small
 from gridtide.session import materialize
 
-RATIO = 0.1
+RATIO = 0.01
 MIN_PAGES = 5
 # Boilerplate lines that are broadcast at most (some 16 MB), beyond it sites are joined by a shuffle.
 SMALL_LINES = 500_000

@@ -50,8 +50,8 @@ def op7_quality_classifier(spark, sf_dir):
 
 def op8_line_dedup(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
-    # Its SQL counts distinct texts.
-    return line_dedup.drop_boilerplate(docs, near_as_one=False).select("doc_id", "source", "text", "n_lines", "n_dropped")
+    # Its SQL counts distinct texts and has a ratio of its own.
+    return line_dedup.drop_boilerplate(docs, ratio=0.1, near_as_one=False).select("doc_id", "source", "text", "n_lines", "n_dropped")
 
 
 def op9_language_id(spark, sf_dir):

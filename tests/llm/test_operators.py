@@ -396,3 +396,11 @@ def test_line_dedup_of_odd_rows(spark):
     assert texts[200] == (None, 1, 0) and texts[201] == ("menu", 1, 0)
     assert line_dedup.drop_boilerplate(odd(spark)).count() == odd(spark).count()
     assert line_dedup.drop_boilerplate(odd(spark).limit(0)).count() == 0
+
+
+def test_line_dedup_drops_lines_on_few_of_many_pages(spark):
+    """Of 400 pages 8 hold a licence line and 4 another one."""
+    rows = [(i, "\n".join([f"own {i}"] + ["licence"] * (i < 8) + ["rare"] * (i < 4)), "a") for i in range(400)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    texts = {r.doc_id: r.text for r in line_dedup.drop_boilerplate(df).collect()}
+    assert texts[7] == "own 7" and texts[3] == "own 3\nrare" and texts[9] == "own 9"
