@@ -53,6 +53,14 @@ def test_repeated_ids_are_one_document(spark):
     assert sorted((r.doc_id or 0) for r in got.collect()) == [0, 0, 1]
 
 
+def test_different_texts_under_one_id_all_stay(spark):
+    one, two, three = (" ".join(f"{k}{i}" for i in range(9)) for k in "abc")
+    rows = [(1, one, "y"), (1, one, "x"), (1, two, "x"), (2, one, "x"), (2, three, "x"), (2, None, "x"), (3, two, "x"), (None, one, "x")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(4)
+    got = [tuple(r) for r in pipeline.near_copies(spark, df, SF_DIR).collect()]
+    assert sorted(got, key=repr) == sorted([(1, one, "x"), (1, two, "x"), (2, three, "x"), (2, None, "x"), (None, one, "x")], key=repr)
+
+
 def test_a_group_of_near_copies_is_one_page_to_line_dedup(spark):
     """A third of a source are near copies: their lines stay and one of them is left whole."""
     copy = [" ".join(f"c{i}w{j}" for j in range(12)) for i in range(10)]
