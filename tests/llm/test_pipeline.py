@@ -6,8 +6,10 @@ import collections
 import os
 import subprocess
 import sys
+import zlib
 
 import corpus_pipeline as pipeline
+import numpy as np
 from pyspark.sql import functions as F
 
 from gridtide.llm import queries, quality_rules
@@ -75,6 +77,13 @@ def test_a_group_of_near_copies_is_one_page_to_line_dedup(spark):
     assert left == {0, *range(100, 160)}
 
 
+def test_sequences_can_be_read_from_the_result(spark):
+    df = spark.createDataFrame([(1, "one two three"), (2, None), (2, "four " * 5000)], "doc_id long, text string")
+    got = pipeline.packed(spark, df, SF_DIR).collect()
+    assert len(got) == 4 and all(len(r.ids) == r.length for r in got)
+    assert all(zlib.crc32(np.array(r.ids, "<u4").tobytes()) == r.ids_crc32 for r in got)
+
+
 def test_empty_documents_pass_all_stages(spark):
     df = queries.table(spark, SF_DIR, "documents").limit(0)
     for _, stage in pipeline.STAGES:
