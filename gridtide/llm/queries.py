@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from gridtide.llm import language, line_crf, line_dedup, minhash, mixing, packing, quality_rules, secrets, tokens, vectors
+from gridtide.llm import (
+    byte_bpe, collocations, hard_negatives, language, line_crf, line_dedup, minhash, mixing, packing, quality_rules, secrets, tokens, vectors,
+)
 from gridtide.llm.common import fold
 
 
@@ -65,10 +67,26 @@ def op10_secret_scan(spark, sf_dir):
     return secrets.scan(table(spark, sf_dir, "documents"))
 
 
+def op11_hard_negatives(spark, sf_dir):
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, label=label)
+
+
+def op12_byte_bpe(spark, sf_dir):
+    encoded = byte_bpe.encode_documents(table(spark, sf_dir, "documents"))
+    decoded = byte_bpe.decode_ids(encoded.select("doc_id", "n_tokens", byte_bpe.digest("ids").alias("ids_sha256"), "ids"))
+    return decoded.select("doc_id", "n_tokens", "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+def op13_collocations(spark, sf_dir):
+    return collocations.mine_phrases(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     f.__name__: f for f in (
         op1_minhash_near_dedup, op2_token_counts, op3_mixing, op4_quality_rules, op5_embedding_near_dedup,
         op6_packing, op7_quality_classifier, op8_line_dedup, op9_language_id, op10_secret_scan,
+        op11_hard_negatives, op12_byte_bpe, op13_collocations,
     )
 }
 
@@ -148,5 +166,60 @@ cleaned AS (
 )
 SELECT d.doc_id, d.source, c.text, coalesce(n_lines, 1) AS n_lines, coalesce(n_dropped, 0) AS n_dropped
 FROM documents d LEFT JOIN cleaned c ON c.doc_id = d.doc_id
+""",
+    "op11_hard_negatives": """
+WITH usable AS (
+    SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+        list_transform(embedding, lambda x : floor(256 * CAST(x AS DOUBLE))) AS v
+    FROM embeddings
+    WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x : x IS NULL OR isnan(x) OR isinf(x))) = 0
+),
+scored AS (
+    SELECT a.vec_id AS anchor_id, b.vec_id AS other_id, a.label = b.label AS same,
+        CAST(list_dot_product(a.v, b.v) AS BIGINT) AS score
+    FROM usable a JOIN usable b ON a.vec_id <> b.vec_id AND len(a.v) = len(b.v) WHERE a.vec_id % 100 = 0
+),
+positives AS (
+    SELECT anchor_id, other_id AS positive_id, score AS positive_score FROM scored WHERE same
+    QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other_id) <= 5
+),
+ranked AS (
+    SELECT p.anchor_id, positive_id, positive_score, n.other_id AS negative_id, n.score AS negative_score,
+        row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY n.score DESC, n.other_id) AS r
+    FROM positives p JOIN scored n ON p.anchor_id = n.anchor_id AND NOT n.same
+    WHERE 80 * positive_score <= 100 * n.score AND 100 * n.score <= 100 * positive_score
+)
+SELECT anchor_id, positive_id, CAST(r AS INTEGER) AS rank, negative_id, positive_score, negative_score FROM ranked WHERE r <= 5
+""",
+    "op13_collocations": r"""
+WITH pieces AS (
+    SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+    FROM documents
+),
+words AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces),
+grams AS (
+    SELECT lang, k, unnest(list_transform(range(1, len(w) - k + 2), lambda i : array_to_string(w[i:i + k - 1], ' '))) AS phrase
+    FROM words, (VALUES (1), (2), (3), (4), (5)) AS sizes(k) WHERE len(w) >= k
+),
+counts AS (SELECT lang, k, phrase, count(*) AS f FROM grams GROUP BY ALL),
+totals AS (SELECT lang, CAST(sum(f) AS HUGEINT) AS n FROM counts WHERE k = 1 GROUP BY lang),
+candidates AS (SELECT lang, k, phrase, f AS a, string_split(phrase, ' ') AS w FROM counts WHERE k >= 2 AND f >= 100),
+cuts AS (
+    SELECT c.*, t.n, cut, l.f AS l, r.f AS r, CAST(1000 * CAST(a AS HUGEINT) * n // (CAST(l.f AS HUGEINT) * r.f) AS BIGINT) AS score
+    FROM candidates c JOIN totals t USING (lang) JOIN (VALUES (1), (2), (3), (4)) AS places(cut) ON cut < c.k
+    JOIN counts l ON l.lang = c.lang AND l.phrase = array_to_string(w[1:cut], ' ')
+    JOIN counts r ON r.lang = c.lang AND r.phrase = array_to_string(w[cut + 1:], ' ')
+),
+scored AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1),
+kept AS (
+    SELECT * FROM scored s WHERE NOT EXISTS (
+        SELECT 1 FROM candidates h WHERE h.lang = s.lang AND h.k > s.k AND h.a >= s.a
+        AND contains(concat(' ', h.phrase, ' '), concat(' ', s.phrase, ' '))
+    )
+)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, CAST(n AS BIGINT) AS n, score
+FROM kept QUALIFY rank <= 2000
 """,
 }
