@@ -42,9 +42,10 @@ SUBSUMED_PERCENT = 100
 MAX_BITS = 1 << 28
 BITS_PER_ENTRY = 32
 SEGMENT = 512
-CHUNK_BYTES = 4 << 20
-CACHE_SIZE = 600_000
-COUNTS_SIZE = 400_000
+CHUNK_BYTES = 1 << 20
+CACHE_SIZE = 250_000
+COUNTS_SIZE = 250_000
+KEYS_SIZE = 1 << 20
 SMALL_LANGS = 100_000
 NO_LANG = "und"
 
@@ -77,12 +78,23 @@ def word_lists(texts: list[bytes]) -> Iterator[list[bytes]]:
         at = end + 1
 
 
-def _by_lang(batch: pa.RecordBatch) -> Iterator[tuple[str, list[bytes]]]:
-    found: dict[str, list[bytes]] = {}
-    for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-        if text:
-            found.setdefault(lang, []).append(text)
-    yield from found.items()
+def _words_by_lang(batch: pa.RecordBatch) -> Iterator[tuple[str, list[bytes]]]:
+    """Lists of words and breaks, each of one language; about ``CHUNK_BYTES`` of text at a time."""
+    held: dict[str, tuple[list[bytes], int]] = {}
+    for lang, text in zip(batch.column(0), batch.column(1)):
+        if not text.is_valid:
+            continue
+        lang, text = lang.as_py(), text.as_py()
+        some, size = held.get(lang, ([], 0))
+        some.append(text)
+        held[lang] = some, size + len(text)
+        if size + len(text) >= CHUNK_BYTES:
+            del held[lang]
+            for words in word_lists(some):
+                yield lang, words
+    for lang, (some, _) in held.items():
+        for words in word_lists(some):
+            yield lang, words
 
 
 def _texts(docs: DataFrame, lang_col: str, text_col: str) -> DataFrame:
@@ -106,11 +118,10 @@ def word_counts(texts: DataFrame) -> DataFrame:
             counts.clear()
 
         for batch in batches:
-            for lang, some in _by_lang(batch):
-                for words in word_lists(some):
-                    counts.setdefault(lang, Counter()).update(words)
-                    if sum(map(len, counts.values())) > COUNTS_SIZE:
-                        yield from flush()
+            for lang, words in _words_by_lang(batch):
+                counts.setdefault(lang, Counter()).update(words)
+                if sum(map(len, counts.values())) > COUNTS_SIZE:
+                    yield from flush()
         yield from flush()
 
     counted = texts.mapInArrow(count, "lang string, word string, n long")
@@ -194,16 +205,22 @@ def pair_counts(texts: DataFrame, words: Broadcast, salt: str) -> DataFrame:
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids_of = _Ids(words.value, salt)
+        found: list[np.ndarray] = []
+
+        def flush() -> pa.RecordBatch:
+            keys, n = np.unique(np.concatenate(found), return_counts=True)
+            found.clear()
+            return pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(n.astype(np.int64))], names=["key", "n"])
+
         for batch in batches:
-            found = []
-            for lang, some in _by_lang(batch):
-                for listed in word_lists(some):
-                    ids = ids_of(lang, listed)
-                    full = ids != 0
-                    found.append(_pair_keys(lang, ids)[full[:-1] & full[1:]])
-            if found:
-                keys, n = np.unique(np.concatenate(found), return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(n.astype(np.int64))], names=["key", "n"])
+            for lang, listed in _words_by_lang(batch):
+                ids = ids_of(lang, listed)
+                full = ids != 0
+                found.append(_pair_keys(lang, ids)[full[:-1] & full[1:]])
+                if sum(map(len, found)) > KEYS_SIZE:
+                    yield flush()
+        if found:
+            yield flush()
 
     return texts.mapInArrow(count, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
 
@@ -225,29 +242,28 @@ def windows(texts: DataFrame, words: Broadcast, pairs: Broadcast, salt: str, lon
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids_of, frequent = _Ids(words.value, salt), pairs.value
         for batch in batches:
-            for lang, some in _by_lang(batch):
-                for listed in word_lists(some):
-                    ids = ids_of(lang, listed)
-                    full = ids != 0
-                    joined = full[:-1] & full[1:]
-                    joined[joined] = frequent.has(_pair_keys(lang, ids)[joined])
-                    starts = np.flatnonzero(joined)
-                    if not len(starts):
-                        continue
-                    # How many further words follow without a cut.
-                    padded = np.concatenate([joined, np.zeros(longest, bool)])
-                    run, length = np.ones(len(starts), bool), np.ones(len(starts), np.int64)
-                    for step in range(longest - 1):
-                        run &= padded[starts + step]
-                        length += run
-                    at = np.minimum(starts[:, None] + np.arange(longest), len(ids) - 1)
-                    rows, n = _distinct_rows(np.where(np.arange(longest) < length[:, None], ids[at], _U(0)))
-                    inside = rows != 0
-                    offsets = np.concatenate([[0], np.cumsum(_ID * inside.sum(1))]).astype(np.int32)
-                    grams = pa.Array.from_buffers(pa.binary(), len(rows), [None, pa.py_buffer(offsets), pa.py_buffer(rows[inside].tobytes())])
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array([lang] * len(rows), pa.string()), grams, pa.array(n.astype(np.int64))], names=["lang", "gram", "w"]
-                    )
+            for lang, listed in _words_by_lang(batch):
+                ids = ids_of(lang, listed)
+                full = ids != 0
+                joined = full[:-1] & full[1:]
+                joined[joined] = frequent.has(_pair_keys(lang, ids)[joined])
+                starts = np.flatnonzero(joined)
+                if not len(starts):
+                    continue
+                # How many further words follow without a cut.
+                padded = np.concatenate([joined, np.zeros(longest, bool)])
+                run, length = np.ones(len(starts), bool), np.ones(len(starts), np.int64)
+                for step in range(longest - 1):
+                    run &= padded[starts + step]
+                    length += run
+                at = np.minimum(starts[:, None] + np.arange(longest), len(ids) - 1)
+                rows, n = _distinct_rows(np.where(np.arange(longest) < length[:, None], ids[at], _U(0)))
+                inside = rows != 0
+                offsets = np.concatenate([[0], np.cumsum(_ID * inside.sum(1))]).astype(np.int32)
+                grams = pa.Array.from_buffers(pa.binary(), len(rows), [None, pa.py_buffer(offsets), pa.py_buffer(rows[inside].tobytes())])
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([lang] * len(rows), pa.string()), grams, pa.array(n.astype(np.int64))], names=["lang", "gram", "w"]
+                )
 
     counted = texts.mapInArrow(count, "lang string, gram binary, w long")
     return counted.groupBy("lang", "gram").agg(F.sum("w").alias("w"))
