@@ -5,10 +5,11 @@ The distinct pre-tokens of the corpus form a table with their piece counts; a
 document's count is the sum of frequency times pieces. Token ids of documents are
 never made.
 
-Scale: the vocabulary is counted map-side in each task, then shuffled by
-pre-token. The most frequent pre-tokens of at most ``hot_bytes`` characters, no more
-than ``hot_size`` of them, are broadcast (so at most ``hot_size * hot_bytes`` characters) and
-summed where the document is read; the others are joined by a shuffle, exactly.
+Scale: texts are read once. The most frequent pre-tokens of some ``sample_rows``
+documents, of at most ``hot_bytes`` characters and no more than ``hot_size`` of them, are
+broadcast (so at most ``hot_size * hot_bytes`` characters) and summed where a document is
+read. All others leave the task as frequencies per document; their distinct ones are cut
+and joined to them by a shuffle, exactly. What the sample holds changes what is shuffled, not the counts.
 """
 
 from __future__ import annotations
@@ -27,6 +28,7 @@ HOT_SIZE = 200_000
 HOT_BYTES = 64
 CACHE_SIZE = 400_000
 COUNTS_SIZE = 300_000
+SAMPLE_ROWS = 20_000
 
 # The code points with the Unicode property White_Space, as the inside of a
 # character class. Pre-tokens never hold
@@ -75,7 +77,7 @@ def _pre_tokens(name: str, path: str | None) -> _PreTokens:
 
 
 def vocabulary(docs: DataFrame, text_col: str, name: str, path: str | None = None) -> DataFrame:
-    """(pre_token, n, pieces): distinct pre-tokens of all texts, how often, and into how many pieces they fall."""
+    """(pre_token, n): distinct pre-tokens of all texts, and how often they come."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cut = _pre_tokens(name, path)
@@ -100,18 +102,22 @@ def vocabulary(docs: DataFrame, text_col: str, name: str, path: str | None = Non
         if counts:
             yield flush()
 
+    ship_package(docs.sparkSession)
+    counted = docs.select(F.col(text_col).alias("text")).mapInArrow(count, "pre_token string, n long")
+    return counted.groupBy("pre_token").agg(F.sum("n").alias("n"))
+
+
+def with_pieces(distinct: DataFrame, name: str, path: str | None = None) -> DataFrame:
+    """Distinct pre-tokens with the number of pieces that each falls into."""
+
     def cut_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cut = _pre_tokens(name, path)
         for batch in batches:
             pieces = [cut.pieces(p) for p in batch.column(0).to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(pieces, pa.int32())], names=["pre_token", "n", "pieces"]
-            )
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(pieces, pa.int32())], names=["pre_token", "pieces"])
 
-    ship_package(docs.sparkSession)
-    counted = docs.select(F.col(text_col).alias("text")).mapInArrow(count, "pre_token string, n long")
-    distinct = counted.groupBy("pre_token").agg(F.sum("n").alias("n"))
-    return distinct.mapInArrow(cut_up, "pre_token string, n long, pieces int")
+    ship_package(distinct.sparkSession)
+    return distinct.select("pre_token").mapInArrow(cut_up, "pre_token string, pieces int")
 
 
 def most_frequent(vocab: DataFrame, size: int) -> DataFrame:
@@ -139,6 +145,7 @@ def count_tokens(
     path: str | None = None,
     hot_size: int = HOT_SIZE,
     hot_bytes: int = HOT_BYTES,
+    sample_rows: int = SAMPLE_ROWS,
 ) -> DataFrame:
     """(id_col, n_bytes, n_tokens) of every row.
 
@@ -147,8 +154,10 @@ def count_tokens(
     An empty table gives an empty result. Special strings in a text count as their
     one token, as the library does by default.
     """
-    vocab = materialize(vocabulary(docs, text_col, tokenizer, path))
-    found = most_frequent(vocab.filter(F.length("pre_token") <= hot_bytes), hot_size).select("pre_token", "pieces").toArrow()
+    total = docs.count()
+    sample = docs if total <= sample_rows else docs.sample(sample_rows / total, seed=1)
+    seen = materialize(vocabulary(sample, text_col, tokenizer, path).filter(F.length("pre_token") <= hot_bytes))
+    found = with_pieces(most_frequent(seen, hot_size), tokenizer, path).toArrow()
     hot = docs.sparkSession.sparkContext.broadcast(dict(zip(found["pre_token"].to_pylist(), found["pieces"].to_pylist())))
 
     def frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -198,7 +207,7 @@ def count_tokens(
     rows = materialize(read.withColumn("row", F.monotonically_increasing_id()))
     rare = rows.select("row", F.inline("rest")).withColumnRenamed("n", "freq")
     summed = (
-        rare.join(vocab.select("pre_token", "pieces"), "pre_token")
+        rare.join(with_pieces(rare.select("pre_token").distinct(), tokenizer, path), "pre_token")
         .groupBy("row").agg(F.sum(F.col("freq") * F.col("pieces")).alias("rare_tokens"))
     )
     return rows.select("row", "id", "n_bytes", "hot_tokens").join(summed, "row", "left").select(

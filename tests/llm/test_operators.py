@@ -129,11 +129,11 @@ def test_near_duplicates_of_odd_rows(spark):
 
 # --- 2, 6 -----------------------------------------------------------------------------
 
-@pytest.mark.parametrize("hot", [200_000, 3])
-def test_token_counts(spark, docs, hot):
+@pytest.mark.parametrize("hot,sample", [(200_000, 20_000), (3, 20_000), (500, 40)])
+def test_token_counts(spark, docs, hot, sample):
     tokenizer = load_tokenizer("byte_bpe_50k.json")
     df = docs.limit(300).select("doc_id", "text").unionByName(odd(spark).select("doc_id", "text"))
-    got = tokens.count_tokens(df, hot_size=hot)
+    got = tokens.count_tokens(df, hot_size=hot, sample_rows=sample)
     want = [(r.doc_id, len((r.text or "").encode()), len(tokenizer.encode(r.text or "", add_special_tokens=False).ids)) for r in df.collect()]
     assert collected(got, "doc_id", "n_bytes", "n_tokens") == sorted(want, key=repr)
     assert tokens.count_tokens(odd(spark).limit(0)).count() == 0
