@@ -9,9 +9,10 @@ are rounded down and filled with exact lengths, the last place of a pattern with
 the longest piece that still fits; what is left is packed best-fit, longest first.
 
 Scale: the plan is a list of (length, from rank, to rank, sequences), at most a few
-per length and pattern, whatever the size of the corpus. Pieces get their rank
-within their length from counts per (length, slice) and a row number within the
-slice, so a length that most documents share is spread over many tasks.
+per length and pattern, whatever the size of the corpus. Pieces are written once. Only
+their row number, length and order are ranked, from counts per (length, slice) and a row number within the
+slice, so a length that most documents share is spread over many tasks; the places are joined to the pieces by row number.
+Workers yield batches of ``BATCH_BYTES`` of ids and remember words up to ``CACHE_BYTES``.
 """
 
 from __future__ import annotations
@@ -32,28 +33,47 @@ CAPACITY = 4096
 END_ID = 1
 UNIT = 64
 MAX_PARTS = 4
-SLICE_ROWS = 50_000
-CACHE_SIZE = 1_500_000
+SLICE_ROWS = 5_000
+CACHE_BYTES = 48 << 20
+BATCH_BYTES = 4 << 20
+# What an entry of a cache takes beside its two byte strings, about.
+_ENTRY_BYTES = 170
 
 PIECE_SCHEMA = "piece int, start long, length long, ids_crc32 long"
 
 
+class _Cache(dict):
+    """Byte strings by byte strings, emptied when it holds ``CACHE_BYTES``."""
+
+    held = 0
+
+    def put(self, key: bytes, value: bytes) -> None:
+        if self.held > CACHE_BYTES:
+            self.clear()
+            self.held = 0
+        self[key] = value
+        self.held += len(key) + len(value) + _ENTRY_BYTES
+
+
 class WordIds:
     """Ids of the words of a text as little-endian 32-bit bytes, each distinct word tokenised once.
 
-    For vocabularies whose pre-tokens hold no white space: then the ids of a text
-    are those of its words in turn.
+    For vocabularies that write all letters small and whose pre-tokens hold no white space and end
+    between a letter or digit and a sign: then the ids of a text are those of its words, and of their signs, in turn. Others are refused.
     """
 
     def __init__(self, name: str, path: str | None):
         self.tokenizer = load_tokenizer(name, path)
         self.special = {s.encode(): np.uint32(i).tobytes() for s, i in special_strings(self.tokenizer).items()}
         self.cut = splitter(s.decode() for s in self.special)
-        self.words: dict[bytes, bytes] = {}
-        self.stems: dict[bytes, bytes] = {}
+        self.words, self.stems = _Cache(), _Cache()
         probe = self._encode("a b")
         if probe != self._encode("a") + self._encode(" \n b "):
             raise ValueError("the vocabulary does not drop white space")
+        if any(self._encode(w) != self._encode(w.lower()) for w in ("THE", "Zebra", "QxY")):
+            raise ValueError("the vocabulary tells capitals from small letters")
+        if any(self._encode("the" + s) != self._encode("the") + self._encode(s) for s in (".,", "!?", ";:", "#*", "$%", "&|", "<>")):
+            raise ValueError("the vocabulary does not part words from signs")
         # Plain lower-case letters are one pre-token, which the model can take at once.
         self.plain = np.array([t.id for t in self.tokenizer.model.tokenize("zebra")], "<u4").tobytes() == self._encode("zebra")
 
@@ -63,13 +83,11 @@ class WordIds:
     def _stem(self, stem: bytes) -> bytes:
         found = self.stems.get(stem)
         if found is None:
-            if len(self.stems) >= CACHE_SIZE:
-                self.stems.clear()
             if self.plain and stem.isascii() and stem.isalpha() and stem.islower():
                 found = np.array([t.id for t in self.tokenizer.model.tokenize(stem.decode())], "<u4").tobytes()
             else:
                 found = self._encode(stem.decode())
-            self.stems[stem] = found
+            self.stems.put(stem, found)
         return found
 
     def _word(self, word: bytes) -> bytes:
@@ -87,12 +105,13 @@ class WordIds:
         try:
             return b"".join([known[w] for w in parts])
         except KeyError:
-            if len(known) >= CACHE_SIZE:
-                known.clear()
+            out = []
             for w in parts:
-                if w not in known:
-                    known[w] = self._word(w)
-            return b"".join([known[w] for w in parts])
+                found = known.get(w)
+                if found is None:
+                    known.put(w, found := self._word(w))
+                out.append(found)
+            return b"".join(out)
 
     def ids(self, text: bytes) -> bytes:
         if self.cut is None or not any(s in text for s in self.special):
@@ -131,8 +150,24 @@ def tokenised_pieces(
         tokens = word_ids(tokenizer, path)
         for batch in batches:
             rows, pieces, starts, lengths, crcs, ids = [], [], [], [], [], []
-            for row, raw in enumerate(batch.column(1).to_pylist()):
-                data = tokens.ids(raw or b"") + end
+            size = 0
+
+            def made() -> pa.RecordBatch:
+                columns = [
+                    batch.column(0).take(pa.array(rows, pa.int64())), pa.array(pieces, pa.int32()),
+                    pa.array(starts, pa.int64()), pa.array(lengths, pa.int64()), pa.array(crcs, pa.int64()),
+                ]
+                names = ["id", "piece", "start", "length", "ids_crc32"]
+                if with_ids:
+                    offsets = np.concatenate([[0], np.cumsum(lengths)]).astype(np.int32)
+                    columns.append(pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.frombuffer(b"".join(ids), "<i4"))))
+                    names.append("ids")
+                for listed in (rows, pieces, starts, lengths, crcs, ids):
+                    listed.clear()
+                return pa.RecordBatch.from_arrays(columns, names=names)
+
+            for row, raw in enumerate(batch.column(1)):
+                data = tokens.ids(raw.as_py() or b"") + end
                 for i, at in enumerate(range(0, len(data), step)):
                     part = data[at:at + step]
                     rows.append(row)
@@ -141,16 +176,13 @@ def tokenised_pieces(
                     lengths.append(len(part) // 4)
                     crcs.append(zlib.crc32(part))
                     if with_ids:
-                        ids.append(np.frombuffer(part, "<u4").astype("<i4"))
-            columns = [
-                batch.column(0).take(pa.array(rows, pa.int64())), pa.array(pieces, pa.int32()),
-                pa.array(starts, pa.int64()), pa.array(lengths, pa.int64()), pa.array(crcs, pa.int64()),
-            ]
-            names = ["id", "piece", "start", "length", "ids_crc32"]
-            if with_ids:
-                columns.append(pa.array(ids, pa.list_(pa.int32())))
-                names.append("ids")
-            yield pa.RecordBatch.from_arrays(columns, names=names)
+                        ids.append(part)
+                    size += len(part)
+                    if size >= BATCH_BYTES:
+                        yield made()
+                        size = 0
+            if rows:
+                yield made()
 
     id_type = docs.schema[id_col].dataType.simpleString()
     schema = f"id {id_type}, {PIECE_SCHEMA}" + ", ids array<int>" * with_ids
@@ -316,13 +348,15 @@ def pack(
     empty result.
     """
     ship_package(pieces.sparkSession)
-    # Written once: it is counted, ranked and returned.
-    pieces = materialize(pieces)
+    if "_row" in pieces.columns:
+        raise ValueError("there is a column _row already")
+    # The row number is fixed once it is written.
+    pieces = materialize(pieces.withColumn("_row", F.monotonically_increasing_id()))
     histogram = {r[0]: r[1] for r in pieces.groupBy("length").count().collect()}
     if any(k is None or k < 1 or k > capacity for k in histogram):
         raise ValueError(f"lengths must lie between 1 and {capacity}")
     places = pieces.sparkSession.sparkContext.broadcast(_places(plan_packing(histogram, capacity, unit, max_parts)))
-    frame = ranked(pieces, order)
+    frame = ranked(pieces.select("_row", "length", *order), order).select("_row", "length", "rank")
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = places.value
@@ -336,20 +370,16 @@ def pack(
                 run = np.searchsorted(runs[:, 0], ranks[rows], "right") - 1
                 sequence[rows] = runs[run, 1] + ranks[rows] - runs[run, 0]
                 offset[rows] = runs[run, 2]
-            kept = [c for c in batch.schema.names if c != "rank"]
-            yield pa.RecordBatch.from_arrays(
-                [*(batch.column(c) for c in kept), pa.array(sequence), pa.array(offset)],
-                names=[*kept, "sequence_id", "offset"],
-            )
+            yield pa.RecordBatch.from_arrays([batch.column("_row"), pa.array(sequence), pa.array(offset)], names=["_row", "sequence_id", "offset"])
 
-    kept = [f"`{n}` {t}" for n, t in frame.dtypes if n != "rank"]
-    return frame.mapInArrow(place, ", ".join([*kept, "sequence_id long", "offset long"]))
+    placed = frame.mapInArrow(place, "_row long, sequence_id long, offset long")
+    return pieces.join(placed, "_row").drop("_row")
 
 
 def pack_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", with_ids: bool = True, **options) -> DataFrame:
     """Documents to packed pieces: (id_col, piece, start, length, ids_crc32[, ids], sequence_id, offset).
 
-    NULL and empty texts are one end mark. Every row is packed, repeated rows and
+    NULL and empty texts are one end mark, texts longer than ``capacity`` are cut into pieces of it. Every row is packed, repeated rows and
     NULL ids as well; other columns are ignored. ``options`` go to ``tokenised_pieces``.
     """
     capacity = options.get("capacity", CAPACITY)

@@ -40,7 +40,7 @@ def op5_embedding_near_dedup(spark, sf_dir):
 
 
 def op6_packing(spark, sf_dir):
-    return packing.pack_documents(table(spark, sf_dir, "documents"), with_ids=False)
+    return packing.pack_documents(table(spark, sf_dir, "documents")).drop("ids")
 
 
 def op7_quality_classifier(spark, sf_dir):

@@ -110,3 +110,17 @@ def test_entry_works_without_the_subpackage(tmp_path):
     )
     n, has = said.stdout.split()
     assert int(n) > 40 and has == "False"
+
+
+def test_columns_that_the_operators_use_may_be_in_the_documents(spark):
+    clashing = ["size", "rate", "copies", "source_size", "taken", "target", "n_lines", "n_dropped", "row", "_row", "number", "site", "key", "length", "rank"]
+    texts = ["some words of a text\nand more", None, "", "x " * 6000, "some words of a text\nand more"]
+    rows = [(i, t, "en", None if i == 1 else f"s{i % 2}", 3, *range(len(clashing))) for i, t in enumerate(texts)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long, " + ", ".join(f"{c} int" for c in clashing))
+    for stage in (pipeline.lines, pipeline.near_copies, pipeline.mixture):
+        for given in (docs, docs.unionAll(docs)):
+            got = stage(spark, given, SF_DIR)
+            assert got.columns == docs.columns
+            assert all(tuple(r)[5:] == tuple(range(len(clashing))) for r in got.collect())
+        assert stage(spark, docs.limit(0), SF_DIR).count() == 0
+    assert {r.doc_id for r in pipeline.packed(spark, docs, SF_DIR).collect()} == set(range(5))
