@@ -60,11 +60,11 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 _open_blocks: list[list[str]] = []
 
 
-def _write_out(df: DataFrame) -> tuple[DataFrame, str]:
+def _write_out(df: DataFrame, reader: SparkSession | None = None) -> tuple[DataFrame, str]:
     spark = df.sparkSession
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/gridtide-{uuid.uuid4()}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path), path
+    return (reader or spark).read.schema(df.schema).parquet(path), path
 
 
 def _remove(spark: SparkSession, path: str) -> None:
@@ -101,10 +101,10 @@ def scratch(spark: SparkSession) -> Iterator[None]:
 
 
 @contextmanager
-def staged(df: DataFrame) -> Iterator[DataFrame]:
-    """``materialize`` for the length of a block; the files are removed after it."""
+def staged(df: DataFrame, reader: SparkSession | None = None) -> Iterator[DataFrame]:
+    """``materialize`` for the length of a block; the files are removed after it. ``reader`` is a session to read by, if not the frame's own."""
     spark = df.sparkSession
-    written, path = _write_out(df)
+    written, path = _write_out(df, reader)
     try:
         yield written
     finally:

@@ -1,9 +1,10 @@
 from gridtide.sources.landing import land_csv, land_json
 from gridtide.sources.tables import (
-    append_table, ensure_schema, insert_new_table, land_table, read_table, replace_from, table_exists, upsert_table,
+    append_table, ensure_schema, fresh_table, insert_new_table, land_table, read_days_of, read_table, replace_from,
+    table_exists, upsert_newest, upsert_table,
 )
 
 __all__ = [
-    "append_table", "ensure_schema", "insert_new_table", "land_csv", "land_json", "land_table",
-    "read_table", "replace_from", "table_exists", "upsert_table",
+    "append_table", "ensure_schema", "fresh_table", "insert_new_table", "land_csv", "land_json", "land_table", "read_days_of",
+    "read_table", "replace_from", "table_exists", "upsert_newest", "upsert_table",
 ]

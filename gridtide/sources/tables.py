@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from gridtide.operators.merge import unmatched_source, upsert
+from gridtide.operators.windows import latest_per_key
 from gridtide.schemas import DAY, FILE, FILE_TIME
 from gridtide.session import staged
 
@@ -29,9 +30,15 @@ def table_exists(spark: SparkSession, name: str) -> bool:
     return spark.catalog.tableExists(name)
 
 
+def fresh_table(spark: SparkSession, name: str) -> DataFrame:
+    """The table as it is now, also if another session (a stream's, say) has written to it since it was last read."""
+    spark.catalog.refreshTable(name)
+    return spark.table(name)
+
+
 def read_table(spark: SparkSession, name: str, with_day: bool = False) -> DataFrame:
     """The table; its partition column only on request (``from_time``, ``at_time`` and ``lookback`` use it)."""
-    df = spark.table(name).drop(FILE, FILE_TIME)
+    df = fresh_table(spark, name).drop(FILE, FILE_TIME)
     return df if with_day else df.drop(DAY)
 
 
@@ -57,7 +64,7 @@ def land_table(files: DataFrame, name: str, ts_col: str = "ingested_at") -> None
     """
     spark = files.sparkSession
     if table_exists(spark, name):
-        files = unmatched_source(spark.table(name), files, [FILE, FILE_TIME])
+        files = unmatched_source(fresh_table(spark, name), files, [FILE, FILE_TIME])
     append_table(files, name, ts_col)
 
 
@@ -88,6 +95,23 @@ def _on_days_of(table: DataFrame, batch: DataFrame) -> DataFrame:
     return kept.unionByName(table.filter(F.col(DAY).isNull()))
 
 
+def read_days_of(spark: SparkSession, name: str, rows: DataFrame, ts_col: str = "datetime") -> DataFrame:
+    """The rows of table ``name`` on the days that ``rows`` touch; no other day is read."""
+    return _on_days_of(fresh_table(spark, name), _by_day(rows.select(ts_col), ts_col)).drop(DAY)
+
+
+def upsert_newest(spark: SparkSession, name: str, source: DataFrame, keys: list[str], newest_by: list[str], ts_col: str = "datetime") -> None:
+    """Merge ``source`` so that each key keeps its newest row, in whatever order rows arrive.
+
+    A row that is older than the table's changes nothing, so merging again or out of order gives the same table.
+    """
+    with staged(latest_per_key(source, keys, newest_by)) as batch:
+        if table_exists(spark, name):
+            known = read_days_of(spark, name, batch, ts_col).join(batch.select(*keys), keys, "left_semi").select(*batch.columns)
+            batch = latest_per_key(known.unionByName(batch), keys, newest_by)
+        upsert_table(spark, name, batch, keys, ts_col)
+
+
 def upsert_table(
     spark: SparkSession, name: str, source: DataFrame, keys: list[str], ts_col: str = "datetime", validate: bool = True
 ) -> None:
@@ -106,7 +130,7 @@ def upsert_table(
         n = batch.count()
         if not n:
             return
-        current = _on_days_of(spark.table(name), batch)
+        current = _on_days_of(fresh_table(spark, name), batch)
         merged = upsert(current, batch.select(*current.columns), keys, validate, n <= _SMALL_SOURCE)
         _overwrite_days(spark, _rebalanced(merged), name)
 
@@ -135,7 +159,7 @@ def replace_from(
         _create(_by_day(source, ts_col), name)
         return
     with staged(_by_day(source, ts_col)) as batch, staged(starts.select(group, start)) as ranges:
-        table = spark.table(name)
+        table = fresh_table(spark, name)
         since = ranges.agg(F.to_date(F.min(start))).scalar()
         marked = table.filter(F.col(DAY) >= since).join(
             ranges.select(F.col(group).alias("__g"), F.col(start).alias("__s")), F.col(group) == F.col("__g"), "left"
@@ -161,5 +185,5 @@ def insert_new_table(
         _create(_by_day(source, ts_col), name)
         return
     with staged(_by_day(source, ts_col)) as batch:
-        fresh = unmatched_source(_on_days_of(spark.table(name), batch), batch, keys)
+        fresh = unmatched_source(_on_days_of(fresh_table(spark, name), batch), batch, keys)
         _rebalanced(fresh).select(*spark.table(name).columns).write.insertInto(name)

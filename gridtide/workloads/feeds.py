@@ -116,13 +116,18 @@ def power_bronze(spark: SparkSession, sf_dir: str, lags: tuple[int, ...] = (0, 1
     return _bronze(power_payloads(spark, sf_dir, lags), "power_data", 10)
 
 
-def carbon_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Carbon payloads; hours with little activity have no entry."""
+def carbon_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Carbon payloads by zone and delivery; hours with little activity have no entry."""
     entry = F.struct(
         _stamp(), "zone", F.expr("cents div n").alias("carbonIntensity"), (F.col("lag") == 0).alias("isEstimated")
     )
     hours = hourly(spark, sf_dir).filter(F.col("sk") >= CARBON_MIN)
-    return _bronze(_payloads(deliveries(hours, (0, 1)), entry), "carbon_intensity", 11)
+    return _payloads(deliveries(hours, (0, 1)), entry)
+
+
+def carbon_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Carbon payloads as they lie in bronze."""
+    return _bronze(carbon_payloads(spark, sf_dir), "carbon_intensity", 11)
 
 
 WEATHER_LAGS = (-2, -1, 0, 1)

@@ -145,6 +145,7 @@ SQL["csv_flatten"] = f"{_base(_WEATHER)} SELECT {_WEATHER_OUT} FROM weather"
 SQL["land_json_files"] = SQL["power_revisions"]
 SQL["land_csv_files"] = SQL["csv_flatten"]
 SQL["ingest_twice"] = SQL["power_revisions"]
+SQL["ingest_streamed"] = SQL["power_revisions"]
 SQL["table_append"] = SQL["power_revisions"]
 SQL["table_upsert"] = f"""{_base(_ENERGY)}
     SELECT * EXCLUDE (vintage, again)
@@ -157,6 +158,9 @@ SQL["table_insert_new"] = SQL["csv_flatten"]
 
 # --- clean tables ------------------------------------------------------------------------
 SQL["silver_energy"] = f"{_base(_ENERGY)} SELECT * EXCLUDE (vintage) FROM energy"
+# Both feeds of the streamed files are stamped ten minutes past.
+SQL["energy_streamed"] = f"""{_base(_ENERGY)}
+    SELECT * EXCLUDE (vintage) REPLACE (ingested_at_carbon - INTERVAL 1 MINUTE AS ingested_at_carbon) FROM energy"""
 SQL["silver_weather_latest"] = f"""{_base(_WEATHER)}
     SELECT {_WEATHER_OUT} FROM weather
     QUALIFY row_number() OVER (PARTITION BY name, datetime ORDER BY ingested_at DESC) = 1"""

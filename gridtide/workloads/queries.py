@@ -17,6 +17,7 @@ from gridtide.model.monitor import match_actuals, monitor
 from gridtide.model.scoring import build_scoring, score
 from gridtide.plans import gold, jobs, silver, training
 from gridtide.session import ensure_checkpoint_dir, materialize
+from gridtide.streaming import ingest
 from gridtide.workloads import feeds
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -125,6 +126,45 @@ def ingest_twice(spark, sf_dir):
         return plain(materialize(op.flatten_power(sources.read_table(spark, name))))
 
 
+def _path_delivered_at():
+    """The same as ``_delivered_at`` for a file stream, which has no partition columns: the folder's name, escaped as a folder and as an address."""
+    folder = F.url_decode(F.url_decode(F.regexp_extract("_metadata.file_path", "/v=([^/]+)/", 1)))
+    return feeds.plus_minutes(folder.cast("timestamp"), 10)
+
+
+def _checkpoint(spark) -> str:
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/stream-{uuid.uuid4()}"
+
+
+@query
+def ingest_streamed(spark, sf_dir):
+    """One table by batch, stream, batch and a stream that replays all files: each file once."""
+    folder = _land(spark, feeds.power_payloads(spark, sf_dir, (0,)), "raw_json")
+    first = _checkpoint(spark)
+    with _scratch_table(spark) as name:
+        sources.land_table(sources.land_json(spark, folder, "power_data", _delivered_at()), name)
+        ingest.stream_json(spark, f"{folder}/*/*", "power_data", name, first, _path_delivered_at()).awaitTermination()
+        _land(spark, feeds.power_payloads(spark, sf_dir, (1,)), "raw_json", folder)
+        ingest.stream_json(spark, f"{folder}/*/*", "power_data", name, first, _path_delivered_at()).awaitTermination()
+        sources.land_table(sources.land_json(spark, folder, "power_data", _delivered_at()), name)
+        ingest.stream_json(spark, f"{folder}/*/*", "power_data", name, _checkpoint(spark), _path_delivered_at()).awaitTermination()
+        return plain(materialize(op.flatten_power(sources.read_table(spark, name))))
+
+
+@query
+def energy_streamed(spark, sf_dir):
+    """Two feeds merged by a stream: revisions first, what they revise afterwards, then all files again."""
+    power = _land(spark, feeds.power_payloads(spark, sf_dir, (1,)), "raw_json")
+    carbon = _land(spark, feeds.carbon_payloads(spark, sf_dir), "raw_json")
+    first = _checkpoint(spark)
+    with _scratch_table(spark) as name:
+        for late, checkpoint in (((), first), ((0,), first), ((), _checkpoint(spark))):
+            if late:
+                _land(spark, feeds.power_payloads(spark, sf_dir, late), "raw_json", power)
+            ingest.stream_energy(spark, f"{power}/*/*", f"{carbon}/*/*", checkpoint, name, _path_delivered_at()).awaitTermination()
+        return plain(materialize(sources.read_table(spark, name)))
+
+
 @query
 def table_append(spark, sf_dir):
     with _scratch_table(spark) as name:

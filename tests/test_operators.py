@@ -225,7 +225,7 @@ def test_hot_group_is_cut_by_rows(spark, at):
     df = spark.range(100_000).selectExpr("IF(id % 100 = 0, 'cold', 'hot') AS zone", f"timestamp_seconds({at}) AS t", "id")
     assert [r[0] for r in op.hot_groups(df, ["zone"], min_rows=2000).collect()] == ["hot"]
     cut = op.sliced(df.filter("zone = 'hot'"), ["zone"], ["t", "id"], 99_000, slice_rows=2000)
-    sizes = [r[0] for r in cut.groupBy(SLICE).agg(F.count("*")).collect()]
+    sizes = [r[1] for r in cut.groupBy(SLICE).agg(F.count("*")).collect()]
     assert sum(sizes) == 99_000 and max(sizes) <= 4000
 
 
