@@ -33,3 +33,22 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFr
         labels = new.select("node", "component")
         if done:
             return labels
+
+
+def merged_components(parts: DataFrame, edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
+    """``parts`` (node, component) after ``edges`` have been added, with the new nodes among them.
+
+    Edges are taken between the components that they join, so the rounds run over new
+    edges only, however many lie behind ``parts``.
+    """
+    up = parts.select(F.col("node").alias("_node"), F.col("component").alias("_up"))
+
+    def lifted(edges: DataFrame, end: str) -> DataFrame:
+        return edges.join(up, edges[end] == up["_node"], "left").withColumn(end, F.coalesce("_up", end)).drop("_node", "_up")
+
+    between = materialize(lifted(lifted(edges.select(F.col(a).alias("a"), F.col(b).alias("b")).dropna(), "a"), "b").distinct())
+    top = connected_components(between)
+    moved = top.select(F.col("node").alias("component"), F.col("component").alias("_top"))
+    old = parts.join(moved, "component", "left").select("node", F.coalesce("_top", "component").alias("component"))
+    # A top node that no part holds is new; one that is a part's label stands in ``old`` already.
+    return materialize(old.unionByName(top.join(parts.select("node"), "node", "left_anti")))

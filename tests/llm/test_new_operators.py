@@ -216,3 +216,25 @@ def test_python_and_spark_hash_alike(spark):
 
     for word in ("a", "é" * 40, "x" * 100):
         assert spark.range(1).select(F.xxhash64(F.lit(word))).first()[0] % 2**64 == xxhash.xxh64_intdigest(word.encode(), 42)
+
+
+# --- components ------------------------------------------------------------------
+
+def test_components_with_edges_added_later(spark):
+    from gridtide.llm.components import connected_components, merged_components
+
+    rng = random.Random(2)
+    edges = [(rng.randrange(300), rng.randrange(300)) for _ in range(170)]
+
+    def frame(some):
+        return spark.createDataFrame(some, "a long, b long")
+
+    parts = connected_components(frame(edges[:60]))
+    for a, b in ((60, 61), (61, 120), (120, 170)):
+        parts = merged_components(parts, frame(edges[a:b]))
+        assert sorted(map(tuple, parts.select("node", "component").collect())) == sorted(
+            map(tuple, connected_components(frame(edges[:b])).select("node", "component").collect())
+        )
+    assert sorted(map(tuple, merged_components(parts, frame([])).select("node", "component").collect())) == sorted(
+        map(tuple, parts.select("node", "component").collect())
+    )
