@@ -29,11 +29,11 @@ from gridtide.llm.tokens import WHITE_SPACE
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
 BLOCK_BYTES = 1 << 20
-CACHE_BYTES = 160 << 20
-TEXT_BYTES = 4 << 20
-BATCH_IDS = 1 << 20
+CACHE_BYTES = 80 << 20
+TEXT_BYTES = 1 << 20
+BATCH_IDS = 1 << 18
 # What an entry of the cache takes beside its two byte strings, about.
-_ENTRY_BYTES = 170
+_ENTRY_BYTES = 220
 
 _WORD_BITS = 8
 _PAIR_BITS = 24
