@@ -302,10 +302,9 @@ def _chains(nodes: DataFrame, edges: DataFrame) -> DataFrame:
             return at
 
 
-def _compacted(nodes: DataFrame, chains: DataFrame) -> DataFrame:
-    """(lang, path, starts, n): nodes that stand alone, and segments of chains with as many nodes as ``starts``."""
-    alone = nodes.join(chains.select("lang", F.col("node").alias("gram")), ["lang", "gram"], "left_anti")
-    one = alone.select("lang", F.col("gram").alias("path"), F.lit(1).alias("starts"), "n")
+def _compacted(nodes: DataFrame, chains: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """((lang, gram, n) of nodes that stand alone, (lang, path, starts, n) of segments of chains, with as many nodes as ``starts``)."""
+    alone = nodes.join(chains.select("lang", F.col("node").alias("gram")), ["lang", "gram"], "left_anti").select("lang", "gram", "n")
     with_flow = chains.join(nodes.withColumnRenamed("gram", "node"), ["lang", "node"])
     segments = with_flow.groupBy("lang", "head", F.expr(f"place DIV {SEGMENT}").alias("segment")).agg(
         F.sort_array(F.collect_list(F.struct("place", "node"))).alias("run"), F.max("n").alias("n")
@@ -313,7 +312,7 @@ def _compacted(nodes: DataFrame, chains: DataFrame) -> DataFrame:
     last = lambda x: F.substring(x.node, -_ID, _ID)
     # A binary has no array_join, so words are added one by one.
     path = F.aggregate(F.slice("run", 2, SEGMENT), F.col("run")[0].node, lambda acc, x: F.concat(acc, last(x)))
-    return one.unionByName(segments.select("lang", path.alias("path"), F.size("run").alias("starts"), "n"))
+    return alone, segments.select("lang", path.alias("path"), F.size("run").alias("starts"), "n")
 
 
 def gram_counts(grams: DataFrame, longest: int, least: int) -> tuple[DataFrame, DataFrame]:
@@ -334,11 +333,12 @@ def gram_counts(grams: DataFrame, longest: int, least: int) -> tuple[DataFrame,
     above = grams.filter(length == longest).select("lang", "gram", F.col("w").alias("n"))
     for words in range(longest - 1, 1, -1):
         if words == longest - 2 and chains is not None:
-            paths = _compacted(above, chains)
+            above, paths = _compacted(above, chains)
             starts = paths.select("lang", "path", "n", F.explode(F.sequence(F.lit(0), F.col("starts") - 1)).alias("at"))
-            on = starts.select("lang", _part("path", F.col("at"), words).alias("gram"), "n")
-        else:
-            on = above.select("lang", _part("gram", 0, words).alias("gram"), "n")
+            inside = starts.select("lang", _part("path", F.col("at"), words).alias("gram"), "n")
+        on = above.select("lang", _part("gram", 0, words).alias("gram"), "n")
+        if words == longest - 2 and chains is not None:
+            on = on.unionAll(inside)
         above = flow(on, words)
         frequent = above.filter(F.col("n") >= least)
         found.append(frequent)
