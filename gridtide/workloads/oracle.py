@@ -246,6 +246,17 @@ SQL["lag_rolling"] = """
     for c in ("value", "k")
 ) + " FROM e WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)"
 SQL["lag_rolling_sliced"] = SQL["lag_rolling"]
+SQL["lag_rolling_by_time"] = f"""{_base(_ENERGY)}
+    SELECT e.zone, e.datetime, """ + ", ".join(
+    f"""any_value(e.{c}) AS {c}, max(p.{c}) FILTER (p.datetime = e.datetime - INTERVAL 1 HOUR) AS lag_{c}_exact_1h,
+        max(p.{c}) FILTER (p.datetime = e.datetime - INTERVAL 24 HOUR) AS lag_{c}_exact_24h,
+        round(avg(p.{c}) FILTER (p.datetime > e.datetime - INTERVAL 24 HOUR), 6) AS rolling_avg_{c}_range_24h"""
+    for c in ("carbon_intensity", "production_total")
+) + """
+    FROM energy e JOIN energy p
+      ON p.zone = e.zone AND p.datetime BETWEEN e.datetime - INTERVAL 24 HOUR AND e.datetime
+    GROUP BY e.zone, e.datetime"""
+SQL["lag_rolling_by_time_sliced"] = SQL["lag_rolling_by_time"]
 SQL["latest_snapshot"] = "SELECT * FROM orders WHERE o_orderdate = (SELECT max(o_orderdate) FROM orders)"
 SQL["union_by_name"] = "SELECT o_orderkey, o_totalprice, o_orderstatus FROM orders"
 

@@ -368,6 +368,23 @@ def lag_rolling_sliced(spark, sf_dir):
     return plain(made, ("rolling_avg_",))
 
 
+def _gappy_series(spark, sf_dir, **options) -> DataFrame:
+    """Hours with little activity are missing from the energy series."""
+    df = feeds.energy(spark, sf_dir).select("zone", "datetime", "carbon_intensity", "production_total")
+    made = op.time_range_features(df, ["carbon_intensity", "production_total"], ["zone"], "datetime", (1, 24), **options)
+    return plain(made, ("rolling_avg_",))
+
+
+@query
+def lag_rolling_by_time(spark, sf_dir):
+    return _gappy_series(spark, sf_dir)
+
+
+@query
+def lag_rolling_by_time_sliced(spark, sf_dir):
+    return _gappy_series(spark, sf_dir, hot_options={"min_rows": 5, "slice_rows": 10})
+
+
 @query
 def latest_snapshot(spark, sf_dir):
     return plain(op.latest_snapshot(orders(spark, sf_dir), "o_orderdate"))
