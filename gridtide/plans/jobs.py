@@ -25,7 +25,8 @@ from gridtide.plans.training import TRAINING_KEYS, build_training, chrono_split
 from gridtide.schemas import DAY
 from gridtide.session import materialize, scratch, staged, use_utc
 from gridtide.sources import (
-    append_table, insert_new_table, land_csv, land_json, land_table, read_table, replace_from, table_exists, upsert_table,
+    append_table, commit_marks, high_water, hours_since, insert_new_table, land_csv, land_json, land_table, marks, read_table,
+    replace_from, table_exists, upsert_table,
 )
 
 DEFAULT_LOOKBACK = 12
@@ -64,16 +65,51 @@ def run_silver(
     header_lines: int = 1,
     strict: bool = False,
 ) -> None:
-    """Merge recent bronze payloads into the clean tables."""
+    """Merge recent bronze payloads into the clean tables.
+
+    The window is the lookback, or reaches back to what the last run took if that is
+    longer ago, so a pause loses nothing. The energy feeds are joined and share one window.
+    """
     use_utc(spark)
+    now = as_of or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
+
+    with scratch(spark):
+        merge_energy(spark, lookback_hours, now, strict)
+        (weather,), reached = catch_up(spark, [S.BRONZE_WEATHER], S.SILVER_WEATHER, lookback_hours, now)
+        insert_new_table(spark, S.SILVER_WEATHER, build_weather(weather, tz, header_lines), WEATHER_KEYS)
+        commit_marks(spark, reached)
 
-    def recent(name: str) -> DataFrame:
-        return lookback(read_table(spark, name, with_day=True), "ingested_at", lookback_hours, as_of)
 
-    energy = build_energy(recent(S.BRONZE_POWER), recent(S.BRONZE_CARBON), strict)
-    upsert_table(spark, S.SILVER_ENERGY, energy, ENERGY_KEYS)
-    weather = build_weather(recent(S.BRONZE_WEATHER), tz, header_lines)
-    insert_new_table(spark, S.SILVER_WEATHER, weather, WEATHER_KEYS)
+def merge_energy(
+    spark: SparkSession,
+    lookback_hours: int,
+    now: dt.datetime,
+    strict: bool = False,
+    power: str = S.BRONZE_POWER,
+    carbon: str = S.BRONZE_CARBON,
+    target: str = S.SILVER_ENERGY,
+    progress: str = S.PROGRESS,
+) -> None:
+    """Merge both energy feeds as far as they have come since the last run, at least those of the lookback."""
+    taken, reached = catch_up(spark, [power, carbon], target, lookback_hours, now, progress)
+    upsert_table(spark, target, build_energy(*taken, strict), ENERGY_KEYS)
+    commit_marks(spark, reached, progress)
+
+
+def catch_up(
+    spark: SparkSession, names: list[str], reader: str, lookback_hours: int, now: dt.datetime, progress: str = S.PROGRESS
+) -> tuple[list[DataFrame], dict[str, dt.datetime | None]]:
+    """(the rows of each table that ``reader`` is to take, the marks to commit when it has merged them).
+
+    Rows of the last ``lookback_hours`` before ``now``, or from the lowest of the reader's marks on these
+    tables if that is earlier; the row at a mark is taken again, as others may share its time. A reader
+    without marks has the lookback alone. The rows are written out, so that what is
+    merged is what the marks were taken from, also if payloads arrive meanwhile.
+    """
+    known = marks(spark, [f"{reader} from {n}" for n in names], progress)
+    hours = max(lookback_hours, *[hours_since(at, now) for at in known.values()])
+    taken = [materialize(lookback(read_table(spark, n, with_day=True), "ingested_at", hours, now)) for n in names]
+    return taken, {r: high_water(df) for r, df in zip(known, taken)}
 
 
 def changed_from(energy: DataFrame, lookback_hours: int) -> DataFrame:
@@ -155,10 +191,14 @@ def run_gold(spark: SparkSession, lookback_hours: int = DEFAULT_LOOKBACK, featur
     """Merge feature rows and forecasts of the recent ingestion hours into the gold tables.
 
     In history scope (see ``merge_historic``) every zone is built again from its
-    first changed hour on. In batch scope the recent rows are enough.
+    first changed hour on. In batch scope the recent rows are enough. The window is the
+    lookback before the latest delivery, or reaches back to the latest one of the last run.
     """
     use_utc(spark)
     energy, weather = (read_table(spark, n, with_day=True) for n in (S.SILVER_ENERGY, S.SILVER_WEATHER))
+    reader = f"{S.GOLD_HISTORIC} from {S.SILVER_ENERGY}"
+    latest = high_water(energy)
+    lookback_hours = max(lookback_hours, hours_since(marks(spark, [reader])[reader], latest))
     anchor = energy.agg(F.max(F.date_trunc("hour", "ingested_at")))
     recent = anchored_lookback(energy, "ingested_at", lookback_hours, anchor)
     ahead = anchored_lookback(weather, "ingested_at", lookback_hours, anchor, WEATHER_EXTRA_HOURS)
@@ -168,6 +208,7 @@ def run_gold(spark: SparkSession, lookback_hours: int = DEFAULT_LOOKBACK, featur
         else:
             merge_historic(spark, S.GOLD_HISTORIC, energy, weather, lookback_hours)
         upsert_table(spark, S.GOLD_FORECASTS, build_forecasts(ahead, vintages(recent)), FORECAST_KEYS)
+    commit_marks(spark, {reader: latest})
 
 
 def run_training_rows(spark: SparkSession, lookback_hours: int | None = TRAINING_LOOKBACK) -> None:

@@ -34,6 +34,10 @@ GOLD_PREDICTIONS = "gold.carbon_intensity_predictions"
 GOLD_MODELS = "gold.models"
 GOLD_MONITORING = "gold.prediction_quality"
 
+# Tables of this package's own bookkeeping.
+PROGRESS = "meta.progress"
+GOLD_CHANGES = "gold.changes"
+
 # Partition column of the merge tables: the day of ``datetime``.
 DAY = "_day"
 # Bookkeeping of landed files in the bronze tables: path and modification time.

@@ -158,6 +158,7 @@ SQL["table_insert_new"] = SQL["csv_flatten"]
 
 # --- clean tables ------------------------------------------------------------------------
 SQL["silver_energy"] = f"{_base(_ENERGY)} SELECT * EXCLUDE (vintage) FROM energy"
+SQL["silver_after_a_pause"] = SQL["silver_energy"]
 # Both feeds of the streamed files are stamped ten minutes past.
 SQL["energy_streamed"] = f"""{_base(_ENERGY)}
     SELECT * EXCLUDE (vintage) REPLACE (ingested_at_carbon - INTERVAL 1 MINUTE AS ingested_at_carbon) FROM energy"""

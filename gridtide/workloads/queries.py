@@ -194,6 +194,25 @@ def table_insert_new(spark, sf_dir):
 
 # --- clean tables ----------------------------------------------------------------
 
+@query
+def silver_after_a_pause(spark, sf_dir):
+    """Both feeds merged with a lookback of 12 hours, after pauses of 36 hours and of a fortnight; the last run is repeated."""
+    ends = [dt.datetime(2024, 1, 10), dt.datetime(2024, 1, 11, 12), dt.datetime(2024, 1, 25), dt.datetime(2024, 3, 1)]
+    feed = {"power": feeds.power_bronze(spark, sf_dir), "carbon": feeds.carbon_bronze(spark, sf_dir)}
+    feed = {kind: materialize(rows) for kind, rows in feed.items()}
+    with _scratch_table(spark) as name:
+        tables = {kind: f"{name}_{kind}" for kind in feed}
+        since = dt.datetime(2000, 1, 1)
+        for i, end in enumerate([*ends, ends[-1]]):
+            for kind, rows in feed.items():
+                arrived = rows.filter((F.col("ingested_at") >= fx.instant(since)) & (F.col("ingested_at") < fx.instant(end)))
+                sources.append_table(arrived, tables[kind], "ingested_at")
+            hours = 12 if i else 24 * 400
+            jobs.merge_energy(spark, hours, end, **tables, target=name, progress=f"{name}_progress")
+            since = end
+        return plain(materialize(sources.read_table(spark, name)))
+
+
 @query
 def silver_energy(spark, sf_dir):
     return plain(silver.build_energy(feeds.power_bronze(spark, sf_dir), feeds.carbon_bronze(spark, sf_dir)))

@@ -37,7 +37,7 @@ def clean_tables(spark):
     """Drop the pipeline's tables before and after a test."""
     from gridtide import schemas as S
 
-    names = [v for k, v in vars(S).items() if k.startswith(("BRONZE_", "SILVER_", "GOLD_"))]
+    names = [v for k, v in vars(S).items() if k.startswith(("BRONZE_", "SILVER_", "GOLD_", "PROGRESS"))]
 
     def drop():
         for name in names:
