@@ -8,6 +8,7 @@ scheduler of your choice calls them; each can be run again safely.
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 import warnings
 
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
@@ -16,18 +17,20 @@ from gridtide import schemas as S
 from gridtide.model.gbt import TREES, evaluate, fit_gbt, load_latest, save_model
 from gridtide.model.monitor import monitor
 from gridtide.model.scoring import build_scoring, score
-from gridtide.operators import anchored_lookback, broadcast_if_small, from_time, lookback
+from gridtide.operators import anchored_lookback, broadcast_if_small, changed_rows, from_time, lookback
 from gridtide.plans.gold import (
-    FORECAST_KEYS, HISTORIC_KEYS, WINDOW_ROWS, build_forecasts, build_historic, feature_keys, vintages,
+    FORECAST_KEYS, HISTORIC_KEYS, VINTAGE, WINDOW_ROWS, build_forecasts, build_historic, feature_keys, vintages,
 )
+from gridtide.plans.propagate import CHANGES, Scope, concerned
 from gridtide.plans.silver import ENERGY_KEYS, WEATHER_KEYS, build_energy, build_weather
 from gridtide.plans.training import TRAINING_KEYS, build_training, chrono_split
 from gridtide.schemas import DAY
 from gridtide.session import materialize, scratch, staged, use_utc
 from gridtide.sources import (
-    append_table, commit_marks, high_water, hours_since, insert_new_table, land_csv, land_json, land_table, marks, read_table,
-    replace_from, table_exists, upsert_table,
+    append_table, commit_marks, ensure_schema, fresh_table, high_water, hours_since, insert_new_table, land_csv, land_json,
+    land_table, marks, read_table, replace_from, replace_marked, table_exists, upsert_table,
 )
+from gridtide.sources.tables import OnChange
 
 DEFAULT_LOOKBACK = 12
 # A vintage has its targets only a day later, so a shorter window never yields rows.
@@ -173,7 +176,9 @@ def gold_inputs(energy: DataFrame, weather: DataFrame, lookback_hours: int) -> t
     return rows, from_time(weather, since), starts
 
 
-def merge_historic(spark: SparkSession, name: str, energy: DataFrame, weather: DataFrame, lookback_hours: int) -> None:
+def merge_historic(
+    spark: SparkSession, name: str, energy: DataFrame, weather: DataFrame, lookback_hours: int, on_change: OnChange | None = None
+) -> None:
     """Bring the history table up to date with the deliveries of the lookback window.
 
     The rows of a zone from its first changed hour on are replaced, so the table
@@ -184,7 +189,7 @@ def merge_historic(spark: SparkSession, name: str, energy: DataFrame, weather: D
     made = build_historic(rows, near)
     firsts = broadcast_if_small(starts.select("zone", "first"), SMALL_ZONES)
     historic = made.join(firsts, "zone").filter(F.col("datetime") >= F.col("first")).select(*made.columns)
-    replace_from(spark, name, historic, starts, "zone", "first")
+    replace_from(spark, name, historic, starts, "zone", "first", on_change=on_change)
 
 
 def run_gold(spark: SparkSession, lookback_hours: int = DEFAULT_LOOKBACK, feature_scope: str = "history") -> None:
@@ -204,21 +209,99 @@ def run_gold(spark: SparkSession, lookback_hours: int = DEFAULT_LOOKBACK, featur
     ahead = anchored_lookback(weather, "ingested_at", lookback_hours, anchor, WEATHER_EXTRA_HOURS)
     with scratch(spark):
         if feature_scope == "batch":
-            upsert_table(spark, S.GOLD_HISTORIC, build_historic(recent, ahead, feature_scope="batch"), HISTORIC_KEYS)
+            made = build_historic(recent, ahead, feature_scope="batch")
+            upsert_table(spark, S.GOLD_HISTORIC, made, HISTORIC_KEYS, on_change=log_history(spark))
         else:
-            merge_historic(spark, S.GOLD_HISTORIC, energy, weather, lookback_hours)
-        upsert_table(spark, S.GOLD_FORECASTS, build_forecasts(ahead, vintages(recent)), FORECAST_KEYS)
+            merge_historic(spark, S.GOLD_HISTORIC, energy, weather, lookback_hours, log_history(spark))
+        made = build_forecasts(ahead, vintages(recent))
+        upsert_table(spark, S.GOLD_FORECASTS, made, FORECAST_KEYS, on_change=log_forecasts(spark))
     commit_marks(spark, {reader: latest})
 
 
+def _log(spark: SparkSession, changes: DataFrame, log: str) -> None:
+    """Append to the log as a batch of its own; a merge that dies after it logs the same again."""
+    with staged(changes) as rows:
+        if not rows.isEmpty():
+            ensure_schema(spark, log)
+            batch = uuid.uuid4().hex
+            rows.select(*CHANGES, F.lit(batch).alias("batch")).write.mode("append").format("parquet").partitionBy("batch").saveAsTable(log)
+
+
+def log_history(spark: SparkSession, log: str = S.GOLD_CHANGES) -> OnChange:
+    """Writes down which history rows a merge adds, removes or alters."""
+    def write(before: DataFrame, after: DataFrame) -> None:
+        changed = changed_rows(before, after, HISTORIC_KEYS, [VINTAGE])
+        _log(spark, changed.withColumn("source", F.lit("historic")), log)
+
+    return write
+
+
+def log_forecasts(spark: SparkSession, log: str = S.GOLD_CHANGES) -> OnChange:
+    """Writes down which vintages have new or altered forecasts."""
+    def write(before: DataFrame, after: DataFrame) -> None:
+        kept = changed_rows(before, after, FORECAST_KEYS, []).select(VINTAGE).distinct()
+        rows = kept.select(F.lit("forecasts").alias("source"), F.lit(None).cast("string").alias("zone"),
+                           F.lit(None).cast("timestamp").alias("datetime"),
+                           *[F.col(VINTAGE).alias(f"{side}_{VINTAGE}") for side in ("old", "new")])
+        _log(spark, rows, log)
+
+    return write
+
+
+def refresh_training(
+    spark: SparkSession,
+    historic: str = S.GOLD_HISTORIC,
+    forecasts: str = S.GOLD_FORECASTS,
+    training: str = S.GOLD_TRAINING,
+    log: str = S.GOLD_CHANGES,
+) -> None:
+    """Build the training rows again that logged changes concern, however long ago their hours are.
+
+    Rows of these zones and ingestion hours are replaced, and deleted where the vintage is not complete any more;
+    the result equals a full build. The batches taken are removed from the log last, so a run that dies
+    is repeated by the next one.
+    """
+    if not table_exists(spark, log):
+        return
+    batches = sorted(r[0] for r in fresh_table(spark, log).select("batch").distinct().collect())
+    if not batches:
+        return
+    with scratch(spark):
+        changes = fresh_table(spark, log).filter(F.col("batch").isin(batches))
+        scope = Scope(*[materialize(df) for df in concerned(changes)])
+        rows = build_training(
+            read_table(spark, historic, with_day=True), read_table(spark, forecasts, with_day=True), scope=scope
+        )
+        replace_marked(spark, training, rows, scope.days(), scope.marked)
+    _forget(spark, log, batches)
+
+
+def _forget(spark: SparkSession, log: str, batches: list[str]) -> None:
+    for batch in batches:
+        spark.sql(f"ALTER TABLE {log} DROP IF EXISTS PARTITION (batch = '{batch}')")
+
+
 def run_training_rows(spark: SparkSession, lookback_hours: int | None = TRAINING_LOOKBACK) -> None:
-    """Merge the training rows of the recent ingestion hours (None: of all)."""
+    """Bring the training rows up to date with the feature tables.
+
+    The first run, and one with None, builds the ingestion hours of the lookback (None: all). Later ones build what
+    has changed since, of whatever age (see ``refresh_training``).
+    """
     use_utc(spark)
+    if table_exists(spark, S.GOLD_TRAINING) and lookback_hours is not None:
+        refresh_training(spark)
+        return
+    logged = table_exists(spark, S.GOLD_CHANGES)
+    batches = [r[0] for r in fresh_table(spark, S.GOLD_CHANGES).select("batch").distinct().collect()] if logged else []
     historic = read_table(spark, S.GOLD_HISTORIC, with_day=True)
     forecasts = read_table(spark, S.GOLD_FORECASTS, with_day=True)
     with scratch(spark):
         rows = build_training(historic, forecasts, lookback_hours=lookback_hours)
         upsert_table(spark, S.GOLD_TRAINING, rows, TRAINING_KEYS)
+    if lookback_hours is None:
+        refresh_training(spark)
+    else:
+        _forget(spark, S.GOLD_CHANGES, batches)
 
 
 def run_train(spark: SparkSession, model_folder: str, trees: int = TREES) -> int | None:

@@ -7,7 +7,9 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from gridtide.functions import calendar_columns, drop_incomplete, feature_columns
 from gridtide.operators import broadcast_if_small, from_time, horizon
 from gridtide.plans.gold import SMALL_HOURS, VINTAGE
+from gridtide.plans.propagate import Scope
 from gridtide.schemas import FORECAST_PREFIXES, HISTORY_PREFIXES, LABEL, TARGET
+from gridtide.session import materialize
 
 # Up to this many vintages their arrays (5 kB each) are broadcast.
 _SMALL_LISTS = 10_000
@@ -33,6 +35,7 @@ def build_training(
     target: str = TARGET,
     lookback_hours: int | None = None,
     group: str = "zone",
+    scope: Scope | None = None,
 ) -> DataFrame:
     """Forecast, calendar, snapshot and target columns per (zone, ingestion hour, forecast hour).
 
@@ -40,7 +43,8 @@ def build_training(
     history row at ``datetime = h`` and every complete forecast row of vintage
     *h* has its target once in that zone's history; else all its rows are left out.
     ``lookback_hours`` keeps the ingestion hours of that many hours before the
-    latest one; None takes them all.
+    latest one; None takes them all. ``scope`` builds the rows of its zones and ingestion hours
+    only; wide rows and targets are then read from the days of these hours.
 
     Whether an hour counts is decided on narrow rows (keys and target). The wide
     snapshot is shuffled by (zone, hour) before it is expanded, not per forecast
@@ -55,11 +59,21 @@ def build_training(
         hours = hours.filter(F.col(VINTAGE) >= bound)
         # Snapshots lie at their ingestion hour, targets after it.
         historic, forecasts = from_time(historic, bound), from_time(forecasts, bound)
+    if scope is not None:
+        wanted = materialize(scope.hours())
+        first, last = (wanted.agg(f(VINTAGE)).scalar() for f in (F.min, F.max))
+        # Hours are narrow, and files whose vintages all lie outside these bounds are not read.
+        hours = hours.filter((F.col(VINTAGE) >= first) & (F.col(VINTAGE) <= last))
+        hours = materialize(hours.join(broadcast_if_small(wanted, SMALL_HOURS), VINTAGE, "left_semi").distinct())
+        historic, forecasts = scope.near(historic), scope.near(forecasts)
+        forecasts = forecasts.join(broadcast_if_small(hours, SMALL_HOURS), VINTAGE, "left_semi")
     hours = broadcast_if_small(hours.distinct(), SMALL_HOURS)
 
     lists = broadcast_if_small(forecast_lists(forecasts, horizon_hours, forecast_cols), _SMALL_LISTS)
 
     at_hour = historic.withColumn(VINTAGE, F.col("datetime"))
+    if scope is not None:
+        at_hour = scope.pick(at_hour)
     keys = at_hour.select(group, VINTAGE).join(hours, VINTAGE, "left_semi").distinct()
     wanted = keys.join(
         lists.select(VINTAGE, F.explode("ahead.datetime").alias("datetime")), VINTAGE, "inner"

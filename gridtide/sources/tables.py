@@ -8,6 +8,8 @@ time, and readers may see a merge half-way through its commit.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from gridtide.operators.merge import unmatched_source, upsert
@@ -17,8 +19,11 @@ from gridtide.session import staged
 
 # Up to this many source rows are broadcast (a few hundred bytes each).
 _SMALL_SOURCE = 100_000
+# Is called with the rows that go and those that come, before a merge writes.
+OnChange = Callable[[DataFrame, DataFrame], None]
 # Columns of bookkeeping, which readers see only on request.
 _HIDDEN = (DAY, FILE, FILE_TIME)
+_GONE = "__gone"
 
 
 def ensure_schema(spark: SparkSession, name: str) -> None:
@@ -113,7 +118,8 @@ def upsert_newest(spark: SparkSession, name: str, source: DataFrame, keys: list[
 
 
 def upsert_table(
-    spark: SparkSession, name: str, source: DataFrame, keys: list[str], ts_col: str = "datetime", validate: bool = True
+    spark: SparkSession, name: str, source: DataFrame, keys: list[str], ts_col: str = "datetime", validate: bool = True,
+    on_change: OnChange | None = None,
 ) -> None:
     """Merge ``source`` into table ``name``: replace matched rows, add the others.
 
@@ -131,6 +137,8 @@ def upsert_table(
         if not n:
             return
         current = _on_days_of(fresh_table(spark, name), batch)
+        if on_change:
+            on_change(current.join(batch.select(*keys), keys, "left_semi"), batch.select(*current.columns))
         merged = upsert(current, batch.select(*current.columns), keys, validate, n <= _SMALL_SOURCE)
         _overwrite_days(spark, _rebalanced(merged), name)
 
@@ -147,7 +155,8 @@ def _overwrite_days(spark: SparkSession, df: DataFrame, name: str) -> None:
 
 
 def replace_from(
-    spark: SparkSession, name: str, source: DataFrame, starts: DataFrame, group: str, start: str, ts_col: str = "datetime"
+    spark: SparkSession, name: str, source: DataFrame, starts: DataFrame, group: str, start: str, ts_col: str = "datetime",
+    on_change: OnChange | None = None,
 ) -> None:
     """Replace, in each group of ``starts``, the rows at or after its ``start`` by ``source``.
 
@@ -164,15 +173,42 @@ def replace_from(
         marked = table.filter(F.col(DAY) >= since).join(
             ranges.select(F.col(group).alias("__g"), F.col(start).alias("__s")), F.col(group) == F.col("__g"), "left"
         )
-        gone = F.coalesce(F.col(ts_col) >= F.col("__s"), F.lit(False))
-        days = batch.select(DAY).unionByName(marked.filter(gone).select(DAY))
-        with staged(days.distinct()) as touched:
-            stay = _on_days_of(marked.filter(~gone).select(*table.columns), touched)
-            with staged(stay.unionByName(batch.select(*table.columns))) as merged:
-                _overwrite_days(spark, _rebalanced(merged), name)
-                lost = [r[0] for r in touched.join(merged.select(DAY).distinct(), DAY, "left_anti").collect()]
-                for day in lost:
-                    spark.sql(f"ALTER TABLE {name} DROP IF EXISTS PARTITION ({DAY} = DATE '{day}')")
+        _swap(spark, name, marked.withColumn(_GONE, F.coalesce(F.col(ts_col) >= F.col("__s"), F.lit(False))), batch, on_change)
+
+
+def replace_marked(
+    spark: SparkSession,
+    name: str,
+    source: DataFrame,
+    days: DataFrame,
+    mark: Callable[[DataFrame, str], DataFrame],
+    ts_col: str = "datetime",
+) -> None:
+    """Replace the rows on ``days`` that ``mark`` gives a true value in the column it is told to add, by ``source``.
+
+    Rows so marked that ``source`` lacks are deleted. As in ``replace_from``, only days that hold a row to delete
+    or to add are rewritten.
+    """
+    if not table_exists(spark, name):
+        _create(_by_day(source, ts_col), name)
+        return
+    with staged(_by_day(source, ts_col)) as batch, staged(days.select(DAY).distinct()) as near:
+        _swap(spark, name, mark(_on_days_of(fresh_table(spark, name), near), _GONE), batch)
+
+
+def _swap(spark: SparkSession, name: str, marked: DataFrame, batch: DataFrame, on_change: OnChange | None = None) -> None:
+    """Delete the marked rows and add ``batch``, rewriting only the days on which a row goes or comes."""
+    columns = spark.table(name).columns
+    if on_change:
+        on_change(marked.filter(_GONE).select(*columns), batch.select(*columns))
+    days = batch.select(DAY).unionByName(marked.filter(_GONE).select(DAY))
+    with staged(days.distinct()) as touched:
+        stay = _on_days_of(marked.filter(f"NOT {_GONE}").select(*columns), touched)
+        with staged(stay.unionByName(batch.select(*columns))) as merged:
+            _overwrite_days(spark, _rebalanced(merged), name)
+            lost = [r[0] for r in touched.join(merged.select(DAY).distinct(), DAY, "left_anti").collect()]
+            for day in lost:
+                spark.sql(f"ALTER TABLE {name} DROP IF EXISTS PARTITION ({DAY} = DATE '{day}')")
 
 
 def insert_new_table(

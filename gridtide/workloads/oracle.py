@@ -272,6 +272,7 @@ SQL["gold_incremental_missing_weather"] = f"{_base(_ENERGY, _LATE, _WIDE, _histo
 SQL["forecast_gold"] = f"{_base(*_CHAIN, _FORECASTS)} SELECT * FROM forecasts"
 SQL["training_rows"] = f"""{_base(*_CHAIN, _historic(), _FORECASTS, _AHEAD, _training(_ALL_HOURS))}
     SELECT * EXCLUDE (n_ahead, n_found) FROM pairs WHERE n_ahead = n_found"""
+SQL["training_after_corrections"] = SQL["training_rows"]
 _RECENT = f"""
       recent AS (SELECT ingested_hour_utc FROM historic
                  WHERE ingested_hour_utc >= (SELECT max(ingested_hour_utc) FROM historic) - INTERVAL 96 HOUR)"""

@@ -489,6 +489,37 @@ def training_rows(spark, sf_dir):
     return plain(training.build_training(*_gold_tables(spark, sf_dir)), ("rolling_avg_",))
 
 
+@query
+def training_after_corrections(spark, sf_dir):
+    """Training rows of wrong, missing and early values, then of what corrected them weeks later: equal to a full build.
+
+    At first two zones have wrong values on three days, one lacks a day, one has a day's first deliveries, and one day's
+    weather has not come.
+    """
+    true, weather = materialize(feeds.energy(spark, sf_dir)), materialize(feeds.weather(spark, sf_dir))
+    day = F.to_date("datetime")
+    wrong = F.col("zone").isin("click", "view") & day.between("2024-01-10", "2024-01-12")
+    lacking = (F.col("zone") == "error") & (day == "2024-01-15")
+    early = (F.col("zone") == "purchase") & (day == "2024-01-20")
+    first = true.filter(~lacking & ~early).withColumn(
+        "carbon_intensity", F.when(wrong, F.col("carbon_intensity") + 5).otherwise(F.col("carbon_intensity"))
+    ).unionByName(feeds.energy(spark, sf_dir, lag=0).filter(early))
+    early_weather = weather.filter(F.to_date("ingested_at") != F.lit("2024-01-18").cast("date"))
+    with _scratch_table(spark) as name:
+        historic, forecasts, log = f"{name}_historic", f"{name}_forecasts", f"{name}_changes"
+        for energy, near in ((first, early_weather), (true, weather), (true, weather)):
+            energy = materialize(energy)
+            jobs.merge_historic(spark, historic, energy, near, 24 * 400, jobs.log_history(spark, log))
+            ahead = gold.build_forecasts(near, gold.vintages(energy))
+            sources.upsert_table(spark, forecasts, ahead, gold.FORECAST_KEYS, on_change=jobs.log_forecasts(spark, log))
+            if sources.table_exists(spark, name):
+                jobs.refresh_training(spark, historic, forecasts, name, log)
+            else:
+                rows = training.build_training(*[sources.read_table(spark, t) for t in (historic, forecasts)])
+                sources.upsert_table(spark, name, rows, training.TRAINING_KEYS)
+        return plain(materialize(sources.read_table(spark, name)), ("rolling_avg_",))
+
+
 @query
 def training_rows_lookback(spark, sf_dir):
     rows = training.build_training(*_gold_tables(spark, sf_dir), lookback_hours=96)
