@@ -24,6 +24,8 @@ from gridtide.llm.common import id_and_bytes, ship_package
 SAMPLE_PER_LABEL = 1500
 MAX_TRAINING_LINES = 400
 CUT = 0.3
+# What texts scored at once may take together: padded lines (three doubles each), bytes, texts.
+BLOCK_CELLS, BLOCK_BYTES, BLOCK_TEXTS = 2_000_000, 4_000_000, 1000
 
 _CLASSES = 10
 _CLASS = np.zeros(256, np.uint8)
@@ -272,13 +274,33 @@ def fit(
     return fit_lines(documents, np.array([label for _, label, _, _ in got], np.int64))
 
 
+def blocks(lines: list[int], sizes: list[int]) -> Iterator[list[int]]:
+    """Indices of texts in blocks of like numbers of lines, so that padding stays small and memory bounded.
+
+    A block is closed before a text that would take it over ``BLOCK_CELLS`` padded lines, ``BLOCK_BYTES`` or
+    ``BLOCK_TEXTS``; a text that is over a bound by itself stands alone.
+    """
+    block: list[int] = []
+    size = 0
+    for i in sorted(range(len(lines)), key=lambda i: (lines[i], sizes[i])):
+        # Lines rise along the order, so this text is the longest of the block.
+        over = lines[i] * (len(block) + 1) > BLOCK_CELLS or size + sizes[i] > BLOCK_BYTES or len(block) >= BLOCK_TEXTS
+        if block and over:
+            yield block
+            block, size = [], 0
+        block.append(i)
+        size += sizes[i]
+    if block:
+        yield block
+
+
 def score(docs: DataFrame, model: LineCrf, id_col: str = "doc_id", text_col: str = "text", *more: Column) -> DataFrame:
     """(id_col, *more, score, predicted) per row, from the text alone.
 
     ``score`` is higher the likelier the text is good, ``predicted`` is 1 from
     ``CUT`` on. NULL texts and texts without a character have 0. Rows with NULL or
-    repeated ids and repeated rows are scored each for itself. An empty table gives
-    an empty result.
+    repeated ids and repeated rows are scored each for itself. Very long texts are scored whole, in
+    memory in proportion to the text. An empty table gives an empty result.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
@@ -286,15 +308,8 @@ def score(docs: DataFrame, model: LineCrf, id_col: str = "doc_id", text_col: str
         for batch in batches:
             texts = batch.column(1).to_pylist()
             found = np.zeros(len(texts))
-            # Texts of like length share a block, so padding stays small and memory bounded.
-            order = sorted(range(len(texts)), key=lambda i: len(texts[i] or b""))
-            at, size = 0, 0
-            for j in range(1, len(order) + 1):
-                size += len(texts[order[j - 1]] or b"")
-                if j == len(order) or size > 4_000_000 or j - at >= 1000:
-                    block = order[at:j]
-                    found[block] = shared.value.scores([line_features(texts[i] or b"") for i in block])
-                    at, size = j, 0
+            for block in blocks([(t or b"").count(b"\n") + 1 for t in texts], [len(t or b"") for t in texts]):
+                found[block] = shared.value.scores([line_features(texts[i] or b"") for i in block])
             kept = [i for i in range(batch.num_columns) if i != 1]
             yield pa.RecordBatch.from_arrays(
                 [*(batch.column(i) for i in kept), pa.array(found, pa.float64()), pa.array((found >= CUT).astype(np.int32), pa.int32())],
