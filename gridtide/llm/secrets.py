@@ -24,7 +24,8 @@ from gridtide.session import materialize
 KINDS = ("assign", "access", "hex", "markov")
 THRESHOLD = 0.35
 LEAST_SUM = 12.0
-MIN_LENGTH = 20
+# Shorter runs cannot reach the least sum with any certainty: random strings of 10 characters mostly do.
+MIN_LENGTH = 10
 # Labelled strings of each class that the models are trained on at most.
 MAX_SAMPLES = 20_000
 SEED = 20_240_601
@@ -39,6 +40,8 @@ MIN_ASSIGNED, MIN_ACCESS = 8, 16
 
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
 _RUN = re.compile(r"[A-Za-z0-9+/_=-]{%d,}" % MIN_LENGTH)
+# Whole runs of letters or digits; pieces of random strings are not ordinary.
+_ORDINARY = r"(?<![A-Za-z0-9+/_=-])(?:[A-Za-z][A-Za-z_-]{3,60}|[0-9][0-9_-]{3,60})(?![A-Za-z0-9+/_=-])"
 _CODE = np.full(256, -1, np.int64)
 _CODE[np.frombuffer(ALPHABET.encode(), np.uint8)] = np.arange(len(ALPHABET))
 
@@ -78,22 +81,30 @@ def random_strings(n: int, seed: int = SEED) -> list[str]:
     return ["".join(rng.choices(alphabets[i % len(alphabets)], k=rng.randint(20, 64))) for i in range(n)]
 
 
+def decimal_numbers(n: int, seed: int = SEED + 1) -> list[str]:
+    """Numbers in decimals, which are ordinary however many of them the texts hold."""
+    rng = random.Random(seed)
+    return ["".join(rng.choices("0123456789", k=rng.randint(4, 20))) for _ in range(n)]
+
+
 def training_samples(docs: DataFrame, id_col: str, text_col: str, max_samples: int = MAX_SAMPLES) -> tuple[list[str], list[str]]:
     """(random strings, ordinary identifiers).
 
     Random strings are generated from a seed. Ordinary identifiers are distinct
-    words of letters, also joined by signs, from all texts, an eighth by hash; of these
+    words of letters and numbers, also joined by signs, from all texts, an eighth by hash; of these
     a share by hash that holds ``max_samples`` in expectation, or all if there are
-    fewer. The set is the same in every run.
+    fewer. They come in capitals as well, as names of constants do, and with an eighth as
+    many seeded numbers, of which few texts hold few. The set is the same in every run.
     """
-    words = F.regexp_extract_all(F.col(text_col), F.lit(r"[A-Za-z][A-Za-z_-]{3,60}"), F.lit(0))
+    words = F.regexp_extract_all(F.col(text_col), F.lit(_ORDINARY), F.lit(0))
     place = F.xxhash64("w", F.lit("place"))
     picked = docs.select(F.explode(words).alias("w")).filter(F.pmod(F.xxhash64("w"), F.lit(8)) == 0).distinct()
     picked = materialize(picked)
     cells = 1 << 20
     share = min(cells, -(-cells * max_samples // max(picked.count(), 1)))
     ordinary = picked.filter(F.pmod(place, F.lit(cells)) < share)
-    return random_strings(max_samples), sorted(r[0] for r in ordinary.collect())
+    found = sorted(r[0] for r in ordinary.collect())
+    return random_strings(max_samples), found + [w.upper() for w in found] + decimal_numbers(max_samples // 8)
 
 
 class SecretScanner:
@@ -133,11 +144,11 @@ def scan(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     samples: tuple[list[str], list[str]] | None = None, threshold: float = THRESHOLD, least_sum: float = LEAST_SUM,
 ) -> DataFrame:
-    """(id_col, n_assign, n_access, n_hex, n_markov, base_sha256, spans) per row.
+    """(id_col, n_assign, n_access, n_hex, base_sha256, spans, n_markov) per row.
 
     Spans are ``kind:start:end`` in code points, end exclusive, joined by commas in
     order of start and kind; ``base_sha256`` is the hash of those of the fixed
-    patterns alone. A NULL or empty text has no spans. Rows with NULL or repeated ids
+    patterns alone. A NULL or empty text has no spans, a very long one is scanned whole. Rows with NULL or repeated ids
     and repeated rows are scanned each for itself; other columns are ignored. An
     empty table gives an empty result.
     """
@@ -150,13 +161,15 @@ def scan(
             for raw in batch.column(1).to_pylist():
                 base, spans = scanner.spans(raw.decode()) if raw else ((), ())
                 text = ",".join("%s:%d:%d" % s for s in base)
-                rows.append((*(sum(s[0] == k for s in spans) for k in KINDS), hashlib.sha256(text.encode()).hexdigest(), ",".join("%s:%d:%d" % s for s in spans)))
+                counts = [sum(s[0] == k for s in spans) for k in KINDS]
+                rows.append((*counts[:3], hashlib.sha256(text.encode()).hexdigest(), ",".join("%s:%d:%d" % s for s in spans), counts[3]))
             columns = list(zip(*rows)) if rows else [()] * 6
+            types = [pa.int64()] * 3 + [pa.string()] * 2 + [pa.int64()]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), *(pa.array(c, pa.int64()) for c in columns[:4]), pa.array(columns[4], pa.string()), pa.array(columns[5], pa.string())],
-                names=["id", "n_assign", "n_access", "n_hex", "n_markov", "base_sha256", "spans"],
+                [batch.column(0), *(pa.array(c, t) for c, t in zip(columns, types))],
+                names=["id", "n_assign", "n_access", "n_hex", "base_sha256", "spans", "n_markov"],
             )
 
     id_type = docs.schema[id_col].dataType.simpleString()
-    schema = f"id {id_type}, n_assign long, n_access long, n_hex long, n_markov long, base_sha256 string, spans string"
+    schema = f"id {id_type}, n_assign long, n_access long, n_hex long, base_sha256 string, spans string, n_markov long"
     return id_and_bytes(docs, id_col, text_col).mapInArrow(run, schema).withColumnRenamed("id", id_col)
