@@ -51,9 +51,7 @@ def op7_quality_classifier(spark, sf_dir):
 
 
 def op8_line_dedup(spark, sf_dir):
-    docs = table(spark, sf_dir, "documents")
-    # Its SQL counts distinct texts and has a ratio of its own.
-    return line_dedup.drop_boilerplate(docs, ratio=0.1, near_as_one=False).select("doc_id", "source", "text", "n_lines", "n_dropped")
+    return line_dedup.drop_boilerplate(table(spark, sf_dir, "documents")).select("doc_id", "source", "text", "n_lines", "n_dropped")
 
 
 def op9_language_id(spark, sf_dir):
@@ -142,18 +140,38 @@ SELECT vec_id, coalesce(n, 0) AS n_links, least(vec_id, coalesce(b, vec_id)) AS
     vec_id = least(vec_id, coalesce(b, vec_id)) AS kept
 FROM embeddings LEFT JOIN degree ON degree.a = vec_id LEFT JOIN least ON least.a = vec_id
 """,
+    # Pages are distinct texts; those that near copies (five words, 0.8) connect count as one.
     "op8_line_dedup": r"""
-WITH cut AS (
-    SELECT doc_id, source, coalesce(text, '') AS page, unnest(string_split(text, chr(10))) AS line,
+WITH RECURSIVE texts AS (SELECT page, row_number() OVER (ORDER BY page) AS id FROM (SELECT DISTINCT coalesce(text, '') AS page FROM documents)),
+words AS (
+    SELECT id, regexp_extract_all(
+        translate(page, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+    FROM texts
+),
+shingles AS (
+    SELECT id, unnest(list_distinct(CASE
+        WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+        ELSE list_transform(range(1, len(w) - 3), lambda i : array_to_string(w[i:i + 4], ' ')) END)) AS s
+    FROM words
+),
+amounts AS (SELECT id, count(*) AS n FROM shingles GROUP BY id),
+shared AS (SELECT a.id AS x, b.id AS y, count(*) AS c FROM shingles a JOIN shingles b ON a.s = b.s AND a.id < b.id GROUP BY ALL),
+links AS (
+    SELECT x, y FROM shared JOIN amounts p ON p.id = x JOIN amounts q ON q.id = y WHERE 100 * c >= 80 * (p.n + q.n - c)
+),
+""" + _REACH + r""",
+pages AS (SELECT t.page AS body, least(t.id, coalesce(b, t.id)) AS page FROM texts t LEFT JOIN least ON a = t.id),
+cut AS (
+    SELECT doc_id, source, page, unnest(string_split(text, chr(10))) AS line,
         generate_subscripts(string_split(text, chr(10)), 1) AS i
-    FROM documents
+    FROM documents JOIN pages ON body = coalesce(text, '')
 ),
 lines AS (SELECT *, trim(line, concat(' ', chr(9), chr(11), chr(12), chr(13))) AS core FROM cut),
 counted AS (SELECT source, core, count(DISTINCT page) AS n FROM lines WHERE core <> '' GROUP BY source, core),
-sites AS (SELECT source, count(DISTINCT coalesce(text, '')) AS pages FROM documents GROUP BY source),
+sites AS (SELECT source, count(DISTINCT page) AS pages FROM documents JOIN pages ON body = coalesce(text, '') GROUP BY source),
 bad AS (
     SELECT c.source, core FROM counted c JOIN sites s ON c.source IS NOT DISTINCT FROM s.source
-    WHERE n >= 5 AND n > 0.1 * pages
+    WHERE n >= 5 AND n > 0.01 * pages
 ),
 marked AS (
     SELECT l.*, b.core IS NOT NULL AS gone FROM lines l

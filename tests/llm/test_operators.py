@@ -5,6 +5,7 @@ from __future__ import annotations
 import collections
 import hashlib
 import math
+import random
 import re
 import zlib
 
@@ -329,6 +330,28 @@ def test_quality_classifier(spark, docs, labels):
     assert line_crf.score(odd(spark), nothing).filter("score IS NULL").count() == 0
 
 
+def test_blocks_hold_every_text_once_within_their_bounds():
+    lines = [1] * 2500 + [50_000, 3, 1_000_000, 5_000_000, 40_000]
+    sizes = [4] * 2500 + [200_000, 10, 3_000_000, 20_000_000, 90_000]
+    found = list(line_crf.blocks(lines, sizes))
+    assert sorted(i for b in found for i in b) == list(range(len(lines)))
+    for b in found:
+        cells = max(lines[i] for i in b) * len(b)
+        assert len(b) == 1 or (cells <= line_crf.BLOCK_CELLS and sum(sizes[i] for i in b) <= line_crf.BLOCK_BYTES)
+        assert len(b) <= line_crf.BLOCK_TEXTS
+    assert list(line_crf.blocks([], [])) == []
+
+
+def test_text_of_very_many_lines_among_small_ones(spark, docs, labels):
+    model = line_crf.fit(docs, labels, lambda i: fold(i, 5) != 0)
+    rows = [(i, f"a line of text {i}\nand another one.") for i in range(300)]
+    alone = {r.doc_id: r.score for r in line_crf.score(spark.createDataFrame(rows, "doc_id long, text string"), model).collect()}
+    rows.append((999, "| x | y |\n" * 200_000))
+    got = {r.doc_id: r.score for r in line_crf.score(spark.createDataFrame(rows, "doc_id long, text string").coalesce(1), model).collect()}
+    assert len(got) == 301 and 0 <= got[999] <= 1
+    assert all(abs(got[i] - s) < 1e-9 for i, s in alone.items())
+
+
 def test_chain_marginals_equal_enumeration():
     rng = np.random.default_rng(1)
     scores, stay = [rng.normal(size=n) for n in (1, 4, 2, 5)], 0.8
@@ -382,6 +405,35 @@ def test_secrets(spark, docs):
     assert got.count() == df.count() and secrets.scan(odd(spark).limit(0)).count() == 0
 
 
+KEY_ALPHABETS = (
+    "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789-_",
+    "abcdefghijklmnopqrstuvwxyz0123456789", "ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789", "0123456789abcdef", "0123456789ABCDEF",
+)
+
+
+def test_planted_secrets_are_found_at_every_length_and_prose_is_left_alone(spark, docs):
+    """300 random strings of each alphabet and length in prose; numbers and words stay."""
+    rng, planted = random.Random(11), {}
+    for a, alphabet in enumerate(KEY_ALPHABETS):
+        for n in (12, 16, 20, 31):
+            for i in range(300):
+                planted[10_000_000 + len(planted)] = (a, n, "".join(rng.choices(alphabet, k=n)))
+    rows = [(i, f"We keep the value {key} for later use") for i, (_, _, key) in planted.items()]
+    plain = [(i, f"call {rng.randrange(10 ** 9, 10 ** 10)} or {rng.randrange(10 ** 15, 10 ** 16)}, on 2024-01-{i % 28 + 1:02} about "
+              "internationalization, state-of-the-art counterrevolutionaries and self_contained_configuration") for i in range(1, 301)]
+    df = spark.createDataFrame(rows + [(-i, t) for i, t in plain], "doc_id long, text string").unionByName(docs.select("doc_id", "text"))
+    hits, missed = collections.Counter(), 0
+    for r in secrets.scan(df).filter("n_markov > 0").collect():
+        if r.doc_id in planted:
+            a, n, key = planted[r.doc_id]
+            hits[a, n] += f"markov:18:{18 + n}" in r.spans.split(",")
+        elif r.doc_id < 0:
+            missed += 1
+    least = {12: 0.85, 16: 0.96, 20: 0.99, 31: 0.99}
+    assert {k: hits[k] / 300 for k in [(a, n) for a in range(len(KEY_ALPHABETS)) for n in least] if hits[k] < 300 * least[k[1]]} == {}
+    assert missed <= 3
+
+
 # --- 8 ---------------------------------------------------------------------------------------------
 
 def test_line_dedup_of_odd_rows(spark):
@@ -398,6 +450,16 @@ def test_line_dedup_of_odd_rows(spark):
     assert line_dedup.drop_boilerplate(odd(spark).limit(0)).count() == 0
 
 
+def test_line_dedup_counts_near_copies_once(spark):
+    """A third of a source are copies of one page with one word changed: their lines stay, the menu goes."""
+    page = [" ".join(f"w{i}x{j}" for j in range(12)) for i in range(20)]
+    copies = [(i, "\n".join([*page, f"edited {i}", "menu"])) for i in range(100)]
+    others = [(1000 + i, f"own words of page {i} and nothing else\nmenu") for i in range(200)]
+    df = spark.createDataFrame([(i, t, "a") for i, t in copies + others], "doc_id long, text string, source string")
+    got = {r.doc_id: r.text for r in line_dedup.drop_boilerplate(df).collect()}
+    assert all(got[i] == t.removesuffix("\nmenu") for i, t in copies + others)
+
+
 def test_line_dedup_drops_lines_on_few_of_many_pages(spark):
     """Of 400 pages 8 hold a licence line and 4 another one."""
     rows = [(i, "\n".join([f"own {i}"] + ["licence"] * (i < 8) + ["rare"] * (i < 4)), "a") for i in range(400)]
