@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from gridtide import schemas as S
 from gridtide.model.gbt import TREES, evaluate, fit_gbt, load_latest, save_model
-from gridtide.model.monitor import monitor
+from gridtide.model.monitor import change_alarms, error_sums, quality_report
 from gridtide.model.scoring import build_scoring, score
 from gridtide.operators import anchored_lookback, broadcast_if_small, changed_rows, from_time, lookback
 from gridtide.plans.gold import (
@@ -28,7 +28,7 @@ from gridtide.schemas import DAY
 from gridtide.session import materialize, scratch, staged, use_utc
 from gridtide.sources import (
     append_table, commit_marks, ensure_schema, fresh_table, high_water, hours_since, insert_new_table, land_csv, land_json,
-    land_table, marks, read_table, replace_from, replace_marked, table_exists, upsert_table,
+    land_table, marks, read_days_of, read_table, replace_from, replace_marked, table_exists, upsert_table,
 )
 from gridtide.sources.tables import OnChange
 
@@ -218,20 +218,27 @@ def run_gold(spark: SparkSession, lookback_hours: int = DEFAULT_LOOKBACK, featur
     commit_marks(spark, {reader: latest})
 
 
-def _log(spark: SparkSession, changes: DataFrame, log: str) -> None:
-    """Append to the log as a batch of its own; a merge that dies after it logs the same again."""
+def _log(spark: SparkSession, changes: DataFrame, *logs: str) -> None:
+    """Append to each log as a batch of its own; a merge that dies after it logs the same again."""
     with staged(changes) as rows:
-        if not rows.isEmpty():
+        if rows.isEmpty():
+            return
+        batched = rows.select(*CHANGES, F.lit(uuid.uuid4().hex).alias("batch"))
+        for log in logs:
             ensure_schema(spark, log)
-            batch = uuid.uuid4().hex
-            rows.select(*CHANGES, F.lit(batch).alias("batch")).write.mode("append").format("parquet").partitionBy("batch").saveAsTable(log)
+            batched.write.mode("append").format("parquet").partitionBy("batch").saveAsTable(log)
 
 
-def log_history(spark: SparkSession, log: str = S.GOLD_CHANGES) -> OnChange:
-    """Writes down which history rows a merge adds, removes or alters."""
+def _batches(spark: SparkSession, log: str) -> list[str]:
+    """The batches that a log holds by now."""
+    return sorted(r[0] for r in fresh_table(spark, log).select("batch").distinct().collect()) if table_exists(spark, log) else []
+
+
+def log_history(spark: SparkSession, *logs: str) -> OnChange:
+    """Writes down which history rows a merge adds, removes or alters, in one log for each reader (training and monitoring)."""
     def write(before: DataFrame, after: DataFrame) -> None:
         changed = changed_rows(before, after, HISTORIC_KEYS, [VINTAGE])
-        _log(spark, changed.withColumn("source", F.lit("historic")), log)
+        _log(spark, changed.withColumn("source", F.lit("historic")), *(logs or (S.GOLD_CHANGES, S.GOLD_ERROR_CHANGES)))
 
     return write
 
@@ -261,9 +268,7 @@ def refresh_training(
     the result equals a full build. The batches taken are removed from the log last, so a run that dies
     is repeated by the next one.
     """
-    if not table_exists(spark, log):
-        return
-    batches = sorted(r[0] for r in fresh_table(spark, log).select("batch").distinct().collect())
+    batches = _batches(spark, log)
     if not batches:
         return
     with scratch(spark):
@@ -291,8 +296,7 @@ def run_training_rows(spark: SparkSession, lookback_hours: int | None = TRAINING
     if table_exists(spark, S.GOLD_TRAINING) and lookback_hours is not None:
         refresh_training(spark)
         return
-    logged = table_exists(spark, S.GOLD_CHANGES)
-    batches = [r[0] for r in fresh_table(spark, S.GOLD_CHANGES).select("batch").distinct().collect()] if logged else []
+    batches = _batches(spark, S.GOLD_CHANGES)
     historic = read_table(spark, S.GOLD_HISTORIC, with_day=True)
     forecasts = read_table(spark, S.GOLD_FORECASTS, with_day=True)
     with scratch(spark):
@@ -330,11 +334,51 @@ def run_score(spark: SparkSession, anchor: str = "global") -> None:
         append_table(scored, S.GOLD_PREDICTIONS, "datetime")
 
 
+def refresh_errors(
+    spark: SparkSession,
+    predictions: str = S.GOLD_PREDICTIONS,
+    historic: str = S.GOLD_HISTORIC,
+    errors: str = S.GOLD_ERRORS,
+    log: str = S.GOLD_ERROR_CHANGES,
+    progress: str = S.PROGRESS,
+) -> None:
+    """Bring the sums of errors up to date on the days that have new predictions or logged changes of history.
+
+    The sums of these days replace the old ones, so the table equals a full build, also after late corrections and
+    after rows that went. Other days are neither read nor written. The first run takes all days. The mark and the
+    log move last, so a run that dies is repeated by the next one. Predictions are new if their time is not before
+    the latest one taken so far.
+    """
+    reader = f"{errors} from {predictions}"
+    at = marks(spark, [reader], progress)[reader] if table_exists(spark, errors) else None
+    batches = _batches(spark, log)
+    stored = read_table(spark, predictions, with_day=True)
+    latest = high_water(stored, "prediction_ingested_at")
+    with scratch(spark):
+        if at is None:
+            days = stored.select(DAY)
+        else:
+            micros = (at - dt.datetime(1970, 1, 1)) // dt.timedelta(microseconds=1)
+            days = stored.filter(F.col("prediction_ingested_at") >= F.timestamp_micros(F.lit(micros))).select(DAY)
+            if batches:
+                changed = fresh_table(spark, log).filter(F.col("batch").isin(batches))
+                days = days.unionByName(changed.select(F.to_date("datetime").alias(DAY)))
+        days = materialize(days.distinct())
+        touched = days.select(F.col(DAY).alias("datetime"))
+        sums = error_sums(*[read_days_of(spark, name, touched) for name in (predictions, historic)])
+        replace_marked(spark, errors, sums, days, lambda df, mark: df.withColumn(mark, F.lit(True)), "day")
+    commit_marks(spark, {reader: latest}, progress)
+    _forget(spark, log, batches)
+
+
 def run_monitor(spark: SparkSession, by_offset: bool = False) -> DataFrame:
-    """Quality of all predictions that have an actual value by now; replaces the report table."""
+    """Quality of all predictions that have an actual value by now; replaces the report and the alarms.
+
+    Both are made from sums that are kept per day, so a run reads the predictions of the days with news only.
+    """
     use_utc(spark)
-    report = monitor(
-        read_table(spark, S.GOLD_PREDICTIONS), read_table(spark, S.GOLD_HISTORIC), by_offset=by_offset
-    )
-    report.write.mode("overwrite").format("parquet").saveAsTable(S.GOLD_MONITORING)
+    refresh_errors(spark)
+    sums = read_table(spark, S.GOLD_ERRORS)
+    for made, name in ((quality_report(sums, by_offset), S.GOLD_MONITORING), (change_alarms(sums), S.GOLD_ALARMS)):
+        made.write.mode("overwrite").format("parquet").saveAsTable(name)
     return read_table(spark, S.GOLD_MONITORING)

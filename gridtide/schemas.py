@@ -37,6 +37,9 @@ GOLD_MONITORING = "gold.prediction_quality"
 # Tables of this package's own bookkeeping.
 PROGRESS = "meta.progress"
 GOLD_CHANGES = "gold.changes"
+GOLD_ERROR_CHANGES = "gold.error_changes"
+GOLD_ERRORS = "gold.prediction_errors"
+GOLD_ALARMS = "gold.quality_alarms"
 
 # Partition column of the merge tables: the day of ``datetime``.
 DAY = "_day"

@@ -326,6 +326,22 @@ def _monitor(hours: int, keys: str) -> str:
 
 SQL["monitor_rmse"] = _monitor(1, "")
 SQL["monitor_by_offset"] = _monitor(24, "forecast_offset_h,")
+SQL["monitor_incremental"] = SQL["monitor_by_offset"]
+# The recursion itself, day by day.
+SQL["monitor_alarms"] = f"""{_base(_ENERGY).replace("WITH", "WITH RECURSIVE", 1)},
+    d AS (SELECT p.ahead AS forecast_offset_h, a.datetime::DATE AS day, count(*) AS n,
+                 sqrt(avg((p.carbon_intensity - a.carbon_intensity)::DOUBLE ** 2)) AS rmse
+          FROM energy a JOIN (SELECT *, unnest(range(1, 25)) AS ahead FROM energy) p
+          ON p.zone = a.zone AND p.datetime + to_hours(p.ahead) = a.datetime GROUP BY ALL),
+    i AS (SELECT *, row_number() OVER (PARTITION BY forecast_offset_h ORDER BY day) AS i FROM d),
+    base AS (SELECT forecast_offset_h, avg(rmse) AS mean, stddev_samp(rmse) AS dev FROM i WHERE i <= 7 GROUP BY ALL),
+    z AS (SELECT i.*, CASE WHEN i > 7 AND dev > 0 THEN (rmse - mean) / dev END AS z FROM i JOIN base USING (forecast_offset_h)),
+    s AS (SELECT *, 0::DOUBLE AS cusum FROM z WHERE i = 1
+          UNION ALL SELECT z.*, CASE WHEN z.i <= 7 THEN 0 ELSE greatest(0, s.cusum + coalesce(z.z, 0) - 0.5) END
+          FROM s JOIN z ON z.forecast_offset_h = s.forecast_offset_h AND z.i = s.i + 1)
+    SELECT 'naive' AS model_version, forecast_offset_h, day, n, round(rmse, 6) AS rmse, round(z, 6) AS z,
+           round(cusum, 6) AS cusum, cusum > 2.0 AS alarm
+    FROM s"""
 # Features: three for each series, the forecasts, the calendar and the offset.
 SQL["gbt_fit_score"] = f"""
     {_base(*_CHAIN, _historic(), _FORECASTS, _AHEAD, _training(_ALL_HOURS))},

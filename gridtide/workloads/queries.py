@@ -13,7 +13,7 @@ from gridtide import functions as fx
 from gridtide import operators as op
 from gridtide import sources
 from gridtide.model import gbt
-from gridtide.model.monitor import match_actuals, monitor
+from gridtide.model.monitor import change_alarms, error_sums, match_actuals, monitor, quality_report
 from gridtide.model.scoring import build_scoring, score
 from gridtide.plans import gold, jobs, silver, training
 from gridtide.session import ensure_checkpoint_dir, materialize
@@ -588,6 +588,36 @@ def monitor_by_offset(spark, sf_dir):
     return plain(monitor(*_naive(spark, sf_dir, 24), by_offset=True), ("rmse", "mae", "bias"))
 
 
+@query
+def monitor_incremental(spark, sf_dir):
+    """Sums of errors kept per day: late predictions, wrong and missing actual hours put right, a run without news; equal to a full report."""
+    predicted, _ = _naive(spark, sf_dir, 24)
+    true = feeds.energy(spark, sf_dir).select(
+        "zone", "datetime", F.date_trunc("hour", "ingested_at").alias(gold.VINTAGE), "carbon_intensity"
+    )
+    predicted, true = materialize(predicted), materialize(true)
+    day = F.to_date("datetime")
+    wrong = F.col("zone").isin("click", "view") & day.between("2024-01-10", "2024-01-12")
+    lacking = (F.col("zone") == "error") & (day == "2024-01-15")
+    early = true.filter(~lacking).withColumn(
+        "carbon_intensity", F.when(wrong, F.col("carbon_intensity") + 5).otherwise(F.col("carbon_intensity"))
+    )
+    late = F.col("prediction_ingested_at") >= F.lit("2024-01-20").cast("timestamp")
+    with _scratch_table(spark) as name:
+        predictions, historic, log, progress = (f"{name}_{k}" for k in ("predictions", "historic", "log", "progress"))
+        for actual, new in ((early, predicted.filter(~late)), (true, predicted.filter(late)), (true, predicted.limit(0))):
+            sources.upsert_table(spark, historic, actual, gold.HISTORIC_KEYS, on_change=jobs.log_history(spark, log))
+            sources.append_table(new, predictions, "datetime")
+            jobs.refresh_errors(spark, predictions, historic, name, log, progress)
+        sums = materialize(sources.read_table(spark, name))
+    return plain(quality_report(sums, by_offset=True), ("rmse", "mae", "bias"))
+
+
+@query
+def monitor_alarms(spark, sf_dir):
+    return plain(change_alarms(error_sums(*_naive(spark, sf_dir, 24)), limit=2.0), ("rmse", "z", "cusum"))
+
+
 @query
 def gbt_fit_score(spark, sf_dir):
     """The whole fit: what went in, what came out."""
