@@ -18,10 +18,12 @@
    are starred from further classes, few at first, four times as many from round to round, each one once,
    until no bucket holds two components. There a pair is a candidate only
    if one-bit sketches of its signatures agree as far as near copies' do.
+6. Large buckets that hold several components even then are taken uncut: their classes are joined exactly, by
+   prefixes of the full sets, so what the splits parted is not lost.
 
 Recall: two texts of similarity s miss all buckets with (1 - s^rows)^bands, by default 1e-6
-at the similarity asked for. A pair that no star has joined stays together in a split with
-s^STEP a level, in each of its buckets; a sketch loses it with 3e-7 (five standard deviations).
+at the similarity asked for. In a small bucket a sketch loses a pair with 3e-7 (five standard deviations);
+in a large one none is lost.
 """
 
 from __future__ import annotations
@@ -47,6 +49,7 @@ CENTRES = 3
 SMALL = 24
 STEP = 3
 LEVELS = 6
+BLOCK = 1000
 SKETCH_WORDS = 6
 SKETCH_SIGMAS = 5.0
 CACHE_SIZE = 400_000
@@ -319,8 +322,9 @@ def near_duplicates(
             sets = materialize(_full_sets(docs, id_col, text_col, left.select("rep").distinct(), words))
             refined = _refined(sets, bands, rows)
             left = materialize(left.join(refined, "set_key").withColumn("further", F.slice("further", F.col("band") * LEVELS + 1, LEVELS)).drop("band"))
-            left, parts = _split(left, parts, sets, percent, small)
+            left, parts, large = _split(left, parts, sets, percent, small)
             parts = _more_stars(left, parts, sets, percent, centres, bands * rows)
+            parts = _by_prefix(large, parts, sets, percent)
     # A row's class stands for it; an id with several sets joins their classes.
     members = materialize(usable.join(classes.select("set_key", "rep"), "set_key").select("id", "rep"))
     firsts = members.groupBy("id").agg(F.min("rep").alias("rep"), F.max("rep").alias("last"))
@@ -342,13 +346,17 @@ def near_duplicates(
     )
 
 
-def _split(left: DataFrame, parts: DataFrame, sets: DataFrame, percent: int, small: int) -> tuple[DataFrame, DataFrame]:
-    """What is left when buckets are split by further bins, level by level, until they are small; and the components by then."""
-    rest = []
+def _split(left: DataFrame, parts: DataFrame, sets: DataFrame, percent: int, small: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """What is left when buckets are split by further bins, level by level, until they are small; the components by then; and the large buckets uncut.
+
+    A split parts classes that no star has joined; ``_by_prefix`` looks at the uncut buckets for those.
+    """
+    rest, uncut = [], None
     for level in range(LEVELS):
         open_ = materialize(_open(left, parts).select(*left.columns, "members"))
         rest.append(open_.filter(F.col("members") <= small).drop("members"))
         large = open_.filter(F.col("members") > small).drop("members")
+        uncut = large if uncut is None else uncut
         if large.isEmpty():
             left = None
             break
@@ -364,7 +372,55 @@ def _split(left: DataFrame, parts: DataFrame, sets: DataFrame, percent: int, sma
     out = rest[0]
     for part in rest[1:]:
         out = out.unionByName(part)
-    return out.drop("further"), parts
+    return out.drop("further"), parts, uncut
+
+
+def _by_prefix(large: DataFrame, parts: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Components with every link between classes of the ``large`` buckets that still hold several components.
+
+    An exact join of the full sets. Each set is put in one order: shingles of one component alone first,
+    then the others by frequency. Two near sets of different components first meet in a shingle
+    behind which both still hold as many as they must have in common, which only the front of a set's
+    other shingles can be; the smaller set's front is shorter still. Sets that meet there are confirmed. A shingle of many fronts is
+    joined in blocks of ``BLOCK`` smaller sets.
+    """
+    open_ = materialize(_open(large, parts).select("set_key", "rep", "n", "component").distinct())
+    if open_.isEmpty():
+        return parts
+    held = open_.join(sets, "set_key").select("set_key", "component", F.explode("hashes").alias("shingle"))
+    shared = held.groupBy("shingle").agg(
+        F.count(F.lit(1)).alias("often"), F.min("component").alias("first"), F.max("component").alias("last")
+    ).filter("first < last").select("shingle", "often")
+    ordered = held.join(shared, "shingle").groupBy("set_key").agg(F.sort_array(F.collect_list(F.struct("often", "shingle"))).alias("order"))
+    front = F.size("order") - F.ceil(percent * F.col("n") / 100).cast("int") + 1
+    fronts = ordered.join(open_, "set_key").withColumn("front", front).filter("front > 0").select(
+        "set_key", "rep", "n", "component", F.size("order").alias("size"), F.posexplode(F.slice("order", 1, F.col("front"))).alias("at", "s")
+    )
+    behind = F.col("size") - F.col("at")
+    ends = materialize(fronts.select(
+        F.col("s.shingle").alias("shingle"), "set_key", "rep", "n", "component", behind.alias("behind"),
+        ((100 + percent) * behind >= 2 * percent * F.col("n")).alias("smaller"),
+    ))
+    met = ends.groupBy("shingle").agg(
+        F.count_if("smaller").alias("smaller_sets"), F.min("component").alias("first"), F.max("component").alias("last")
+    ).filter("smaller_sets > 0 AND first < last").select("shingle", F.ceil(F.col("smaller_sets") / BLOCK).alias("blocks"))
+    ends = ends.join(met, "shingle")
+    few = ends.filter("smaller").select(
+        "shingle", F.pmod(F.xxhash64("set_key"), "blocks").alias("block"), F.col("set_key").alias("a"), F.col("rep").alias("rep_a"),
+        F.col("n").alias("n_a"), F.col("component").alias("component_a"), F.col("behind").alias("behind_a"),
+    )
+    all_ = ends.select(
+        "shingle", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("block"), F.col("set_key").alias("b"),
+        F.col("rep").alias("rep_b"), F.col("n").alias("n_b"), "component", "behind",
+    )
+    pairs = few.join(all_, ["shingle", "block"]).filter(
+        (F.col("component_a") != F.col("component"))
+        & ((F.col("n_a") < F.col("n_b")) | ((F.col("n_a") == F.col("n_b")) & (F.col("a") < F.col("b"))))
+        & ((100 + percent) * F.least("behind_a", "behind") >= percent * (F.col("n_a") + F.col("n_b")))
+    )
+    edges = materialize(pairs.select("a", "b", "rep_a", "rep_b", "n_a", "n_b").distinct())
+    more = materialize(_confirmed(edges, sets, percent))
+    return parts if more.isEmpty() else merged_components(parts, more, "rep_a", "rep_b")
 
 
 def _more_stars(left: DataFrame, parts: DataFrame, sets: DataFrame, percent: int, centres: int, bins: int) -> DataFrame:

@@ -119,6 +119,17 @@ def test_near_duplicates_in_wide_buckets_lose_no_link(spark):
     assert {r.doc_id: r.component_id for r in got.collect()} == by_brute_force(rows, 3, 85)
 
 
+def test_near_duplicates_that_a_split_parts_are_found(spark):
+    """Pairs among many texts of one frame that are nearly near enough, with so few bins that splits part most pairs."""
+    rows = []
+    for p in range(100):
+        frame = [f"c{k}" for k in range(80)] + [f"p{p}x{k}" for k in range(3)]
+        rows += [(2 * p + j, " ".join([*frame, *(f"o{p}y{j}z{k}" for k in range(7))])) for j in range(2)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = minhash.near_duplicates(df, words=1, percent=85, bands=8, rows=1)
+    assert {r.doc_id: r.component_id for r in got.collect()} == {i: i // 2 * 2 for i in range(200)}
+
+
 def test_near_duplicates_of_odd_rows(spark):
     df = odd(spark)
     got = minhash.near_duplicates(df, words=3, percent=85)
