@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from gridtide.operators.sizes import broadcast_if_small
 from gridtide.session import materialize
@@ -10,6 +10,8 @@ from gridtide.session import materialize
 SLICE = "__slice"
 # Hot groups that are broadcast at most (their keys alone), beyond it they are joined by a shuffle.
 SMALL_GROUPS = 500_000
+# Rows of a range that one task writes; smaller slices are cut from such a range.
+RANGE_ROWS = 100_000
 
 
 def hot_groups(df: DataFrame, keys: list[str], min_rows: int = 1_000_000) -> DataFrame:
@@ -33,8 +35,14 @@ def sliced(df: DataFrame, keys: list[str], order_by: list[str], rows: int, slice
     Ranges are cut by rows, not by the values, so a dense stretch gets more of them,
     and many rows at one value of the first column are cut by the others. The rows
     are written out once with their slice, so a recomputed task cannot see other
-    ranges. A slice never falls as the order rises within a group.
+    ranges. A slice never falls as the order rises within a group. Slices of less than
+    ``RANGE_ROWS`` rows are cut from ranges of so many by rank, so tasks and files follow the rows,
+    not the slices; rows that are equal in (keys, order_by) stay in one slice.
     """
-    n = max(1, -(-4 * rows // (3 * slice_rows)))
-    cut = df.repartitionByRange(n, *keys, *order_by).withColumn(SLICE, F.spark_partition_id().cast("bigint"))
-    return materialize(cut)
+    n = max(1, -(-4 * rows // (3 * max(slice_rows, RANGE_ROWS))))
+    ranges = materialize(df.repartitionByRange(n, *keys, *order_by).withColumn(SLICE, F.spark_partition_id().cast("bigint")))
+    if slice_rows >= RANGE_ROWS:
+        return ranges
+    at = F.rank().over(Window.partitionBy(SLICE).orderBy(*keys, *order_by)) - 1
+    inner = F.floor(at / slice_rows)
+    return materialize(ranges.withColumn(SLICE, F.shiftleft(SLICE, 32) + inner))

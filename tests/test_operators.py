@@ -229,6 +229,15 @@ def test_hot_group_is_cut_by_rows(spark, at):
     assert sum(sizes) == 99_000 and max(sizes) <= 4000
 
 
+def test_small_slices_share_a_task_and_its_file(spark):
+    df = spark.range(20_000).selectExpr("id % 2 AS zone", "id div 4 AS t")
+    cut = op.sliced(df, ["zone"], ["t"], 20_000, slice_rows=10)
+    spans = cut.groupBy("zone", SLICE).agg(F.count("*").alias("n"), F.min("t").alias("first"), F.max("t").alias("last")).collect()
+    assert len(cut.inputFiles()) <= 1 and len(spans) >= 2000 and sum(r.n for r in spans) == 20_000
+    by_slice = sorted((r.zone, r[SLICE], r.first, r.last) for r in spans)
+    assert all(a[3] < b[2] for a, b in zip(by_slice, by_slice[1:]) if a[0] == b[0])
+
+
 def test_hot_does_not_depend_on_the_other_groups(spark):
     df = spark.range(1000).selectExpr("id % 40 AS zone", "id AS t")
     assert op.hot_groups(df, ["zone"], min_rows=24).count() == 40
