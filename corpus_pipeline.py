@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from gridtide.llm import line_dedup, minhash, mixing, packing, quality_rules
 from gridtide.llm.queries import table, trusted
 from gridtide.operators.sizes import broadcast_if_small
-from gridtide.session import materialize
+from gridtide.session import materialize, settled
 
 # Ids of dropped copies are broadcast up to this many (16 MB), beyond it they are joined by shuffle.
 SMALL_IDS = 2_000_000
@@ -62,7 +62,7 @@ def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def _without_copies(rows: DataFrame, key: str) -> DataFrame:
-    found = materialize(minhash.near_duplicates(rows, key).select(key, "kept"))
+    found = settled(rows.sparkSession, lambda: minhash.near_duplicates(rows, key).select(key, "kept"))
     gone = broadcast_if_small(found.filter(~F.col("kept")).select(key), SMALL_IDS)
     return rows.join(gone, key, "left_anti").select(*rows.columns)
 

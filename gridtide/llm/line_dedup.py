@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from gridtide.llm import minhash
 from gridtide.operators.sizes import broadcast_if_small
-from gridtide.session import materialize
+from gridtide.session import materialize, settled
 
 RATIO = 0.01
 MIN_PAGES = 5
@@ -47,8 +47,11 @@ def _site(site: Column) -> Column:
 
 def _near_groups(texts: DataFrame) -> DataFrame:
     """(page, group) of the pages, given as (page, text), that are not the first of their group of near copies."""
-    found = minhash.near_duplicates(texts, "page").filter(F.col("component_id") != F.col("page"))
-    return broadcast_if_small(materialize(found.select("page", F.col("component_id").alias("group")).distinct()), SMALL_PAGES)
+    def build() -> DataFrame:
+        found = minhash.near_duplicates(texts, "page").filter(F.col("component_id") != F.col("page"))
+        return found.select("page", F.col("component_id").alias("group")).distinct()
+
+    return broadcast_if_small(settled(texts.sparkSession, build), SMALL_PAGES)
 
 
 def _as_one(pages: DataFrame, groups: DataFrame) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
@@ -100,6 +100,15 @@ def scratch(spark: SparkSession) -> Iterator[None]:
             _remove(spark, path)
 
 
+def settled(spark: SparkSession, build: Callable[[], DataFrame]) -> DataFrame:
+    """``materialize`` of what ``build`` returns; what it materialized on the way is removed once that is written."""
+    with scratch(spark):
+        written, path = _write_out(build())
+    if _open_blocks:
+        _open_blocks[-1].append(path)
+    return written
+
+
 @contextmanager
 def staged(df: DataFrame, reader: SparkSession | None = None) -> Iterator[DataFrame]:
     """``materialize`` for the length of a block; the files are removed after it. ``reader`` is a session to read by, if not the frame's own."""

@@ -13,7 +13,7 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from gridtide.llm import queries, quality_rules
-from gridtide.session import materialize
+from gridtide.session import ensure_checkpoint_dir, materialize
 from tests.conftest import ROOT, SF_DIR
 from tests.llm.test_operators import WORD, by_brute_force, statistics
 
@@ -77,6 +77,16 @@ def test_a_group_of_near_copies_is_one_page_to_line_dedup(spark):
     assert left == {0, *range(100, 160)}
 
 
+def test_near_copies_leave_their_result_alone_in_the_checkpoint_folder(spark):
+    words = [f"w{i}" for i in range(60)]
+    rows = [(i, " ".join([*words, f"x{i}"])) for i in range(6)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    folder = ensure_checkpoint_dir(spark).removeprefix("file:")
+    before = set(os.listdir(folder))
+    assert [r.doc_id for r in pipeline.near_copies(spark, df, SF_DIR).collect()] == [0]
+    assert len({n for n in os.listdir(folder) if n.startswith("gridtide-")} - before) == 1
+
+
 def test_sequences_can_be_read_from_the_result(spark):
     df = spark.createDataFrame([(1, "one two three"), (2, None), (2, "four " * 5000)], "doc_id long, text string")
     got = pipeline.packed(spark, df, SF_DIR).collect()
