@@ -30,6 +30,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from functools import cached_property, lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -38,7 +39,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from gridtide.llm.common import id_and_bytes
 from gridtide.llm.components import connected_components, merged_components
-from gridtide.session import materialize
+from gridtide.session import compacted, materialize
 
 WORDS = 5
 PERCENT = 80
@@ -50,9 +51,12 @@ SMALL = 24
 STEP = 3
 LEVELS = 6
 BLOCK = 1000
+# Candidates that are confirmed in one partition at most; each brings two sets.
+FEW_EDGES = 10_000
 SKETCH_WORDS = 6
 SKETCH_SIGMAS = 5.0
-CACHE_SIZE = 400_000
+# Sets that fill fewer bins have theirs looked up instead of walked to.
+FEW_BINS = 32
 
 _U = np.uint64
 _WALK = 64
@@ -72,40 +76,116 @@ def _mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> _U(31))
 
 
+def _inverse(x: int) -> int:
+    return pow(x, -1, 1 << 64)
+
+
+def _powers(x: int, n: int) -> np.ndarray:
+    """x^0 to x^(n - 1) modulo 2^64."""
+    out = np.full(n, x, np.uint64)
+    out[0] = 1
+    return np.multiply.accumulate(out)
+
+
+_BLOCK = 1 << 16
+_BASE = 0x9E3779B97F4A7C15
+_UP, _DOWN = _powers(_BASE, _BLOCK), _powers(_inverse(_BASE), _BLOCK)
+_SPACE = np.isin(np.arange(256), np.frombuffer(b" \t\n\x0b\x0c\r", np.uint8))
+# A number for each byte, the same for A-Z as for a-z; none for white space.
+_LETTERS = _mix(np.arange(256, dtype=np.uint64) + _U(1 << 50))
+_LETTERS[65:91] = _LETTERS[97:123]
+_LETTERS[_SPACE] = 0
+
+
+def word_hashes(data: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """64-bit hashes of the words of ``data``, A-Z as a-z, and where the words start.
+
+    A polynomial of mixed bytes, taken from running sums over blocks that end between words. Only
+    a word longer than a block is hashed by itself.
+    """
+    text = np.frombuffer(data, np.uint8)
+    hashes, starts, at = [], [], 0
+    while at < len(text):
+        part = text[at:at + _BLOCK]
+        space = _SPACE[part]
+        if at + _BLOCK < len(text):
+            last = len(part) - 1 - int(space[::-1].argmax())
+            if not space[last]:
+                cuts = (data.find(c, at + _BLOCK) for c in (b" ", b"\t", b"\n", b"\x0b", b"\x0c", b"\r"))
+                end = min((c for c in cuts if c >= 0), default=len(text))
+                hashes.append(np.array([xxhash.xxh64_intdigest(data[at:end].lower())], np.uint64))
+                starts.append(np.array([at]))
+                at = end
+                continue
+            part, space = part[:last + 1], space[:last + 1]
+        edge = np.flatnonzero(np.diff(space, prepend=True, append=True))
+        sums = np.zeros(len(part) + 1, np.uint64)
+        np.cumsum(_LETTERS[part] * _UP[:len(part)], out=sums[1:])
+        hashes.append(_mix((sums[edge[1::2]] - sums[edge[::2]]) * _DOWN[edge[::2]]))
+        starts.append(edge[::2] + at)
+        at += len(part)
+    if not hashes:
+        return np.empty(0, np.uint64), np.empty(0, np.int64)
+    return np.concatenate(hashes), np.concatenate(starts)
+
+
 class Shingler:
-    """Sorted distinct hashes of the ``n``-word shingles of a text; all its words as one if there are fewer."""
+    """Sorted distinct hashes of the ``n``-word shingles of texts; all words of a text as one if there are fewer."""
 
     def __init__(self, n: int):
         self.n = n
-        self.words: dict[bytes, int] = {}
         self.factors = [_U(f) for f in _mix(np.arange(1, n + 1, dtype=np.uint64)) | _U(1)]
 
-    def __call__(self, text: bytes | None) -> np.ndarray:
-        # bytes.lower() changes A-Z only; bytes.split() cuts at the six characters of the word pattern.
-        words = text.lower().split() if text else []
-        if not words:
-            return np.empty(0, np.uint64)
-        if len(words) < self.n:
-            return np.array([xxhash.xxh64_intdigest(b" ".join(words), len(words))], np.uint64)
-        known = self.words
-        if len(known) > CACHE_SIZE:
-            known.clear()
-        hashes = []
-        for w in words:
-            h = known.get(w)
-            if h is None:
-                h = known[w] = xxhash.xxh64_intdigest(w)
-            hashes.append(h)
-        h = np.array(hashes, np.uint64)
-        m = len(h) - self.n + 1
-        total = np.zeros(m, np.uint64)
+    def sets(self, texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray]:
+        """The sets of all texts one after the other, and where each begins (and the last ends)."""
+        data = b"\n".join([t or b"" for t in texts])
+        lengths = np.array([len(t or b"") + 1 for t in texts], np.int64)
+        h, starts = word_hashes(data)
+        first = np.append(np.searchsorted(starts, np.cumsum(lengths) - lengths), len(h))
+        words = np.diff(first)
+        m = max(0, len(h) - self.n + 1)
+        total = np.zeros(len(h), np.uint64)
         for i, f in enumerate(self.factors):
-            total += h[i:i + m] * f
-        return np.unique(_mix(total))
+            total[:m] += h[i:i + m] * f
+        total = _mix(total)
+        size = np.where(words > 0, np.maximum(words - self.n + 1, 1), 0)
+        for k in np.flatnonzero((words > 0) & (words < self.n)):
+            # As many words as there are, told apart from any longer shingle by their number.
+            short = h[first[k]:first[k + 1]] * np.array(self.factors[:words[k]])
+            total[first[k]] = _mix(short.sum(keepdims=True) + _mix(words[k:k + 1].astype(np.uint64)))[0]
+        for k in np.flatnonzero(size > 1):
+            total[first[k]:first[k] + size[k]].sort()
+        place = np.arange(len(h))
+        owner = np.repeat(np.arange(len(texts)), words)
+        offset = place - first[owner]
+        new = offset < size[owner]
+        new[1:] &= (total[1:] != total[:-1]) | (offset[1:] == 0)
+        kept = total[new]
+        return kept, np.concatenate([[0], np.cumsum(np.bincount(owner[new], minlength=len(texts)))]).astype(np.int64)
+
+    def __call__(self, text: bytes | None) -> np.ndarray:
+        return self.sets([text])[0]
+
+
+def _in_blocks(texts: list[bytes | None], most: int = 1 << 20) -> Iterator[tuple[int, int]]:
+    """(from, to) of runs of texts that hold ``most`` bytes about, one text at least."""
+    start = size = 0
+    for i, t in enumerate(texts):
+        size += len(t or b"") + 1
+        if size >= most:
+            yield start, i + 1
+            start, size = i + 1, 0
+    if start < len(texts):
+        yield start, len(texts)
+
+
+@lru_cache(maxsize=4)
+def signer_of(bands: int, rows: int) -> Signer:
+    return Signer(bands, rows)
 
 
 class Signer:
-    """Band hashes of a shingle set."""
+    """Band hashes of shingle sets."""
 
     def __init__(self, bands: int, rows: int):
         self.bands, self.rows, self.bins = bands, rows, bands * rows
@@ -115,26 +195,55 @@ class Signer:
         walk = np.arange(1, _WALK + 1, dtype=np.uint64)
         self.walk = (_mix(i[:, None] * _U(1 << 20) + walk[None, :]) % _U(self.bins)).astype(np.int64)
 
-    def signature(self, hashes: np.ndarray) -> np.ndarray:
-        at = np.searchsorted(hashes, self.starts)
-        ends = np.append(at[1:], len(hashes))
-        filled = at < ends
-        out = np.zeros(self.bins, np.uint64)
-        out[filled] = hashes[at[filled]]
-        empty = np.flatnonzero(~filled)
+    @cached_property
+    def first_steps(self) -> np.ndarray:
+        """[bin, other]: at which step the walk of a bin comes to the other one first."""
+        bins = np.arange(self.bins)
+        first, step = np.full((self.bins, self.bins), -1, np.int32), 0
+        left = first.size
+        while left:
+            source = self._step(bins, step)
+            new = first[bins, source] < 0
+            first[bins[new], source[new]] = step
+            left -= int(new.sum())
+            step += 1
+        return first
+
+    def _step(self, bins: np.ndarray, step: int) -> np.ndarray:
+        """Where the walk of each bin is after so many steps."""
+        if step < _WALK:
+            return self.walk[bins, step]
+        return (_mix(bins.astype(np.uint64) * _U(1 << 20) + _U(step + 1)) % _U(self.bins)).astype(np.int64)
+
+    def signatures(self, hashes: np.ndarray, begins: np.ndarray) -> np.ndarray:
+        """One row of bins per set, sets being given as by ``Shingler.sets``; none may be empty."""
+        n = len(begins) - 1
+        bins = np.searchsorted(self.starts, hashes, "right") - 1
+        cell = np.repeat(np.arange(n) * self.bins, np.diff(begins)) + bins
+        least = np.append(True, cell[1:] != cell[:-1])
+        out, filled = np.zeros(n * self.bins, np.uint64), np.zeros(n * self.bins, bool)
+        out[cell[least]] = hashes[least]
+        filled[cell[least]] = True
+        open_ = ~filled
+        for i in np.flatnonzero(np.bincount(cell[least] // self.bins, minlength=n) < FEW_BINS):
+            # Long walks would lead to the few bins that are filled, so these are looked up.
+            row = slice(i * self.bins, (i + 1) * self.bins)
+            known = np.flatnonzero(filled[row])
+            out[row] = np.where(filled[row], out[row], out[row][known][self.first_steps[:, known].argmin(1)])
+            open_[row] = False
+        empty = np.flatnonzero(open_)
         step = 0
         while len(empty):
-            walk = self.walk[empty] if step == 0 else (
-                _mix(empty.astype(np.uint64)[:, None] * _U(1 << 20)
-                     + np.arange(1, _WALK + 1, dtype=np.uint64)[None, :] + _U(step * _WALK)) % _U(self.bins)
-            ).astype(np.int64)
-            hit = filled[walk]
-            found = hit.any(1)
-            source = walk[np.arange(len(empty)), hit.argmax(1)]
+            of = empty % self.bins
+            source = empty - of + self._step(of, step)
+            found = filled[source]
             out[empty[found]] = out[source[found]]
             empty = empty[~found]
             step += 1
-        return out
+        return out.reshape(n, self.bins)
+
+    def signature(self, hashes: np.ndarray) -> np.ndarray:
+        return self.signatures(hashes, np.array([0, len(hashes)]))[0]
 
     def further(self, bins: np.ndarray) -> np.ndarray:
         """For each band and level one hash of ``STEP`` more bins, taken from anywhere in the signature."""
@@ -150,11 +259,12 @@ class Signer:
         bits = (_mix(bins) & _U(1)).astype(np.uint8)
         return np.packbits(np.resize(bits, 64 * SKETCH_WORDS)).view(np.uint64)
 
-    def band_hashes(self, hashes: np.ndarray) -> np.ndarray:
-        bins = self.signature(hashes).reshape(self.bands, self.rows)
-        total = np.arange(1, self.bands + 1, dtype=np.uint64)
+    def band_hashes(self, hashes: np.ndarray, begins: np.ndarray) -> np.ndarray:
+        """One row of band hashes per set."""
+        bins = self.signatures(hashes, begins).reshape(-1, self.bands, self.rows)
+        total = np.broadcast_to(np.arange(1, self.bands + 1, dtype=np.uint64), bins.shape[:2])
         for r in range(self.rows):
-            total = _mix(total * _U(0x9E3779B97F4A7C15) + bins[:, r])
+            total = _mix(total * _U(0x9E3779B97F4A7C15) + bins[:, :, r])
         return total
 
 
@@ -162,18 +272,21 @@ def _signed(docs: DataFrame, id_col: str, text_col: str, words: int, bands: int,
     """(id, n_shingles, set_key, band hashes) per row; set_key is NULL without a shingle."""
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingles, signer = Shingler(words), Signer(bands, rows)
+        shingles, signer = Shingler(words), signer_of(bands, rows)
         for batch in batches:
-            sizes, keys, found = [], [], []
-            for text in batch.column(1).to_pylist():
-                h = shingles(text)
-                sizes.append(len(h))
-                keys.append(xxhash.xxh128_digest(h.tobytes()) if len(h) else None)
-                found.append(signer.band_hashes(h).view(np.int64) if len(h) else None)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(sizes, pa.int64()), pa.array(keys, pa.binary()), pa.array(found, pa.list_(pa.int64()))],
-                names=["id", "n_shingles", "set_key", "bands"],
-            )
+            texts = batch.column(1).to_pylist()
+            for start, end in _in_blocks(texts):
+                hashes, begins = shingles.sets(texts[start:end])
+                sizes = np.diff(begins)
+                some = sizes > 0
+                keys = [xxhash.xxh128_digest(hashes[i:j].tobytes()) if j > i else None for i, j in zip(begins[:-1], begins[1:])]
+                found = signer.band_hashes(hashes, np.append(begins[:-1][some], len(hashes))).view(np.int64)
+                offsets = np.concatenate([[0], np.cumsum(some * bands)]).astype(np.int32)
+                lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(found.ravel()), mask=pa.array(~some))
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0).slice(start, end - start), pa.array(sizes, pa.int64()), pa.array(keys, pa.binary()), lists],
+                    names=["id", "n_shingles", "set_key", "bands"],
+                )
 
     return id_and_bytes(docs, id_col, text_col).mapInArrow(sign, "id long, n_shingles long, set_key binary, bands array<long>")
 
@@ -184,11 +297,14 @@ def _full_sets(docs: DataFrame, id_col: str, text_col: str, nodes: DataFrame, wo
     def shingle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingles = Shingler(words)
         for batch in batches:
-            sets = [shingles(t).view(np.int64) for t in batch.column(1).to_pylist()]
-            keys = [xxhash.xxh128_digest(s.tobytes()) for s in sets]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(keys, pa.binary()), pa.array(sets, pa.list_(pa.int64()))], names=["id", "set_key", "hashes"]
-            )
+            texts = batch.column(1).to_pylist()
+            for start, end in _in_blocks(texts):
+                hashes, begins = shingles.sets(texts[start:end])
+                keys = [xxhash.xxh128_digest(hashes[i:j].tobytes()) for i, j in zip(begins[:-1], begins[1:])]
+                sets = pa.ListArray.from_arrays(pa.array(begins.astype(np.int32)), pa.array(hashes.view(np.int64)))
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0).slice(start, end - start), pa.array(keys, pa.binary()), sets], names=["id", "set_key", "hashes"]
+                )
 
     texts = id_and_bytes(docs, id_col, text_col)
     wanted = texts.join(nodes.withColumnRenamed("rep", "id"), "id", "left_semi")
@@ -225,7 +341,7 @@ def _refined(sets: DataFrame, bands: int, rows: int) -> DataFrame:
     """(set_key, further, sketch) of classes whose full sets are given."""
 
     def refine(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        signer = Signer(bands, rows)
+        signer = signer_of(bands, rows)
         for batch in batches:
             further, sketches = [], []
             for values in batch.column(1):
@@ -308,20 +424,20 @@ def near_duplicates(
     crowd = materialize(buckets.groupBy("set_key").agg(F.sum("members").alias("crowd")))
     buckets = buckets.drop("members")
     centre = materialize(_centres(buckets.join(crowd, "set_key")))
-    edges = materialize(_star(buckets, centre, percent))
+    edges, candidates = compacted(_star(buckets, centre, percent), FEW_EDGES)
     parts = None
-    if not edges.isEmpty():
+    if candidates:
         nodes = edges.select(F.col("rep_a").alias("rep")).union(edges.select(F.col("rep_b"))).distinct()
-        links = materialize(_confirmed(edges, _full_sets(docs, id_col, text_col, nodes, words), percent))
+        links, _ = compacted(_confirmed(edges, _full_sets(docs, id_col, text_col, nodes, words), percent))
         parts = connected_components(links, "rep_a", "rep_b")
         # The first centre of a bucket has met all its classes.
         left = buckets.join(centre.select("key", "a"), "key").filter(F.col("set_key") != F.col("a")).drop("a")
-        left = materialize(_open(left, parts).drop("component", "main", "members").join(crowd, "set_key"))
-        if not left.isEmpty():
+        left, open_rows = compacted(_open(left, parts).drop("component", "main", "members").join(crowd, "set_key"))
+        if open_rows:
             # The sets of these classes are written once for all that follows.
-            sets = materialize(_full_sets(docs, id_col, text_col, left.select("rep").distinct(), words))
+            sets, _ = compacted(_full_sets(docs, id_col, text_col, left.select("rep").distinct(), words), size=F.size("hashes"))
             refined = _refined(sets, bands, rows)
-            left = materialize(left.join(refined, "set_key").withColumn("further", F.slice("further", F.col("band") * LEVELS + 1, LEVELS)).drop("band"))
+            left, _ = compacted(left.join(refined, "set_key").withColumn("further", F.slice("further", F.col("band") * LEVELS + 1, LEVELS)).drop("band"))
             left, parts, large = _split(left, parts, sets, percent, small)
             parts = _more_stars(left, parts, sets, percent, centres, bands * rows)
             parts = _by_prefix(large, parts, sets, percent)
@@ -353,7 +469,7 @@ def _split(left: DataFrame, parts: DataFrame, sets: DataFrame, percent: int, sma
     """
     rest, uncut = [], None
     for level in range(LEVELS):
-        open_ = materialize(_open(left, parts).select(*left.columns, "members"))
+        open_, _ = compacted(_open(left, parts).select(*left.columns, "members"))
         rest.append(open_.filter(F.col("members") <= small).drop("members"))
         large = open_.filter(F.col("members") > small).drop("members")
         uncut = large if uncut is None else uncut
@@ -362,10 +478,12 @@ def _split(left: DataFrame, parts: DataFrame, sets: DataFrame, percent: int, sma
             break
         keyed = large.withColumn("key", F.xxhash64("key", F.lit(level), F.col("further")[level]))
         shared = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("members")).filter(F.col("members") > 1).select("key")
-        buckets = materialize(keyed.join(shared, "key"))
-        centre = materialize(_centres(buckets))
-        more = materialize(_confirmed(materialize(_star(buckets, centre, percent)), sets, percent))
-        parts = merged_components(parts, more, "rep_a", "rep_b")
+        buckets, _ = compacted(keyed.join(shared, "key"))
+        centre, _ = compacted(_centres(buckets))
+        edges, candidates = compacted(_star(buckets, centre, percent), FEW_EDGES)
+        more, links = compacted(_confirmed(edges, sets, percent)) if candidates else (edges, 0)
+        if links:
+            parts = merged_components(parts, more, "rep_a", "rep_b")
         left = buckets.join(centre.select("key", "a"), "key").filter(F.col("set_key") != F.col("a")).drop("a")
     if left is not None:
         rest.append(left)
@@ -384,8 +502,8 @@ def _by_prefix(large: DataFrame, parts: DataFrame, sets: DataFrame, percent: int
     other shingles can be; the smaller set's front is shorter still. Sets that meet there are confirmed. A shingle of many fronts is
     joined in blocks of ``BLOCK`` smaller sets.
     """
-    open_ = materialize(_open(large, parts).select("set_key", "rep", "n", "component").distinct())
-    if open_.isEmpty():
+    open_, rows = compacted(_open(large, parts).select("set_key", "rep", "n", "component").distinct(), size=F.col("n"))
+    if not rows:
         return parts
     held = open_.join(sets, "set_key").select("set_key", "component", F.explode("hashes").alias("shingle"))
     shared = held.groupBy("shingle").agg(
@@ -418,9 +536,9 @@ def _by_prefix(large: DataFrame, parts: DataFrame, sets: DataFrame, percent: int
         & ((F.col("n_a") < F.col("n_b")) | ((F.col("n_a") == F.col("n_b")) & (F.col("a") < F.col("b"))))
         & ((100 + percent) * F.least("behind_a", "behind") >= percent * (F.col("n_a") + F.col("n_b")))
     )
-    edges = materialize(pairs.select("a", "b", "rep_a", "rep_b", "n_a", "n_b").distinct())
-    more = materialize(_confirmed(edges, sets, percent))
-    return parts if more.isEmpty() else merged_components(parts, more, "rep_a", "rep_b")
+    edges, candidates = compacted(pairs.select("a", "b", "rep_a", "rep_b", "n_a", "n_b").distinct(), FEW_EDGES)
+    more, links = compacted(_confirmed(edges, sets, percent)) if candidates else (edges, 0)
+    return merged_components(parts, more, "rep_a", "rep_b") if links else parts
 
 
 def _more_stars(left: DataFrame, parts: DataFrame, sets: DataFrame, percent: int, centres: int, bins: int) -> DataFrame:
@@ -432,28 +550,29 @@ def _more_stars(left: DataFrame, parts: DataFrame, sets: DataFrame, percent: int
     """
     by_crowd = Window.partitionBy("key").orderBy(F.desc("crowd"), "rep", "set_key")
     while True:
-        open_ = materialize(_open(left, parts))
-        if open_.isEmpty():
+        open_, rows = compacted(_open(left, parts))
+        if not rows:
             return parts
         chosen = open_.filter("component <> main").withColumn("_r", F.row_number().over(by_crowd)).filter(
             F.col("_r") <= centres
         ).select("set_key", F.lit(True).alias("centre")).distinct()
-        marked = materialize(open_.join(chosen, "set_key", "left"))
+        marked, _ = compacted(open_.join(chosen, "set_key", "left"))
         ends = marked.select("key", F.col("set_key").alias("b"), F.col("rep").alias("rep_b"), "n", "component", "centre", "sketch")
         stars = marked.filter("centre").select(
             "key", F.col("set_key").alias("a"), F.col("rep").alias("rep_a"), F.col("n").alias("n_a"),
             F.col("component").alias("component_a"), F.col("sketch").alias("sketch_a"),
         )
-        edges = materialize(
+        edges, candidates = compacted(
             ends.join(stars, "key").filter(
                 (F.col("component") != F.col("component_a"))
                 & (F.col("centre").isNull() | (F.col("a") < F.col("b")))
                 & (100 * F.least("n_a", "n") >= percent * F.greatest("n_a", "n"))
                 & _alike(percent, bins)
-            ).select("a", "b", "rep_a", "rep_b", "n_a", F.col("n").alias("n_b")).distinct()
+            ).select("a", "b", "rep_a", "rep_b", "n_a", F.col("n").alias("n_b")).distinct(),
+            FEW_EDGES,
         )
-        more = materialize(_confirmed(edges, sets, percent))
-        if not more.isEmpty():
+        more, links = compacted(_confirmed(edges, sets, percent)) if candidates else (edges, 0)
+        if links:
             parts = merged_components(parts, more, "rep_a", "rep_b")
         left = marked.filter("centre IS NULL").select("key", "set_key", "rep", "n", "crowd", "sketch")
         centres *= 4

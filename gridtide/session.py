@@ -7,7 +7,7 @@ import uuid
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 # Needed for right results: payload times are text in UTC without an offset.
 TIME_ZONE = "UTC"
@@ -85,6 +85,22 @@ def materialize(df: DataFrame) -> DataFrame:
     return written
 
 
+# Frames of at most so many rows are worked on in one partition by ``compacted``.
+FEW_ROWS = 50_000
+
+
+def compacted(df: DataFrame, most: int = FEW_ROWS, size: Column | None = None) -> tuple[DataFrame, int]:
+    """``materialize`` of ``df``, in one partition if it holds few rows, and the number of its rows.
+
+    Frames in one partition are joined and grouped without a shuffle, so a round over a small remainder costs
+    one short task a step instead of one for each shuffle partition. More than ``most`` rows, or rows whose ``size``
+    adds up to more than a hundred times as much, stay spread.
+    """
+    written = materialize(df)
+    rows, total = written.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.lit(0) if size is None else size), F.lit(0))).first()
+    return (written.coalesce(1) if rows <= most and total <= 100 * most else written), rows
+
+
 @contextmanager
 def scratch(spark: SparkSession) -> Iterator[None]:
     """What ``materialize`` writes inside the block is removed at its end.
