@@ -18,6 +18,9 @@ execution splits a hot site. Texts are cleaned where they are read.
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from gridtide.llm import minhash
@@ -34,10 +37,15 @@ SMALL_PAGES = 1_000_000
 _BLANKS = " \t\x0b\x0c\r"
 
 
-def _key(line: Column) -> Column:
-    """128-bit hash of a line without the white space around it; NULL for a line without a word."""
-    core = F.trim(line, F.lit(_BLANKS))
-    return F.when(F.length(core) > 0, F.md5(core.cast("binary")))
+def _core(line: Column) -> Column:
+    """A line without the white space around it. Most lines have none, and trimming given characters looks at all of the line."""
+    ends = [end for blank in _BLANKS for end in (line.startswith(blank), line.endswith(blank))]
+    return F.when(reduce(or_, ends), F.trim(line, F.lit(_BLANKS))).otherwise(line)
+
+
+def _key(core: Column) -> Column:
+    """128-bit hash of a trimmed line."""
+    return F.md5(core.cast("binary"))
 
 
 def _site(site: Column) -> Column:
@@ -66,9 +74,9 @@ def boilerplate_lines(
     text = F.coalesce(F.col(text_col), F.lit(""))
     pages = docs.select(_site(F.col(site_col)).alias("site"), F.xxhash64(text, F.length(text)).alias("page"), text.alias("text"))
     distinct = pages.select("site", "page").distinct()
-    keys = F.array_distinct(F.transform(F.split("text", "\n"), _key))
-    lines = pages.select("site", "page", F.explode(keys).alias("key")).filter(F.col("key").isNotNull())
-    once = lines.select("site", "page", F.unhex("key").alias("line_key")).distinct()
+    lines = pages.select("site", "page", F.explode(F.split("text", "\n")).alias("line"))
+    cores = lines.select("site", "page", _core(F.col("line")).alias("core")).filter(F.col("core") != "")
+    once = cores.select("site", "page", F.unhex(_key(F.col("core"))).alias("line_key")).distinct()
     if near_as_one:
         groups = _near_groups(pages.select("page", "text"))
         distinct, once = _as_one(distinct, groups), _as_one(once, groups)
@@ -102,8 +110,9 @@ def drop_boilerplate(
     # The row travels as one column, so its names cannot clash with those used here.
     pages = docs.select(F.struct("*").alias("row"), _site(F.col(site_col)).alias("site"))
     pages = pages.join(by_site, "site", "left").withColumn("lines", F.split(F.col(f"row.{text_col}"), "\n"))
+    # An empty line's key is not among the bad ones.
     pages = pages.withColumn("left", F.when(F.col("bad").isNull(), F.col("lines")).otherwise(F.filter(
-        "lines", lambda x: ~F.coalesce(F.array_contains("bad", _key(x)), F.lit(False))
+        "lines", lambda x: ~F.array_contains("bad", _key(_core(x)))
     )))
     return pages.select(
         *[

@@ -16,8 +16,8 @@
    the same signature (each band has a row of its own of ``STEP`` more for each of ``LEVELS``
    levels) and starred again, so a level costs at most its members. Small buckets, and what a last level leaves,
    are starred from further classes, few at first, four times as many from round to round, each one once,
-   until no bucket holds two components. There a pair is a candidate only
-   if one-bit sketches of its signatures agree as far as near copies' do.
+   until no bucket holds two components. In splits and in further stars a pair is a candidate only
+   if one-bit sketches of its signatures agree as far as near copies' do, so few full sets are moved.
 6. Large buckets that hold several components even then are taken uncut: their classes are joined exactly, by
    prefixes of the full sets, so what the splits parted is not lost.
 
@@ -53,6 +53,8 @@ LEVELS = 6
 BLOCK = 1000
 # Candidates that are confirmed in one partition at most; each brings two sets.
 FEW_EDGES = 10_000
+# Candidates whose classes are broadcast at most (some 32 MB), so that no other class's set is moved.
+SMALL_EDGES = 250_000
 SKETCH_WORDS = 6
 SKETCH_SIGMAS = 5.0
 # Sets that fill fewer bins have theirs looked up instead of walked to.
@@ -220,7 +222,7 @@ class Signer:
         n = len(begins) - 1
         bins = np.searchsorted(self.starts, hashes, "right") - 1
         cell = np.repeat(np.arange(n) * self.bins, np.diff(begins)) + bins
-        least = np.append(True, cell[1:] != cell[:-1])
+        least = np.diff(cell, prepend=-1) != 0
         out, filled = np.zeros(n * self.bins, np.uint64), np.zeros(n * self.bins, bool)
         out[cell[least]] = hashes[least]
         filled[cell[least]] = True
@@ -312,7 +314,16 @@ def _full_sets(docs: DataFrame, id_col: str, text_col: str, nodes: DataFrame, wo
 
 
 def _near_enough(common: Column, n_a: Column, n_b: Column, percent: int) -> Column:
-    return 100 * common >= percent * (n_a + n_b - common)
+    """100 * common >= percent * (n_a + n_b - common), said so that ``common`` is worked out once."""
+    return (100 + percent) * common >= percent * (n_a + n_b)
+
+
+def _of_edges(sets: DataFrame, edges: DataFrame, candidates: int) -> DataFrame:
+    """The ``sets`` of the classes in ``edges``; all of them where there are many candidates."""
+    if candidates > SMALL_EDGES:
+        return sets
+    nodes = edges.select(F.col("a").alias("set_key")).union(edges.select("b")).distinct()
+    return sets.join(F.broadcast(nodes), "set_key", "left_semi")
 
 
 def _confirmed(edges: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -327,14 +338,16 @@ def _confirmed(edges: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return pairs.filter(_near_enough(common, F.col("n_a"), F.col("n_b"), percent)).select("rep_a", "rep_b")
 
 
-def _star(buckets: DataFrame, centres: DataFrame, percent: int) -> DataFrame:
-    """Candidate edges from the centres of each bucket to its other classes, by size alone."""
-    ends = buckets.select("key", F.col("set_key").alias("b"), F.col("rep").alias("rep_b"), F.col("n").alias("n_b"))
+def _star(buckets: DataFrame, centres: DataFrame, percent: int, alike: Column | None = None) -> DataFrame:
+    """Candidate edges from the centres of each bucket to its other classes, by size alone or by their sketches too."""
+    more = [] if alike is None else ["sketch"]
+    ends = buckets.select("key", F.col("set_key").alias("b"), F.col("rep").alias("rep_b"), "n", *more)
     edges = ends.join(centres, "key").filter(
         (F.col("a") != F.col("b"))
-        & (100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b"))
+        & (100 * F.least("n_a", "n") >= percent * F.greatest("n_a", "n"))
+        & (F.lit(True) if alike is None else alike)
     )
-    return edges.select("a", "b", "rep_a", "rep_b", "n_a", "n_b").distinct()
+    return edges.select("a", "b", "rep_a", "rep_b", "n_a", F.col("n").alias("n_b")).distinct()
 
 
 def _refined(sets: DataFrame, bands: int, rows: int) -> DataFrame:
@@ -380,14 +393,38 @@ def _open(left: DataFrame, parts: DataFrame) -> DataFrame:
     return labelled.join(several, "key")
 
 
-def _centres(buckets: DataFrame) -> DataFrame:
-    """(key, a, rep_a, n_a): the most crowded class of each bucket, the smaller id among equals."""
-    weight = F.struct("crowd", (-F.col("rep")).alias("r"), "set_key", "rep", "n")
+def _centres(buckets: DataFrame, *more: str) -> DataFrame:
+    """(key, a, rep_a, n_a, …): the most crowded class of each bucket, the smaller id among equals."""
+    weight = F.struct("crowd", (-F.col("rep")).alias("r"), "set_key", "rep", "n", *more)
     return buckets.groupBy("key").agg(F.max(weight).alias("c")).select(
-        "key", F.col("c.set_key").alias("a"), F.col("c.rep").alias("rep_a"), F.col("c.n").alias("n_a")
+        "key", F.col("c.set_key").alias("a"), *[F.col(f"c.{x}").alias(f"{x}_a") for x in ("rep", "n", *more)]
     )
 
 
+def _shared(classes: DataFrame) -> DataFrame:
+    """(key, short, members): the band hashes that two classes and more have, with a short hash of each class that has them.
+
+    All band hashes are shuffled here, once, for the count and for what is kept by it.
+    """
+    banded = classes.select(F.xxhash64("set_key").alias("short"), F.explode("bands").alias("key")).repartition("key")
+    crowded = banded.groupBy("key").agg(
+        F.count(F.lit(1)).alias("members"), F.min("short").alias("first"), F.max("short").alias("last")
+    ).filter("first < last").select("key", "members")
+    return banded.join(crowded.hint("shuffle_hash"), "key")
+
+
+def _buckets(classes: DataFrame, bands: int) -> DataFrame:
+    """(key, set_key, rep, n, members, band) of the buckets that hold two classes and more.
+
+    Two classes of one short hash stand in each other's buckets too, where they are compared as any others.
+    ``band`` follows from the bucket, which is all that is asked of it.
+    """
+    shared = materialize(_shared(classes))
+    named = classes.select(F.xxhash64("set_key").alias("short"), "set_key", "rep", "n")
+    band = F.pmod("key", F.lit(bands)).cast("int").alias("band")
+    return shared.join(named, "short").select("key", "set_key", "rep", "n", "members", band)
+
+
 def near_duplicates(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -414,13 +451,10 @@ def near_duplicates(
     usable = signed.filter(F.col("id").isNotNull() & (F.col("n_shingles") > 0))
     classes = materialize(
         usable.groupBy("set_key").agg(
-            F.min("id").alias("rep"), F.max("id").alias("last"), F.first("n_shingles").alias("n"), F.first("bands").alias("bands")
+            F.min("id").alias("rep"), F.first("n_shingles").alias("n"), F.first("bands").alias("bands")
         )
     )
-    banded = classes.select("set_key", "rep", "n", F.posexplode("bands").alias("band", "key"))
-    # Only buckets of two and more go on.
-    crowded = banded.groupBy("key").agg(F.count(F.lit(1)).alias("members")).filter(F.col("members") > 1)
-    buckets = materialize(banded.join(crowded, "key"))
+    buckets = materialize(_buckets(classes, bands))
     crowd = materialize(buckets.groupBy("set_key").agg(F.sum("members").alias("crowd")))
     buckets = buckets.drop("members")
     centre = materialize(_centres(buckets.join(crowd, "set_key")))
@@ -438,7 +472,7 @@ def near_duplicates(
             sets, _ = compacted(_full_sets(docs, id_col, text_col, left.select("rep").distinct(), words), size=F.size("hashes"))
             refined = _refined(sets, bands, rows)
             left, _ = compacted(left.join(refined, "set_key").withColumn("further", F.slice("further", F.col("band") * LEVELS + 1, LEVELS)).drop("band"))
-            left, parts, large = _split(left, parts, sets, percent, small)
+            left, parts, large = _split(left, parts, sets, percent, small, bands * rows)
             parts = _more_stars(left, parts, sets, percent, centres, bands * rows)
             parts = _by_prefix(large, parts, sets, percent)
     # A row's class stands for it; an id with several sets joins their classes.
@@ -462,10 +496,10 @@ def near_duplicates(
     )
 
 
-def _split(left: DataFrame, parts: DataFrame, sets: DataFrame, percent: int, small: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+def _split(left: DataFrame, parts: DataFrame, sets: DataFrame, percent: int, small: int, bins: int) -> tuple[DataFrame, DataFrame, DataFrame]:
     """What is left when buckets are split by further bins, level by level, until they are small; the components by then; and the large buckets uncut.
 
-    A split parts classes that no star has joined; ``_by_prefix`` looks at the uncut buckets for those.
+    A split parts classes that no star has joined, and a sketch may lose a pair; ``_by_prefix`` looks at the uncut buckets for those.
     """
     rest, uncut = [], None
     for level in range(LEVELS):
@@ -479,9 +513,9 @@ def _split(left: DataFrame, parts: DataFrame, sets: DataFrame, percent: int, sma
         keyed = large.withColumn("key", F.xxhash64("key", F.lit(level), F.col("further")[level]))
         shared = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("members")).filter(F.col("members") > 1).select("key")
         buckets, _ = compacted(keyed.join(shared, "key"))
-        centre, _ = compacted(_centres(buckets))
-        edges, candidates = compacted(_star(buckets, centre, percent), FEW_EDGES)
-        more, links = compacted(_confirmed(edges, sets, percent)) if candidates else (edges, 0)
+        centre, _ = compacted(_centres(buckets, "sketch"))
+        edges, candidates = compacted(_star(buckets, centre, percent, _alike(percent, bins)), FEW_EDGES)
+        more, links = compacted(_confirmed(edges, _of_edges(sets, edges, candidates), percent)) if candidates else (edges, 0)
         if links:
             parts = merged_components(parts, more, "rep_a", "rep_b")
         left = buckets.join(centre.select("key", "a"), "key").filter(F.col("set_key") != F.col("a")).drop("a")
@@ -537,7 +571,7 @@ def _by_prefix(large: DataFrame, parts: DataFrame, sets: DataFrame, percent: int
         & ((100 + percent) * F.least("behind_a", "behind") >= percent * (F.col("n_a") + F.col("n_b")))
     )
     edges, candidates = compacted(pairs.select("a", "b", "rep_a", "rep_b", "n_a", "n_b").distinct(), FEW_EDGES)
-    more, links = compacted(_confirmed(edges, sets, percent)) if candidates else (edges, 0)
+    more, links = compacted(_confirmed(edges, _of_edges(sets, edges, candidates), percent)) if candidates else (edges, 0)
     return merged_components(parts, more, "rep_a", "rep_b") if links else parts
 
 
@@ -571,7 +605,7 @@ def _more_stars(left: DataFrame, parts: DataFrame, sets: DataFrame, percent: int
             ).select("a", "b", "rep_a", "rep_b", "n_a", F.col("n").alias("n_b")).distinct(),
             FEW_EDGES,
         )
-        more, links = compacted(_confirmed(edges, sets, percent)) if candidates else (edges, 0)
+        more, links = compacted(_confirmed(edges, _of_edges(sets, edges, candidates), percent)) if candidates else (edges, 0)
         if links:
             parts = merged_components(parts, more, "rep_a", "rep_b")
         left = marked.filter("centre IS NULL").select("key", "set_key", "rep", "n", "crowd", "sketch")

@@ -7,7 +7,7 @@ import random
 import numpy as np
 from pyspark.sql import functions as F
 
-from gridtide.llm import minhash
+from gridtide.llm import line_dedup, minhash
 from gridtide.llm.components import connected_components
 from gridtide.session import compacted
 
@@ -78,3 +78,43 @@ def test_components_of_few_and_of_many_edges(spark, monkeypatch):
     assert {r.node: r.component for r in few.collect()} == wanted
     monkeypatch.setattr("gridtide.llm.components.FEW_ROWS", 0)
     assert {r.node: r.component for r in connected_components(edges).collect()} == wanted
+
+
+def test_band_hashes_are_shuffled_once_and_narrow(spark):
+    bands = {b"a" * 16: [1, 2, 3], b"b" * 16: [9, 2, 8], b"c" * 16: [7, 6, 3], b"d" * 16: [4, 5, 0], b"e" * 16: [4, 2, 11]}
+    rows = [(k, i, 10, v) for i, (k, v) in enumerate(bands.items())]
+    classes = spark.createDataFrame(rows, "set_key binary, rep long, n long, bands array<long>")
+    got = {(r.key, bytes(r.set_key), r.rep, r.members) for r in minhash._buckets(classes, 3).collect()}
+    often = {key: sum(key in v for v in bands.values()) for v in bands.values() for key in v}
+    assert got == {(key, k, i, often[key]) for i, (k, v) in enumerate(bands.items()) for key in v if often[key] > 1}
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plan = minhash._shared(classes)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    assert plan.count("ReusedExchange") == 1 and plan.count("Exchange hashpartitioning") == 2
+
+
+def test_only_sets_of_candidates_are_moved_and_met_once(spark, monkeypatch):
+    sets = spark.createDataFrame([(bytes([i]) * 16, list(range(i, i + 50))) for i in range(20)], "set_key binary, hashes array<long>")
+    pairs = [(bytes([i]) * 16, bytes([j]) * 16, i, j, 50, 50) for i, j in ((1, 2), (1, 6), (1, 7), (8, 3), (8, 9))]
+    edges = spark.createDataFrame(pairs, "a binary, b binary, rep_a long, rep_b long, n_a long, n_b long")
+    few = minhash._of_edges(sets, edges, 5)
+    assert sorted(r.set_key[0] for r in few.collect()) == [1, 2, 3, 6, 7, 8, 9]
+    monkeypatch.setattr(minhash, "SMALL_EDGES", 4)
+    assert minhash._of_edges(sets, edges, 5).count() == 20
+    # 45 of 55 are more than 80 %, 44 of 56 are less.
+    found = minhash._confirmed(edges, few, 80)
+    assert {(r.rep_a, r.rep_b) for r in found.collect()} == {(1, 2), (1, 6), (8, 3), (8, 9)}
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("array_intersect") == 1
+
+
+def test_lines_are_trimmed_of_all_blanks(spark):
+    lines = ["", " ", "a", " a", "a\t", "\x0b a b \x0c\r", "\r", "a b", "\t\ta  ", " a", " \x0b\x0c", "é \r"]
+    df = spark.createDataFrame([(x,) for x in lines], "line string")
+    got = {r.line: r.core for r in df.select("line", line_dedup._core(F.col("line")).alias("core")).collect()}
+    assert got == {x: x.strip(" \t\x0b\x0c\r") for x in lines}
+
+
+def test_a_block_without_a_set_has_no_signature():
+    assert minhash.Signer(6, 4).band_hashes(np.empty(0, np.uint64), np.array([0])).shape == (0, 6)
